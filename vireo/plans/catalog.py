@@ -370,7 +370,7 @@ def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     build = SPARK[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return normalize(build(Star.from_dir(spark, sf_dir)))
+        return normalize(build(Star.shared(spark, sf_dir)))
 
     run.__name__ = name
     return run
