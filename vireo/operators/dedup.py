@@ -1,12 +1,14 @@
 """Keep-first deduplication (W1 + X1).
 
-``keep_first`` keeps, for each key, the row that sorts first by ``order``.
-It is written as an aggregate (``min`` of a struct whose leading fields are
-the order columns) rather than ``row_number() over (partition by key)``: the
-aggregate combines map-side, so a key holding a third of all rows is reduced
-inside every input task before the shuffle, instead of landing whole in one
-task. ``keep_first_window`` is the textbook window form, kept for small
-inputs and for the equivalence test.
+``keep_first`` keeps, for each key, the row that sorts first by ``order``
+(then by every other column, so the order is total and exact duplicates
+collapse to one identical row). It is ``row_number() over (partition by key
+order by ...) = 1``, which Spark plans with a *partial* ``WindowGroupLimit``
+before the shuffle: every map task already cuts each key to its first row,
+so a key holding a third of all rows crosses the network as one row per
+task instead of landing whole in one reducer. ``keep_first_agg`` is the
+aggregate form (``min`` of a struct led by the order columns), also
+map-side combined, kept for the equivalence test.
 """
 
 from __future__ import annotations
@@ -17,12 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per ``keys``: the first by ``order`` (then by every other column).
-
-    The remaining columns are appended to the comparison struct, so the order
-    is total and exact duplicates collapse to one identical row.
-    """
+def keep_first_agg(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per ``keys`` via ``min(struct(order..., rest...))``."""
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
     fields = order + rest
@@ -32,7 +30,8 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
               .select(*df.columns)
 
 
-def keep_first_window(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per ``keys``: the first by ``order``, then by every other column."""
     rest = [c for c in df.columns if c not in keys and c not in order]
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in list(order) + rest])
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

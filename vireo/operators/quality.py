@@ -100,9 +100,10 @@ def _key_rule(tables: Mapping[str, DataFrame], r: Rule) -> DataFrame:
             child = df.filter(F.expr(r.where)).select(F.col(r.column).alias("_k"))
         if not r.nulls_are_violations:
             child = child.filter(F.col("_k").isNotNull())
-        parent = tables[r.to_table].select(F.col(r.to_column).alias("_k")).distinct()
-        n = child.join(parent, F.col("_k").eqNullSafe(parent["_k"]) if r.nulls_are_violations else "_k",
-                       "left_anti").agg(F.count(F.lit(1)).alias("n"))
+        # a NULL child key never equals a parent key, so when NULLs count as
+        # violations they simply survive the anti join
+        parent = tables[r.to_table].select(F.col(r.to_column).alias("_p")).distinct()
+        n = child.join(parent, F.col("_k") == F.col("_p"), "left_anti").agg(F.count(F.lit(1)).alias("n"))
     else:
         raise ValueError(f"unknown rule kind {r.kind}")
     return n.select(F.lit(r.name).alias("test"), F.lit(r.table).alias("table_name"),
