@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from vireo import constants as C
 from vireo.operators import history as H
 from vireo.operators.keys import dense_key, hash_key
-from vireo.plans import checks, reports
+from vireo.plans import checks, expressions, reports
 from vireo.plans.oracle import DAY, FOR_PERIODS, TS, _r, _ratio, clipped, pairs_sql, q, shift_case
 from vireo.plans.star import Star
 
@@ -110,6 +110,11 @@ SPARK: dict[str, Callable[[Star], DataFrame]] = {
     "facts_agree": checks.facts_agree,
     "no_not_applicable": checks.no_not_applicable,
     "rules_match_labels": checks.rules_match_labels,
+    "scalar_matrix": expressions.scalar_matrix,
+    "filter_matrix": expressions.filter_matrix,
+    "basic_aggregates": expressions.basic_aggregates,
+    "csv_text_load": expressions.csv_text_load,
+    "event_readings": expressions.event_readings,
 }
 
 
@@ -365,6 +370,54 @@ FROM pairs""") + ")")
 
 SQL.update(checks.SQL)
 
+_SPAN = "(CAST(date_diff('microsecond', opened_at, concluded_at) AS DOUBLE) / 86400e6)"
+SQL.update({
+    "scalar_matrix": q(f"""
+SELECT order_no, CAST(NULL AS VARCHAR) AS no_date,
+       strftime(coalesce(concluded_at, opened_at), {TS}) AS concluded_or_opened,
+       CAST(nullif(duration_hours, 0) AS DOUBLE) AS hours_or_null,
+       strftime(least(opened_at, concluded_at), {TS}) AS first_event,
+       strftime(greatest(opened_at, concluded_at), {TS}) AS last_event,
+       CASE order_type WHEN 'corrective' THEN 'C' ELSE 'P' END AS type_code,
+       CASE WHEN total_cost < 1000 THEN 'low' WHEN total_cost < 100000 THEN 'mid' ELSE 'high' END AS cost_band,
+       {_r(_SPAN, 4)} AS span_days,
+       CAST(floor({_SPAN} - CAST(duration_hours AS DOUBLE) / 24.0) AS BIGINT) AS wait_days,
+       {_r('total_cost / 1000', 1)} AS cost_k,
+       {_r('CAST(duration_hours AS DOUBLE) * 2 * pi() / 60', 2)} AS hours_angle,
+       (order_type = 'corrective' AND concluded_at > opened_at) AS corrective_concluded_later
+FROM fct_work_orders"""),
+    "filter_matrix": q("""
+SELECT 'changes_up_to_cutoff' AS predicate, count(*) FILTER (WHERE changed_on <= DATE '1998-01-01') AS rows FROM changes
+UNION ALL SELECT 'failing_readings', count(*) FILTER (WHERE has_failure) FROM fct_readings
+UNION ALL SELECT 'healthy_readings', count(*) FILTER (WHERE NOT has_failure) FROM fct_readings
+UNION ALL SELECT 'failure_criterion', count(*) FILTER (WHERE declared_failure OR flag_twf OR flag_osf OR flag_hdf OR flag_pwf) FROM fct_readings
+UNION ALL SELECT 'not_1998_q3', count(*) FILTER (WHERE NOT (year(read_at) = 1998 AND quarter(read_at) = 3)) FROM fct_readings
+UNION ALL SELECT 'quantity_out_of_band', count(*) FILTER (WHERE quantity < 5 OR quantity > 45) FROM fct_readings
+UNION ALL SELECT 'low_discount_and_tax', count(*) FILTER (WHERE discount < 0.02 AND tax < 0.02) FROM fct_readings
+UNION ALL SELECT 'orders_known_machine', count(*) FILTER (WHERE asset_sk <> -1) FROM fct_work_orders
+UNION ALL SELECT 'corrective_orders', count(*) FILTER (WHERE order_type = 'corrective') FROM fct_work_orders
+UNION ALL SELECT 'not_concluded', count(*) FILTER (WHERE concluded_at IS NULL) FROM fct_work_orders
+UNION ALL SELECT 'concluded', count(*) FILTER (WHERE concluded_at IS NOT NULL) FROM fct_work_orders
+UNION ALL SELECT 'conclusion_not_before_opening', count(*) FILTER (WHERE concluded_at IS NULL OR concluded_at >= opened_at) FROM fct_work_orders
+UNION ALL SELECT 'versions_overlapping_window', count(*) FILTER (WHERE greatest(valid_from, w_start) < least(valid_to, w_end))
+  FROM dim_asset CROSS JOIN obs"""),
+    "basic_aggregates": q(f"""
+SELECT a.criticality, l.sector_name, count(*) AS orders, {_r('sum(o.total_cost)', 2)} AS total_cost,
+       strftime(min(o.opened_at), {TS}) AS first_opened, strftime(max(o.opened_at), {TS}) AS last_opened,
+       {_r(_ratio('sum(o.duration_hours)', 'count(*)'), 3)} AS mean_hours
+FROM fct_work_orders o JOIN dim_asset a USING (asset_sk) JOIN dim_location l USING (location_sk)
+GROUP BY a.criticality, l.sector_name"""),
+    "csv_text_load": """
+SELECT c_custkey, c_name, c_nationkey, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DOUBLE) AS c_acctbal, c_mktsegment,
+       true AS has_source_file, true AS has_load_time
+FROM customer""",
+    "event_readings": q(f"""
+SELECT e.event_id, coalesce(v.asset_sk, -1) AS asset_sk, CAST(strftime(e.event_at, '%Y%m%d') AS INTEGER) AS date_sk,
+       {shift_case('e.event_at')} AS shift_sk, e.event_type, e.is_failure
+FROM events_x e LEFT JOIN dim_asset v ON v.asset_sk <> -1 AND v.asset_code = e.asset_code
+     AND e.event_at >= v.valid_from AND e.event_at < v.valid_to"""),
+})
+
 
 def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     build = SPARK[name]
