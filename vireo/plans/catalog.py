@@ -74,7 +74,7 @@ SPARK: dict[str, Callable[[Star], DataFrame]] = {
     "cutoff_dates": lambda s: H.cutoff_dates(s.changes, "changed_on"),
     "state_as_of": lambda s: _state(s, STATE_CUTOFF),
     "scd2_history": lambda s: s.history,
-    "scd2_dimension": lambda s: s.dim_asset,
+    "scd2_dimension": lambda s: s.dim_asset.orderBy("asset_sk"),
     "scd2_apply_two_batches": _two_batches,
     "history_summary": lambda s: H.history_summary(s.history, "asset_code"),
     "fact_readings": lambda s: s.fct_readings,
@@ -115,6 +115,7 @@ SPARK: dict[str, Callable[[Star], DataFrame]] = {
     "basic_aggregates": expressions.basic_aggregates,
     "csv_text_load": expressions.csv_text_load,
     "event_readings": expressions.event_readings,
+    "open_close_quarters": reports.open_close_quarters,
 }
 
 
@@ -372,6 +373,12 @@ SQL.update(checks.SQL)
 
 _SPAN = "(CAST(date_diff('microsecond', opened_at, concluded_at) AS DOUBLE) / 86400e6)"
 SQL.update({
+    "open_close_quarters": q("""
+SELECT o.year AS open_year, o.quarter AS open_quarter, c.year AS close_year, c.quarter AS close_quarter,
+       count(*) AS orders
+FROM fct_work_orders w JOIN dim_date o ON o.date_sk = w.opened_date_sk
+JOIN dim_date c ON c.date_sk = w.concluded_date_sk
+GROUP BY o.year, o.quarter, c.year, c.quarter"""),
     "scalar_matrix": q(f"""
 SELECT order_no, CAST(NULL AS VARCHAR) AS no_date,
        strftime(coalesce(concluded_at, opened_at), {TS}) AS concluded_or_opened,

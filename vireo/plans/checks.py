@@ -24,6 +24,9 @@ def rules() -> list[Rule]:
         Rule("unique_dim_asset_sk", "dim_asset", "unique", column="asset_sk"),
         Rule("unique_dim_date_date", "dim_date", "unique", column="date"),
         Rule("unique_work_order", "fct_work_orders", "unique", column="order_no"),
+        # two layers: duplicate lines are a known warning on the raw table and an error once staged
+        Rule("unique_raw_line", "lineitem", "unique_combination", columns=("l_orderkey", "l_linenumber"),
+             severity="warn"),
         Rule("unique_reading", "fct_readings", "unique_combination", columns=("reading_order", "reading_line")),
         Rule("unique_asset_version", "dim_asset", "unique_combination", columns=("asset_code", "version")),
         Rule("unique_failure_row", "fct_failures", "unique_combination",
@@ -58,6 +61,8 @@ def rules() -> list[Rule]:
         Rule("reading_has_known_machine", "fct_readings", "expression_is_true", expr="asset_sk <> -1"),
         Rule("date_key_agrees_with_date", "dim_date", "expression_is_true",
              expr="date_sk = year * 10000 + month * 100 + day_of_month", where="date_sk <> -1"),
+        Rule("name_carries_key", "customer", "expression_is_true",
+             expr="substring(c_name, 10) = lpad(CAST(c_custkey AS STRING), 9, '0')"),
         Rule("current_version_is_open", "dim_asset", "expression_is_true",
              expr="NOT is_current OR valid_to = TIMESTAMP '9999-12-31 23:59:59.999999'"),
         # relationships
@@ -75,7 +80,8 @@ def rules() -> list[Rule]:
 def _tables(s: Star) -> dict[str, DataFrame]:
     return {"dim_asset": s.dim_asset, "dim_date": s.dim_date, "dim_technician": s.dim_technician,
             "dim_mode": s.dim_mode, "fct_readings": s.fct_readings, "fct_work_orders": s.fct_work_orders,
-            "fct_failures": s.fct_failures, "changes": s.changes, "assets": s.assets}
+            "fct_failures": s.fct_failures, "changes": s.changes, "assets": s.assets,
+            "lineitem": s.src["lineitem"], "customer": s.src["customer"]}
 
 
 def quality_report(s: Star) -> DataFrame:

@@ -48,13 +48,14 @@ def mtbf_mttr_by_segment(s: Star) -> DataFrame:
     repairs = _corrective(s).groupBy("asset_sk").agg(F.count(F.lit(1)).alias("correctives"),
                                                      F.sum("duration_hours").alias("hours"))
     j = exposure.join(failures, "asset_sk", "left").join(repairs, "asset_sk", "left")
-    return j.groupBy("criticality").agg(
+    out = j.groupBy("criticality").agg(
         F.count(F.lit(1)).alias("versions"),
         round_out(F.sum("days"), 0).alias("exposed_days"),
         F.coalesce(F.sum("failures"), F.lit(0)).cast("bigint").alias("failures"),
         round_out(_ratio(F.sum("days"), F.sum("failures")), 1).alias("mtbf_days"),
         F.coalesce(F.sum("correctives"), F.lit(0)).cast("bigint").alias("correctives"),
         round_out(_ratio(F.sum("hours"), F.sum("correctives")), 2).alias("mttr_hours"))
+    return out.orderBy(F.col("mtbf_days").asc_nulls_last(), "criticality")
 
 
 # R2 -------------------------------------------------------------------------
@@ -68,13 +69,14 @@ def cost_concentration(s: Star) -> DataFrame:
             .agg(F.sum("n").alias("orders"), F.sum("c").alias("cost")))
     j = corr.join(production, "sector_code", "left")
     everyone = Window.partitionBy()
-    return j.select(
+    out = j.select(
         "sector_name", F.col("cycles").cast("bigint").alias("cycles"), F.col("orders").cast("bigint").alias("orders"),
         round_out("cost", 2).alias("cost"),
         round_out(F.lit(100) * _ratio("cost", F.sum("cost").over(everyone)), 1).alias("pct_cost"),
         round_out(F.lit(100) * _ratio("cycles", F.sum("cycles").over(everyone)), 1).alias("pct_cycles"),
         round_out(_ratio("cost", "orders"), 2).alias("avg_cost_per_order"),
         round_out(_ratio(F.col("cost") * 1000, "cycles"), 2).alias("cost_per_1k_cycles"))
+    return out.orderBy(F.col("cost").desc_nulls_last())
 
 
 # R3 -------------------------------------------------------------------------
@@ -85,13 +87,14 @@ def mode_by_downtime(s: Star) -> DataFrame:
               F.sum("total_cost").alias("cost"))
          .join(modes, "failure_mode_sk"))
     everyone = Window.partitionBy()
-    return g.select(
+    out = g.select(
         "mode_code", "mode_name", F.col("orders").cast("bigint").alias("orders"),
         round_out("hours", 1).alias("downtime_hours"),
         round_out(F.lit(100) * _ratio("hours", F.sum("hours").over(everyone)), 1).alias("pct_hours"),
         round_out(F.lit(100) * _ratio("orders", F.sum("orders").over(everyone)), 1).alias("pct_orders"),
         round_out(_ratio("hours", "orders"), 2).alias("hours_per_order"),
         round_out("cost", 2).alias("cost"))
+    return out.orderBy(F.col("downtime_hours").desc_nulls_last())
 
 
 # R4, R9, R11 ----------------------------------------------------------------
@@ -147,19 +150,21 @@ def quarter_pairs(s: Star, series_key: str = "asset_code") -> DataFrame:
 def next_quarter_effect(s: Star) -> DataFrame:
     p = quarter_pairs(s)
     clean = ~F.col("next_is_last")
-    return p.groupBy("band").agg(
+    out = p.groupBy("band").agg(
         F.count(F.lit(1)).alias("pairs"),
         F.sum("next_correctives").cast("bigint").alias("correctives_next"),
         round_out(F.avg(F.col("next_correctives").cast("double")), 3).alias("mean_next"),
         F.count(F.when(clean, 1)).alias("clean_pairs"),
         round_out(F.avg(F.when(clean, F.col("next_correctives").cast("double"))), 3).alias("mean_clean"))
+    return out.orderBy(F.col("mean_next").desc_nulls_last())
 
 
 def next_quarter_by_quarter(s: Star) -> DataFrame:
     p = quarter_pairs(s)
-    return p.groupBy("year", "quarter", "band").agg(
+    out = p.groupBy("year", "quarter", "band").agg(
         F.count(F.lit(1)).alias("pairs"),
         F.sum("next_correctives").cast("bigint").alias("correctives_next"))
+    return out.orderBy("year", "quarter", "band")
 
 
 def stitching_comparison(s: Star) -> DataFrame:
@@ -189,12 +194,13 @@ def _periods(s: Star) -> DataFrame:
 def before_after_change(s: Star) -> DataFrame:
     v = _periods(s)
     cost = F.coalesce(F.sum("cost"), F.lit(0))
-    return v.groupBy("asset_code", "period").agg(
+    out = v.groupBy("asset_code", "period").agg(
         round_out(F.sum("days"), 0).alias("days"),
         F.coalesce(F.sum("correctives"), F.lit(0)).cast("bigint").alias("correctives"),
         round_out(cost, 2).alias("cost"),
         round_out(_ratio(cost * 30, F.sum("days")), 2).alias("cost_per_month"),
         round_out(_ratio(F.sum("days"), F.sum("correctives")), 0).alias("days_between_correctives"))
+    return out.orderBy("asset_code", F.col("period").desc())
 
 
 def before_after_totals(s: Star) -> DataFrame:
@@ -215,13 +221,14 @@ def versions_side_by_side(s: Star) -> DataFrame:
         F.count(F.lit(1)).alias("correctives"), F.sum("total_cost").alias("cost"),
         F.sum("duration_hours").alias("hours"))
     d = s.dim_asset.filter(F.col("asset_sk") != C.UNKNOWN_SK)
-    return d.join(per_sk, "asset_sk", "left").select(
+    out = d.join(per_sk, "asset_sk", "left").select(
         "asset_code", "version", "state",
         F.date_format("valid_from", "yyyy-MM-dd").alias("valid_from"),
         F.date_format("valid_to", "yyyy-MM-dd").alias("valid_to"),
         F.coalesce(F.col("correctives"), F.lit(0)).cast("bigint").alias("correctives"),
         round_out("cost", 2).alias("corrective_cost"),
         round_out("hours", 1).alias("downtime_hours"))
+    return out.orderBy("asset_code", "version")
 
 
 def scd1_view(s: Star) -> DataFrame:
@@ -323,9 +330,10 @@ def failure_rate_by_quarter(s: Star) -> DataFrame:
                                                      F.count(F.when(F.col("has_failure"), 1)).alias("f"))
     d = per_day.join(s.dim_date.select("date_sk", "year", "quarter"), "date_sk")
     g = d.groupBy("year", "quarter").agg(F.sum("n").alias("readings"), F.sum("f").alias("failures"))
-    return g.select("year", "quarter", F.col("readings").cast("bigint").alias("readings"),
+    out = g.select("year", "quarter", F.col("readings").cast("bigint").alias("readings"),
                     F.col("failures").cast("bigint").alias("failures"),
                     round_out(F.lit(100) * _ratio("failures", "readings"), 2).alias("failure_pct"))
+    return out.orderBy("year", "quarter")
 
 
 def id_time_correlation(s: Star) -> DataFrame:
@@ -366,7 +374,8 @@ def load_concentration(s: Star) -> DataFrame:
 def corrective_by_quarter(s: Star) -> DataFrame:
     per_day = _corrective(s).groupBy("opened_date_sk").agg(F.count(F.lit(1)).alias("n"))
     d = per_day.join(s.dim_date.select("date_sk", "year", "quarter"), F.col("opened_date_sk") == F.col("date_sk"))
-    return d.groupBy("year", "quarter").agg(F.sum("n").cast("bigint").alias("corrective_orders"))
+    out = d.groupBy("year", "quarter").agg(F.sum("n").cast("bigint").alias("corrective_orders"))
+    return out.orderBy("year", "quarter")
 
 
 def shift_load(s: Star) -> DataFrame:
@@ -377,3 +386,18 @@ def shift_load(s: Star) -> DataFrame:
         "shift_sk", "shift_name", "start_hour", "end_hour", "wraps_midnight",
         F.coalesce(F.col("events"), F.lit(0)).cast("bigint").alias("events"),
         F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"))
+
+
+def open_close_quarters(s: Star) -> DataFrame:
+    """Work orders by opening and conclusion quarter: the date dimension
+    plays two roles (J12); never-concluded orders land on the -1 member."""
+    per = s.fct_work_orders.groupBy("opened_date_sk", "concluded_date_sk").agg(F.count(F.lit(1)).alias("n"))
+    d = s.dim_date.select("date_sk", "year", "quarter")
+    opened = d.select(F.col("date_sk").alias("opened_date_sk"), F.col("year").alias("open_year"),
+                      F.col("quarter").alias("open_quarter"))
+    closed = d.select(F.col("date_sk").alias("concluded_date_sk"), F.col("year").alias("close_year"),
+                      F.col("quarter").alias("close_quarter"))
+    return (per.join(opened, "opened_date_sk").join(closed, "concluded_date_sk")
+            .groupBy("open_year", "open_quarter", "close_year", "close_quarter")
+            .agg(F.sum("n").cast("bigint").alias("orders"))
+            .orderBy("open_year", "open_quarter", F.col("close_year").asc_nulls_last(), "close_quarter"))
