@@ -23,6 +23,21 @@ BASE_CONF = {
 }
 
 
+# Suggested settings for a large cluster (hundreds of executors, tens of TB):
+# start with many shuffle partitions and let AQE coalesce them to the advisory
+# size; split skewed partitions at five times the median; read parquet in
+# 256 MB splits; broadcast only what measures under 64 MB at run time.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "vireo", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the library's settings.
