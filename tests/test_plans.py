@@ -44,3 +44,43 @@ def test_scan_pushdown_and_pruning(spark):
     p = s.changes._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(o_orderpriority" in p
     assert "o_totalprice" not in p and "o_orderstatus" not in p
+
+
+def test_hot_machine_is_split_by_aqe(spark):
+    """One machine holds a third of all events: the valid-at join stays exact
+    and AQE splits the hot machine's partition (no broadcast, tiny skew
+    thresholds so the local data counts as skewed)."""
+    from pyspark.sql import functions as F
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30000
+        ev = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997 + 1).alias("k"),
+            (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.make_interval(
+                days=(F.col("id") % 300).cast("int"))).alias("ts"), F.col("id"))
+        dim = spark.range(998).select(F.col("id").alias("dk"),
+                                      F.lit(dt.datetime(1, 1, 1)).cast("timestamp_ntz").alias("vf"),
+                                      F.lit(dt.datetime(2024, 6, 1)).cast("timestamp_ntz").alias("vt"),
+                                      F.lit(1).alias("version")).unionByName(
+            spark.range(998).select(F.col("id").alias("dk"),
+                                    F.lit(dt.datetime(2024, 6, 1)).cast("timestamp_ntz").alias("vf"),
+                                    F.lit(dt.datetime(9999, 12, 31)).cast("timestamp_ntz").alias("vt"),
+                                    F.lit(2).alias("version")))
+        j = valid_at_join(ev, dim, "k", "dk", "ts", "vf", "vt")
+        rows = j.collect()
+        assert len(rows) == n and all(r.version == (2 if r.ts >= dt.datetime(2024, 6, 1) else 1) for r in rows)
+        final = j._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in final, final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
