@@ -340,7 +340,8 @@ def id_time_correlation(s: Star) -> DataFrame:
     e = s.events
     return e.agg(F.count(F.lit(1)).alias("events"),
                  round_out(F.corr(F.col("event_id").cast("double"),
-                                  F.unix_micros(F.col("event_at").cast("timestamp")).cast("double")), 6)
+                                  F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                                                   F.col("event_at")).cast("double")), 6)
                  .alias("id_time_corr"))
 
 
