@@ -43,7 +43,15 @@ def row_number_key(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
 
 
 def hash_key(cols: Sequence[str]) -> "F.Column":
-    """Stable 64-bit hash key for incremental builds (no global ordering)."""
+    """Stable content key for incremental builds: SHA-256 (hex) of the
+    '|'-joined natural key. Needs no global ordering and gives the same value
+    in any engine, so keys survive rebuilds and can be checked externally."""
+    return F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]), 256)
+
+
+def hash_key64(cols: Sequence[str]) -> "F.Column":
+    """64-bit variant (xxhash64) when a compact join key matters more than
+    portability."""
     return F.xxhash64(*[F.col(c) for c in cols])
 
 

@@ -277,9 +277,6 @@ FROM pairs GROUP BY band"""),
     "next_quarter_by_quarter": q(pairs_sql("asset_code") + """
 SELECT year, quarter, band, count(*) AS pairs, CAST(sum(next_correctives) AS BIGINT) AS correctives_next
 FROM pairs GROUP BY year, quarter, band"""),
-    "stitching_comparison": q(pairs_sql("asset_code") + """
-SELECT 'natural_code' AS series_key, count(*) AS pairs, CAST(sum(next_correctives) AS BIGINT) AS correctives_in_pairs
-FROM pairs""").replace("SELECT 'natural_code'", "SELECT 'natural_code'") ,
     "before_after_change": q(FOR_PERIODS + f"""
 SELECT asset_code, period, {_r('sum(days)', 0)} AS days,
        CAST(coalesce(sum(correctives), 0) AS BIGINT) AS correctives,
@@ -361,7 +358,7 @@ SELECT d.year, d.quarter, count(*) AS corrective_orders
 FROM corrective o JOIN dim_date d ON d.date_sk = o.opened_date_sk GROUP BY d.year, d.quarter"""),
 }
 
-# the surrogate-key variant of the stitching comparison needs its own pair CTEs
+# natural-code and version-key series each need their own pair CTEs
 SQL["stitching_comparison"] = (
     "SELECT * FROM (" + q(pairs_sql("asset_code") + """
 SELECT 'natural_code' AS series_key, count(*) AS pairs, CAST(sum(next_correctives) AS BIGINT) AS correctives_in_pairs
@@ -373,6 +370,8 @@ SQL.update(checks.SQL)
 
 _SPAN = "(CAST(date_diff('microsecond', opened_at, concluded_at) AS DOUBLE) / 86400e6)"
 SQL.update({
+    "hash_key": q("""
+SELECT asset_code, sha256(concat_ws('|', CAST(asset_code AS VARCHAR), criticality)) AS asset_hash FROM assets"""),
     "open_close_quarters": q("""
 SELECT o.year AS open_year, o.quarter AS open_quarter, c.year AS close_year, c.quarter AS close_quarter,
        count(*) AS orders
