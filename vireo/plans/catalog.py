@@ -116,6 +116,8 @@ SPARK: dict[str, Callable[[Star], DataFrame]] = {
     "csv_text_load": expressions.csv_text_load,
     "event_readings": expressions.event_readings,
     "open_close_quarters": reports.open_close_quarters,
+    "mode_rate_by_segment": reports.mode_rate_by_segment,
+    "segment_share_by_sector": reports.segment_share_by_sector,
 }
 
 
@@ -370,6 +372,20 @@ SQL.update(checks.SQL)
 
 _SPAN = "(CAST(date_diff('microsecond', opened_at, concluded_at) AS DOUBLE) / 86400e6)"
 SQL.update({
+    "mode_rate_by_segment": q(" " + " UNION ALL ".join(f"""
+SELECT a.criticality, '{code}' AS mode_code, count(*) AS readings, count(*) FILTER (WHERE f.{col}) AS flagged,
+       {_r('100 * ' + _ratio(f'count(*) FILTER (WHERE f.{col})', 'count(*)'), 2)} AS flagged_pct
+FROM fct_readings f JOIN dim_asset a USING (asset_sk) GROUP BY a.criticality"""
+        for code, col in [("TWF", "flag_twf"), ("OSF", "flag_osf"), ("HDF", "flag_hdf"), ("PWF", "flag_pwf")])),
+    "segment_share_by_sector": q(f"""
+, g AS (
+  SELECT l.sector_name, a.criticality, count(*) AS n
+  FROM fct_readings f JOIN dim_asset a USING (asset_sk) JOIN dim_location l USING (location_sk)
+  GROUP BY l.sector_name, a.criticality
+)
+SELECT sector_name, criticality, n AS readings,
+       {_r('100 * ' + _ratio('n', 'sum(n) OVER (PARTITION BY sector_name)'), 2)} AS share_pct
+FROM g"""),
     "hash_key": q("""
 SELECT asset_code, sha256(concat_ws('|', CAST(asset_code AS VARCHAR), criticality)) AS asset_hash FROM assets"""),
     "open_close_quarters": q("""
