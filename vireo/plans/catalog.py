@@ -117,6 +117,7 @@ SPARK: dict[str, Callable[[Star], DataFrame]] = {
     "event_readings": expressions.event_readings,
     "open_close_quarters": reports.open_close_quarters,
     "mode_rate_by_segment": reports.mode_rate_by_segment,
+    "reading_load_concentration": reports.reading_load_concentration,
     "segment_share_by_sector": reports.segment_share_by_sector,
 }
 
@@ -372,6 +373,13 @@ SQL.update(checks.SQL)
 
 _SPAN = "(CAST(date_diff('microsecond', opened_at, concluded_at) AS DOUBLE) / 86400e6)"
 SQL.update({
+    "reading_load_concentration": q(f"""
+, per AS (SELECT asset_code, count(*) AS n FROM readings GROUP BY asset_code),
+ranked AS (SELECT n, row_number() OVER (ORDER BY n DESC, asset_code) AS rk, count(*) OVER () AS total FROM per)
+SELECT CAST(max(total) AS BIGINT) AS machines, CAST(sum(n) AS BIGINT) AS events, CAST(min(n) AS BIGINT) AS min_events,
+       CAST(max(n) AS BIGINT) AS max_events,
+       {_r('100 * ' + _ratio('sum(n) FILTER (WHERE rk <= ceil(total * 0.2))', 'sum(n)'), 1)} AS top20_share_pct
+FROM ranked"""),
     "mode_rate_by_segment": q(" " + " UNION ALL ".join(f"""
 SELECT a.criticality, '{code}' AS mode_code, count(*) AS readings, count(*) FILTER (WHERE f.{col}) AS flagged,
        {_r('100 * ' + _ratio(f'count(*) FILTER (WHERE f.{col})', 'count(*)'), 2)} AS flagged_pct

@@ -383,7 +383,15 @@ def load_concentration(s: Star) -> DataFrame:
     small histogram; the boundary bucket contributes only the machines that
     fit.
     """
-    per_machine = s.events.groupBy("asset_code").agg(F.count(F.lit(1)).alias("n"))
+    return _concentration(s.events.groupBy("asset_code").agg(F.count(F.lit(1)).alias("n")))
+
+
+def reading_load_concentration(s: Star) -> DataFrame:
+    """The same spread and top-20% share over readings per machine."""
+    return _concentration(s.readings.groupBy("asset_code").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _concentration(per_machine: DataFrame) -> DataFrame:
     hist = per_machine.groupBy("n").agg(F.count(F.lit(1)).alias("machines"))
     tot = hist.agg(F.sum("machines").alias("total_machines"), F.sum(F.col("n") * F.col("machines")).alias("total_events"),
                    F.min("n").alias("min_events"), F.max("n").alias("max_events"))
