@@ -4,7 +4,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from vireo.operators.history import (cutoff_dates, dress_scd2, history_summary, scd2_apply,
                                      scd2_history, state_as_of)

@@ -1,7 +1,6 @@
 """Every registered query against its DuckDB oracle on the smallest tables,
 plus the driver entry point."""
 
-import pytest
 
 from tests.conftest import SF_SMALL
 

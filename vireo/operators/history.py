@@ -22,7 +22,6 @@ built in one Spark job instead of one snapshot run per cut-off date:
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -177,7 +176,3 @@ def history_summary(history: DataFrame, key: str) -> DataFrame:
         F.countDistinct(key).alias("keys"),
         F.count(F.when(F.col("valid_to").isNull(), 1)).alias("current_versions"),
         F.countDistinct(F.when(F.col("valid_to").isNotNull(), F.col(key))).alias("keys_with_past"))
-
-
-def as_date(d) -> _dt.date:
-    return d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vireo import constants as C
 from vireo.operators.quality import Rule, evaluate, singular
-from vireo.plans.oracle import _r, q
+from vireo.plans.oracle import q
 from vireo.plans.star import Star
 
 
