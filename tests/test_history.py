@@ -126,3 +126,11 @@ def test_apply_ignores_older_state(spark, fleet):
     t1 = scd2_apply(None, state_as_of(b, l, "2024-12-31", **KW), key="k")
     t2 = scd2_apply(t1, state_as_of(b, l, "2024-05-01", **KW), key="k")
     assert versions(t1) == versions(t2)
+
+
+def test_rebuild_is_reproducible(spark, fleet):
+    """H5: the history is rebuilt from scratch on every run, so two runs agree."""
+    b, l = fleet
+    first = versions(scd2_history(b, l, **KW))
+    second = versions(scd2_history(b.orderBy("k", ascending=False), l.orderBy("d", ascending=False), **KW))
+    assert first == second
