@@ -58,3 +58,11 @@ def test_known_baseline_warns_growth_errors(spark):
     rule = lambda n: Rule("neg", "t", "expression_is_true", expr="v >= 0", warn_after=0, error_after=n)
     assert evaluate(spark, {"t": df}, [rule(2)]).collect()[0].status == "warn"
     assert evaluate(spark, {"t": df}, [rule(1)]).collect()[0].status == "error"
+
+
+def test_percent_thresholds(spark):
+    df = spark.createDataFrame([(i,) for i in range(-3, 7)], "v int")  # 3 of 10 rows violate
+    rule = lambda w, e: Rule("neg", "t", "expression_is_true", expr="v >= 0", warn_after_pct=w, error_after_pct=e)
+    assert evaluate(spark, {"t": df}, [rule(0, 40)]).collect()[0].status == "warn"
+    assert evaluate(spark, {"t": df}, [rule(0, 25)]).collect()[0].status == "error"
+    assert evaluate(spark, {"t": df}, [rule(30, 40)]).collect()[0].status == "pass"

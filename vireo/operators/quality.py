@@ -39,6 +39,11 @@ class Rule:
     severity: str = "error"
     warn_after: int = 0
     error_after: int = 0
+    # optional thresholds relative to the table's row count (percent); a
+    # known share of dirty rows warns and only growth beyond it errors, at
+    # any scale (row-level rules only)
+    warn_after_pct: float | None = None
+    error_after_pct: float | None = None
     extra: dict = field(default_factory=dict)
 
 
@@ -69,19 +74,28 @@ def violation_predicate(r: Rule):
     return p
 
 
-def _status(n, r: Rule):
+def _over(n, count: int, pct: float | None, total):
+    if pct is None:
+        return n > F.lit(count)
+    return n * F.lit(100.0) > F.lit(float(pct)) * total
+
+
+def _status(n, r: Rule, total=None):
+    if (r.warn_after_pct is not None or r.error_after_pct is not None) and total is None:
+        raise ValueError(f"{r.name}: percent thresholds need the row count (row-level rules only)")
+    warn = _over(n, r.warn_after, r.warn_after_pct, total)
     if r.severity == "error":
-        return (F.when(n > F.lit(r.error_after), "error")
-                 .when(n > F.lit(r.warn_after), "warn").otherwise("pass"))
-    return F.when(n > F.lit(r.warn_after), "warn").otherwise("pass")
+        err = _over(n, r.error_after, r.error_after_pct, total)
+        return F.when(err, "error").when(warn, "warn").otherwise("pass")
+    return F.when(warn, "warn").otherwise("pass")
 
 
 def _row_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     counts = df.agg(*[F.count(F.when(violation_predicate(r), 1)).alias(f"_r{i}")
-                      for i, r in enumerate(rules)])
+                      for i, r in enumerate(rules)], F.count(F.lit(1)).alias("_total"))
     rows = F.array(*[F.struct(F.lit(r.name).alias("test"), F.lit(r.table).alias("table_name"),
                               F.col(f"_r{i}").cast("bigint").alias("violations"),
-                              _status(F.col(f"_r{i}"), r).alias("status"))
+                              _status(F.col(f"_r{i}"), r, F.col("_total")).alias("status"))
                      for i, r in enumerate(rules)])
     return counts.select(F.explode(rows).alias("t")).select("t.*")
 
