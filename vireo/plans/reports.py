@@ -2,10 +2,11 @@
 
 Every report aggregates the large facts first (partial + final hash
 aggregate) and only then joins, so joins cannot fan out. Shares of a total
-(W4, W5) are taken against a one-row aggregate that is broadcast, instead
-of a window over ``()`` that would gather rows in one partition. One-row
-relations (the observed window, a scalar maximum, a total) are the only
-explicit broadcasts besides the fixed-size dimensions.
+(W4, W5) use a window over ``()`` only on the aggregated result, whose row
+count is that of a small dimension (sectors, failure modes); a broadcast
+one-row total would aggregate the fact a second time. One-row relations (the
+observed window, a scalar maximum) are the only explicit broadcasts besides
+the fixed-size dimensions.
 """
 
 from __future__ import annotations
@@ -68,13 +69,15 @@ def cost_concentration(s: Star) -> DataFrame:
             .join(loc, "location_sk").groupBy("sector_code", "sector_name")
             .agg(F.sum("n").alias("orders"), F.sum("c").alias("cost")))
     j = corr.join(production, "sector_code", "left")
-    # shares of the total: the total is a one-row aggregate, broadcast
-    totals = F.broadcast(j.agg(F.sum("cost").alias("_all_cost"), F.sum("cycles").alias("_all_cycles")))
-    out = j.crossJoin(totals).select(
+    # share of the total over the aggregated rows: one row per sector, so the
+    # window over () sees a handful of rows (a broadcast one-row total would
+    # aggregate the fact a second time)
+    everyone = Window.partitionBy()
+    out = j.select(
         "sector_name", F.col("cycles").cast("bigint").alias("cycles"), F.col("orders").cast("bigint").alias("orders"),
         round_out("cost", 2).alias("cost"),
-        round_out(F.lit(100) * _ratio("cost", "_all_cost"), 1).alias("pct_cost"),
-        round_out(F.lit(100) * _ratio("cycles", "_all_cycles"), 1).alias("pct_cycles"),
+        round_out(F.lit(100) * _ratio("cost", F.sum("cost").over(everyone)), 1).alias("pct_cost"),
+        round_out(F.lit(100) * _ratio("cycles", F.sum("cycles").over(everyone)), 1).alias("pct_cycles"),
         round_out(_ratio("cost", "orders"), 2).alias("avg_cost_per_order"),
         round_out(_ratio(F.col("cost") * 1000, "cycles"), 2).alias("cost_per_1k_cycles"))
     return out.orderBy(F.col("cost").desc_nulls_last())
@@ -87,12 +90,12 @@ def mode_by_downtime(s: Star) -> DataFrame:
          .agg(F.count(F.lit(1)).alias("orders"), F.sum("duration_hours").alias("hours"),
               F.sum("total_cost").alias("cost"))
          .join(modes, "failure_mode_sk"))
-    totals = F.broadcast(g.agg(F.sum("hours").alias("_all_hours"), F.sum("orders").alias("_all_orders")))
-    out = g.crossJoin(totals).select(
+    everyone = Window.partitionBy()  # over the aggregated rows: one per failure mode
+    out = g.select(
         "mode_code", "mode_name", F.col("orders").cast("bigint").alias("orders"),
         round_out("hours", 1).alias("downtime_hours"),
-        round_out(F.lit(100) * _ratio("hours", "_all_hours"), 1).alias("pct_hours"),
-        round_out(F.lit(100) * _ratio("orders", "_all_orders"), 1).alias("pct_orders"),
+        round_out(F.lit(100) * _ratio("hours", F.sum("hours").over(everyone)), 1).alias("pct_hours"),
+        round_out(F.lit(100) * _ratio("orders", F.sum("orders").over(everyone)), 1).alias("pct_orders"),
         round_out(_ratio("hours", "orders"), 2).alias("hours_per_order"),
         round_out("cost", 2).alias("cost"))
     return out.orderBy(F.col("downtime_hours").desc_nulls_last())
