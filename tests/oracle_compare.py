@@ -28,6 +28,10 @@ def duck(sf_dir: str):
     return con
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "smallint": "SMALLINT", "tinyint": "TINYINT", "float": "FLOAT"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -72,8 +76,15 @@ def compare(spark, sf_dir: str, names=None) -> dict[str, dict]:
             spd = pd.DataFrame(srows, columns=sdf.columns)
             rec["spark_rows"] = len(srows)
             if name in sqls:
-                dpd = con.execute(sqls[name]).fetchdf()
+                rel = con.sql(sqls[name])
+                dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+                dpd = rel.df()
                 rec["duck_rows"] = len(dpd)
+                bad_types = [(c, t, dtypes.get(c)) for c, t in sdf.dtypes
+                             if SPARK_TO_DUCK.get(t, t) != dtypes.get(c)]
+                rec["types_match"] = not bad_types
+                if bad_types:
+                    rec["type_diff"] = bad_types
                 sc, sr = rows_of_pandas(spd)
                 dc, dr = rows_of_pandas(dpd)
                 rec["cols_match"] = sc == dc
@@ -98,5 +109,6 @@ if __name__ == "__main__":
     names = sys.argv[2:] or None
     spark = build_session("local[8]", 8)
     res = compare(spark, sf, names)
-    bad = [n for n, r in res.items() if "error" in r or r.get("values_match") is False]
+    bad = [n for n, r in res.items()
+           if "error" in r or r.get("values_match") is False or r.get("types_match") is False]
     print("MISMATCH/ERROR:", bad)

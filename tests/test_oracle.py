@@ -19,5 +19,6 @@ def test_entry(spark):
 def test_all_queries_match_oracle(spark):
     from tests.oracle_compare import compare
     res = compare(spark, SF_SMALL)
-    bad = {n: r for n, r in res.items() if "error" in r or r.get("values_match") is False}
+    bad = {n: r for n, r in res.items()
+           if "error" in r or r.get("values_match") is False or r.get("types_match") is False}
     assert not bad, bad
