@@ -107,7 +107,8 @@ if __name__ == "__main__":
     from vireo.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or None
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[8]", 8, extra={"spark.driver.memory": "16g",
+                                                "spark.driver.maxResultSize": "8g"})
     res = compare(spark, sf, names)
     bad = [n for n, r in res.items()
            if "error" in r or r.get("values_match") is False or r.get("types_match") is False]
