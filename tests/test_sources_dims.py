@@ -72,3 +72,20 @@ def test_shift_and_modes(spark):
     ts = spark.createDataFrame([(dt.datetime(2024, 1, 1, h),) for h in (0, 5, 6, 13, 14, 21, 22, 23)], "t timestamp")
     assert [r.k for r in ts.select(T.shift_of_hour("t").alias("k")).collect()] == [3, 3, 1, 1, 2, 2, 3, 3]
     assert dim_failure_mode(spark).count() == 6
+
+
+def test_seed_with_declared_types(spark):
+    from vireo.sources.text_csv import load_typed_csv
+    d, p = _csv("failure_mode_sk,mode_code\n1,TWF\n2,OSF\n")
+    df = load_typed_csv(spark, p, "failure_mode_sk int, mode_code string")
+    assert df.dtypes == [("failure_mode_sk", "int"), ("mode_code", "string")]
+    assert [tuple(r) for r in df.orderBy("failure_mode_sk").collect()] == [(1, "TWF"), (2, "OSF")]
+
+
+def test_hash_key_is_portable(spark):
+    import hashlib
+
+    from vireo.operators.keys import hash_key
+    df = spark.createDataFrame([(7, "HOUSEHOLD")], "code bigint, crit string")
+    got = df.select(hash_key(["code", "crit"]).alias("h")).collect()[0].h
+    assert got == hashlib.sha256(b"7|HOUSEHOLD").hexdigest()
