@@ -13,12 +13,14 @@ def test_entry(spark):
     assert df.columns == ["criticality", "versions", "exposed_days", "failures", "mtbf_days", "correctives",
                           "mttr_hours"]
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) == set(E.oracle_sql())
+    from vireo.plans import catalog
+    assert set(catalog.SPARK) == set(catalog.SQL) <= set(E.queries())
 
 
 def test_all_queries_match_oracle(spark):
     from tests.oracle_compare import compare
-    res = compare(spark, SF_SMALL)
+    from vireo.plans import catalog
+    res = compare(spark, SF_SMALL, list(catalog.SPARK))
     bad = {n: r for n, r in res.items()
            if "error" in r or r.get("values_match") is False or r.get("types_match") is False}
     assert not bad, bad
