@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vireo.llm import compression, url_rules
+from vireo.llm import compression, fuzzy_lines, phrase_index, simhash, url_rules
 from vireo.llm.common import table
 
 #: (host, path, verdict) of the listed URLs.
@@ -22,9 +23,27 @@ def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_bands(table(spark, sf_dir, "documents"))
 
 
+def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fuzzy_lines.dedup_lines(docs, counts=True).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op9_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def op10_vantage_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_blocked_bloom_urls": op3_blocked_bloom_urls,
     "op5_compression_bands": op5_compression_bands,
+    "op8_fuzzy_lines": op8_fuzzy_lines,
+    "op9_phrase_index": op9_phrase_index,
+    "op10_vantage_simhash": op10_vantage_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
