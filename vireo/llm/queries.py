@@ -4,25 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.llm import compression, fuzzy_lines, phrase_index, simhash, url_rules
-from vireo.llm.common import table
+from vireo.llm import compression, duckdb_bpe, fuzzy_lines, phrase_index, ppm, simhash, site_style, token_files, toxicity, url_rules
+from vireo.llm.common import crc_fold, table
+from vireo.session import checkpoint_dir, scratch_path
 
 #: (host, path, verdict) of the listed URLs.
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
 
+def op1_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op2_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.ppm_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_blocked_bloom_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_rules.judge(table(spark, sf_dir, "pages"), rules, keep=("page_id",))
 
 
+def op4_zstd_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checkpoint_dir(spark)
+    path = scratch_path(spark, "token-files")
+    with open(public_tokenizers.path("byte_bpe_50k.json")) as f:
+        token_files.write(table(spark, sf_dir, "documents"), path, f.read())
+    return token_files.read(spark, path)
+
+
 def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_bands(table(spark, sf_dir, "documents"))
 
 
+def op6_duckdb_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return duckdb_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op7_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return fuzzy_lines.dedup_lines(docs, counts=True).select("doc_id", "n_lines", "n_removed", "text")
@@ -39,8 +69,13 @@ def op10_vantage_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_site_style_tree": op1_site_style_tree,
+    "op2_ppm_scores": op2_ppm_scores,
     "op3_blocked_bloom_urls": op3_blocked_bloom_urls,
+    "op4_zstd_token_files": op4_zstd_token_files,
     "op5_compression_bands": op5_compression_bands,
+    "op6_duckdb_bpe": op6_duckdb_bpe,
+    "op7_kneser_ney_toxicity": op7_kneser_ney_toxicity,
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_phrase_index": op9_phrase_index,
     "op10_vantage_simhash": op10_vantage_simhash,
