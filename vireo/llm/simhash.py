@@ -44,14 +44,22 @@ LEAF_ROWS = 32768
 PAIR_CHUNK = 1 << 20
 
 
+#: A byte's bits as eight counters of eight bits in one number.
+SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+
+
 def majority_bits(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """Per row, the 64-bit word of the bits set in over half of its hashes (no hashes: zero)."""
     counts = np.diff(firsts)
     out = np.zeros(len(counts), np.uint64)
     full = np.flatnonzero(counts)
     if len(full):
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bits, firsts[full], axis=0, dtype=np.int32)
+        # the counters hold 255 hashes: rows are summed in runs of at most that many, then the runs
+        runs = -(-counts[full] // 255)
+        first_run = np.cumsum(runs) - runs
+        starts = np.repeat(firsts[:-1][full], runs) + 255 * (np.arange(runs.sum()) - np.repeat(first_run, runs))
+        packed = np.add.reduceat(SPREAD[hashes.view(np.uint8).reshape(-1, 8)], starts, axis=0)
+        ones = np.add.reduceat(packed.view(np.uint8).reshape(len(starts), 64), first_run, axis=0, dtype=np.int32)
         major = np.packbits(ones * 2 > counts[full, None], axis=1, bitorder="little")
         out[full] = np.ascontiguousarray(major).view(np.uint64).ravel()
     return out
@@ -198,3 +206,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     named = classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(named.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of every group of near-duplicates the rows whose key names the group (all columns).
+
+    Only the keys of the others are joined against; rows that repeat the kept
+    key stay. Rows with a null key cannot be told apart and stay.
+    """
+    gone = near_duplicates(docs, shingle, max_bits, key, text).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone"))
+    kept_key = docs[key].cast("long")
+    return docs.join(gone.distinct(), kept_key == F.col("gone"), "left_anti")
