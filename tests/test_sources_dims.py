@@ -71,7 +71,7 @@ def test_shift_and_modes(spark):
     assert s["night"].wraps_midnight and not s["morning"].wraps_midnight
     ts = spark.createDataFrame([(dt.datetime(2024, 1, 1, h),) for h in (0, 5, 6, 13, 14, 21, 22, 23)], "t timestamp")
     assert [r.k for r in ts.select(T.shift_of_hour("t").alias("k")).collect()] == [3, 3, 1, 1, 2, 2, 3, 3]
-    assert dim_failure_mode(spark).count() == 6
+    assert dim_failure_mode(spark).count() == 7
 
 
 def test_seed_with_declared_types(spark):
@@ -82,10 +82,47 @@ def test_seed_with_declared_types(spark):
     assert [tuple(r) for r in df.orderBy("failure_mode_sk").collect()] == [(1, "TWF"), (2, "OSF")]
 
 
-def test_hash_key_is_portable(spark):
+def test_hash_key_is_portable_and_tells_keys_apart(spark):
     import hashlib
 
     from vireo.operators.keys import hash_key
     df = spark.createDataFrame([(7, "HOUSEHOLD")], "code bigint, crit string")
-    got = df.select(hash_key(["code", "crit"]).alias("h")).collect()[0].h
-    assert got == hashlib.sha256(b"7|HOUSEHOLD").hexdigest()
+    assert df.select(hash_key(["code", "crit"]).alias("h")).first().h == hashlib.sha256(b"1:7|9:HOUSEHOLD").hexdigest()
+    odd = [("a|b", "c"), ("a", "b|c"), ("a", None), (None, "a"), ("", "a"), ("~", "a"), ("a|1:b", None), (None, None)]
+    keys = spark.createDataFrame(odd, "x string, y string").select(hash_key(["x", "y"]).alias("h"))
+    assert keys.distinct().count() == len(odd)
+
+
+def test_storage_commits_count_once_finished(spark, tmp_path):
+    from vireo.sources.storage import CommitLog, children
+    log = CommitLog(spark, str(tmp_path / "t"))
+    assert log.latest() is None
+    log.add(0, spark.createDataFrame([(1,)], "v int"), "a")
+    (tmp_path / "t" / "commits" / "000000000001-b").mkdir()  # an attempt that never finished
+    assert log.latest()[0] == 0 and log.latest()[1].first().v == 1
+    log.add(1, spark.createDataFrame([(2,)], "v int"), "c")
+    assert log.latest()[0] == 1 and log.latest()[1].first().v == 2
+    log.forget_before(1)
+    assert "000000000000-a" not in children(spark, log.folder)
+
+
+def test_no_scratch_folder_off_local_masters():
+    import pytest
+
+    from vireo.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(_key, default=None):
+                return default
+    with pytest.raises(ValueError):
+        checkpoint_dir(Session())

@@ -62,8 +62,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; it is read
-    from the session and used as is. Only when nothing is configured (local
-    tests) a fresh scratch folder is created and registered.
+    from the session and used as is. Only when nothing is configured on a
+    local master (tests) a fresh scratch folder is created and registered; on
+    any other master that is an error, as executors could not see the folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -71,6 +72,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: it has to name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="vireo-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -79,5 +82,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{os.urandom(6).hex()}")
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete what ``scratch_path`` has handed out so far, at the end of a session's work.
+
+    Results that were read back from there cannot be read any more. Marts
+    kept under a name are not scratch. Returns the number of paths.
+    """
+    from vireo.sources import storage
+    paths = _SCRATCH[:]
+    for path in paths:
+        storage.delete(spark, path)
+        _SCRATCH.remove(path)
+    return len(paths)

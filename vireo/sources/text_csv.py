@@ -4,21 +4,20 @@ Raw files are read as text with the header's own column names (a UTF-8 BOM
 is dropped by the CSV reader), empty fields become NULL, and two audit
 columns record when and from which file each row was loaded. A manifest of
 tables is loaded all-or-nothing: every table is written under one fresh
-version directory and only then a pointer file is switched to it, so readers
-never see a half-loaded set.
+version folder and only then a commit names it, so readers never see a
+half-loaded set, on any file system.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-import json
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vireo.sources.storage import CommitLog
+
 LOADED_AT = "_loaded_at"
 SOURCE_FILE = "_source_file"
 
@@ -43,32 +42,30 @@ def load_manifest(spark: SparkSession, manifest: dict[str, str], target_root: st
     """Load every table of ``manifest`` (name -> csv path) all-or-nothing.
 
     Tables go to ``target_root/v=<id>/<name>``; the row count of each table is
-    collected from the written files with one aggregate per table. Only after
-    all writes succeed is ``target_root/CURRENT`` replaced, so a failure
-    leaves the previous version in place and a rerun is an idempotent full
-    replace.
+    taken from the written files with one aggregate per table. Only after all
+    writes succeed a commit names the version, so a failure leaves the
+    previous one in place and a rerun is an idempotent full replace.
     """
-    version = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
-    vdir = os.path.join(target_root, f"v={version}")
-    frames = {name: load_text_csv(spark, path) for name, path in manifest.items()}
+    commits, version = CommitLog(spark, target_root), uuid.uuid4().hex
+    last = commits.latest()
     counts: dict[str, int] = {}
-    for name, df in frames.items():
-        out = os.path.join(vdir, name)
-        df.write.mode("overwrite").parquet(out)
+    for name, path in manifest.items():
+        out = f"{target_root}/v={version}/{name}"
+        load_text_csv(spark, path).write.parquet(out)
         counts[name] = spark.read.parquet(out).count()
-    os.makedirs(target_root, exist_ok=True)
-    tmp = os.path.join(target_root, f".CURRENT-{version}")
-    with open(tmp, "w") as fh:
-        json.dump({"version": version, "tables": counts}, fh)
-    os.replace(tmp, os.path.join(target_root, "CURRENT"))
+    rows = [(version, name, n) for name, n in sorted(counts.items())]
+    commits.add(0 if last is None else last[0] + 1, spark.createDataFrame(rows, "version string, name string, loaded_rows long"), version)
     return counts
 
 
-def current_version(target_root: str) -> str:
-    with open(os.path.join(target_root, "CURRENT")) as fh:
-        meta = json.load(fh)
-    return os.path.join(target_root, f"v={meta['version']}")
+def loaded_tables(spark: SparkSession, target_root: str) -> DataFrame:
+    """(version, name, loaded_rows) of the committed load."""
+    last = CommitLog(spark, target_root).latest()
+    if last is None:
+        raise FileNotFoundError(f"nothing has been loaded to {target_root}")
+    return last[1]
 
 
 def read_loaded(spark: SparkSession, target_root: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(current_version(target_root), name))
+    version = loaded_tables(spark, target_root).first().version
+    return spark.read.parquet(f"{target_root}/v={version}/{name}")
