@@ -1,28 +1,75 @@
-"""The streaming snapshot apply reproduces the one-pass history."""
+"""The durable history sink equals the one-pass history, however changes arrive."""
 
-import os
-import tempfile
-import time
+import random
+
+import pytest
 
 from tests.test_history import BASE_SCHEMA, KW, LOG_SCHEMA, D, versions
 from vireo.operators.history import scd2_history
-from vireo.streaming import history_stream
-
-
-def test_stream_matches_one_pass(spark):
-    base = spark.createDataFrame([("M1", "L1", "high", "op", D("2024-01-01")),
-                                  ("M2", "L2", "low", "op", D("2024-01-01")),
-                                  ("M3", "L3", "mid", "op", D("2024-06-01"))], BASE_SCHEMA)
-    rows = [("M1", D("2024-03-04"), "line", "L9"), ("M2", D("2024-05-01"), "crit", "high"),
-            ("M2", D("2024-05-01"), "state", "refurb"), ("M3", D("2024-04-01"), "line", "L7"),
-            ("M3", D("2024-08-01"), "crit", "low"), ("M2", D("2024-08-01"), "crit", "high")]
-    log = spark.createDataFrame(rows, LOG_SCHEMA)
-    work = tempfile.mkdtemp(prefix="vireo-stream-")
-    src = os.path.join(work, "changes")
-    for d in sorted({r[1] for r in rows}):
-        log.filter(log.d == d).coalesce(1).write.mode("append").parquet(src)
-        time.sleep(1.1)  # distinct modification times keep the file order
-    root = os.path.join(work, "history")
-    history_stream.start(spark, src, LOG_SCHEMA, base, root, os.path.join(work, "ckpt"), **KW)
-    got = history_stream.current_history(spark, root)
-    assert versions(got) == versions(scd2_history(base, log, **KW))
+from vireo.sources import storage
+from vireo.streaming.history_stream import HistorySink, start
+
+BASE = [("M1", "L1", "high", "op", D("2024-01-01")), ("M2", "L2", "low", "op", D("2024-01-01")), ("M3", "L3", "mid", "op", D("2024-06-01"))]
+ROWS = [("M1", D("2024-03-04"), "line", "L9"), ("M2", D("2024-05-01"), "crit", "high"),
+        ("M2", D("2024-05-01"), "state", "refurb"), ("M3", D("2024-04-01"), "line", "L7"),
+        ("M3", D("2024-08-01"), "crit", "low"), ("M2", D("2024-08-01"), "crit", "high"),
+        ("M1", D("2024-03-09"), "line", "L2"), ("M1", D("2024-03-09"), "line", "L1")]
+
+
+@pytest.fixture()
+def world(spark, tmp_path):
+    base = spark.createDataFrame(BASE, BASE_SCHEMA)
+    log = spark.createDataFrame(ROWS, LOG_SCHEMA)
+    return base, log, HistorySink(spark, base, str(tmp_path / "history"), buckets=4, **KW), versions(scd2_history(base, log, **KW))
+
+
+def test_one_batch_with_several_dates_of_a_key(world):
+    _, log, sink, expected = world
+    sink.apply(log, 0)
+    assert versions(sink.history(log)) == expected
+
+
+def test_batches_in_any_order(spark, world):
+    _, log, sink, expected = world
+    rows = ROWS[:]
+    random.Random(4).shuffle(rows)
+    for i in range(0, len(rows), 3):
+        assert sink.append(spark.createDataFrame(rows[i:i + 3], LOG_SCHEMA)) == i // 3
+    assert versions(sink.history(log)) == expected
+
+
+def test_retried_epochs(spark, world, tmp_path):
+    _, log, sink, expected = world
+    first, second = spark.createDataFrame(ROWS[:5], LOG_SCHEMA), spark.createDataFrame(ROWS[5:], LOG_SCHEMA)
+    sink.apply(first, 0)
+    sink.apply(first, 0)  # after its commit: nothing happens
+    before = versions(sink.history(log))
+    commit, sink.commits.add = sink.commits.add, None
+    with pytest.raises(TypeError):
+        sink.apply(second, 1)  # all is written, then the commit fails
+    assert versions(sink.history(log)) == before
+    sink.commits.add = commit
+    sink.apply(second, 1)
+    sink.apply(first, 0)
+    assert versions(sink.history(log)) == expected
+    folders = storage.children(spark, f"{sink.root}/data")
+    assert sink.vacuum() > 0 and len(storage.children(spark, f"{sink.root}/data")) < len(folders)
+    assert versions(sink.history(log)) == expected
+
+
+def test_empty_batch_and_no_commit(spark, world):
+    _, log, sink, expected = world
+    assert sink.history(log) is None
+    sink.append(log)
+    sink.append(log.limit(0))
+    assert versions(sink.history(log)) == expected
+
+
+def test_stream(spark, world, tmp_path):
+    _, log, sink, expected = world
+    src = str(tmp_path / "changes")
+    for part in (log.limit(3), log.subtract(log.limit(3))):
+        part.write.mode("append").parquet(src)
+    start(sink, src, LOG_SCHEMA, str(tmp_path / "ckpt"))
+    start(sink, src, LOG_SCHEMA, str(tmp_path / "ckpt"))  # nothing new
+    assert versions(sink.history(log)) == expected

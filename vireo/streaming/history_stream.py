@@ -1,97 +1,119 @@
-"""Incremental type-2 history over a stream of change-log files.
-
-Each micro-batch is one snapshot run with the timestamp strategy: the
-latest value per (key, field) seen so far is kept as a small table, the
-state of the keys touched by the batch is derived from it, and
-``scd2_apply`` closes and opens versions. Older-than-recorded changes are
-ignored for versioning, as in the batch loop. Every epoch writes the new
-history and the new latest-value table to ``<root>/epoch=<n>`` and then
-switches a pointer file, so a retried epoch rewrites the same directory and
-readers never see a half-written state. Feeding the change dates in order
-reproduces ``scd2_history`` (tested).
+"""A durable type-2 history that change batches are applied to.
+
+The state below ``root`` is two tables by key bucket: the change log reduced
+to one value per (key, date, field), and the history. A batch touches some
+buckets. Their log is merged with the batch, their history is rebuilt from it
+by ``scd2_history``, both are written to a fresh folder, and one commit then
+names the folder of every bucket. So the result does not depend on how
+changes fall into batches: several dates of a key in one batch open one
+version each, and a late change takes its place in the past.
+
+An epoch that is applied again (Spark retries one after a failure) finds its
+number committed and does nothing; one that failed before its commit leaves
+only files that nobody names, and starts afresh from the last commit. The
+same sink serves batch jobs (``append``) and streams (``start``).
 """
 
 from __future__ import annotations
 
-import json
-import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.operators.history import scd2_apply
-
-POINTER = "CURRENT"
-
-
-def _read_pointer(root: str) -> str | None:
-    p = os.path.join(root, POINTER)
-    if not os.path.exists(p):
-        return None
-    with open(p) as fh:
-        return json.load(fh)["dir"]
-
-
-def _write_pointer(root: str, target: str) -> None:
-    tmp = os.path.join(root, f".{POINTER}.tmp")
-    with open(tmp, "w") as fh:
-        json.dump({"dir": target}, fh)
-    os.replace(tmp, os.path.join(root, POINTER))
-
-
-def current_history(spark: SparkSession, root: str) -> DataFrame | None:
-    d = _read_pointer(root)
-    return None if d is None else spark.read.parquet(os.path.join(d, "history"))
-
-
-def make_batch_writer(spark: SparkSession, base: DataFrame, root: str, *, key: str, base_date: str,
-                      date: str, field: str, value: str, fields: Sequence[str]):
-    """foreachBatch function applying one batch of changes to the history."""
-    os.makedirs(root, exist_ok=True)
-    fields = list(fields)
-
-    def apply(batch: DataFrame, epoch_id: int) -> None:
-        prev_dir = _read_pointer(root)
-        latest_new = (batch.groupBy(key, field)
-                      .agg(F.max(F.struct(F.col(date).alias("d"), F.col(value).alias("v"))).alias("_l")))
-        if prev_dir is not None:
-            latest_old = spark.read.parquet(os.path.join(prev_dir, "latest"))
-            latest = (latest_old.unionByName(latest_new).groupBy(key, field)
-                      .agg(F.max("_l").alias("_l")))
-            target = spark.read.parquet(os.path.join(prev_dir, "history"))
-        else:
-            latest, target = latest_new, None
-        touched = batch.select(key).distinct()
-        applied = (latest.join(touched, key, "left_semi").groupBy(key).agg(
-            *[F.max(F.when(F.col(field) == F.lit(f), F.col("_l.v"))).alias(f"_new_{f}") for f in fields],
-            F.max("_l.d").alias("_last")))
-        state = base.join(applied, key, "inner")
-        for f in fields:
-            state = state.withColumn(f, F.coalesce(F.col(f"_new_{f}"), F.col(f).cast("string")))
-        state = (state.withColumn("updated_at", F.col("_last").cast("timestamp_ntz"))
-                 .drop(*[f"_new_{f}" for f in fields], "_last"))
-        if target is None:
-            # first run: every key gets its baseline version at the base date
-            baseline = base.select(*[F.col(c).cast("string").alias(c) if c in fields else F.col(c)
-                                     for c in base.columns],
-                                   F.col(base_date).cast("timestamp_ntz").alias("updated_at"))
-            target = scd2_apply(None, baseline, key=key)
-        history = scd2_apply(target, state.select(*target.columns[:-2]), key=key)
-        out = os.path.join(root, f"epoch={epoch_id}")
-        history.write.mode("overwrite").parquet(os.path.join(out, "history"))
-        latest.write.mode("overwrite").parquet(os.path.join(out, "latest"))
-        _write_pointer(root, out)
-
-    return apply
-
-
-def start(spark: SparkSession, changes_dir: str, schema: str, base: DataFrame, root: str,
-          checkpoint_location: str, **kw):
-    """Run the stream over the files in ``changes_dir`` (one file per trigger)
-    until no new file is left, then stop."""
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(changes_dir))
-    q = (stream.writeStream.foreachBatch(make_batch_writer(spark, base, root, **kw))
-         .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
+from vireo.operators.history import scd2_history
+from vireo.sources import storage
+
+
+class HistorySink:
+    """History of ``base`` (one row per key) under change batches, kept below ``root``."""
+
+    def __init__(self, spark: SparkSession, base: DataFrame, root: str, *, key: str, base_date: str, date: str,
+                 field: str, value: str, fields: Sequence[str], buckets: int = 32):
+        self.spark, self.base, self.root, self.buckets = spark, base, root, buckets
+        self.names = dict(key=key, base_date=base_date, date=date, field=field, value=value, fields=list(fields))
+        self.commits = storage.CommitLog(spark, root)
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(self.names["key"]), F.lit(self.buckets)).cast("int")
+
+    def _committed(self) -> tuple[int, dict[int, str]]:
+        """Last epoch (-1: none) and the folder of each bucket (at most ``buckets`` rows)."""
+        last = self.commits.latest()
+        return (-1, {}) if last is None else (last[0], {r.bucket: r.folder for r in last[1].collect()})
+
+    def _read(self, folders: dict[int, str], part: str, schema) -> DataFrame:
+        by_folder: dict[str, list[int]] = {}
+        for bucket, folder in folders.items():
+            by_folder.setdefault(folder, []).append(bucket)
+        out = self.spark.createDataFrame([], schema)
+        for folder, buckets in sorted(by_folder.items()):
+            out = out.unionByName(self.spark.read.schema(schema).parquet(f"{folder}/{part}").where(F.col("bucket").isin(buckets)))
+        return out.drop("bucket")
+
+    def _log(self, rows: DataFrame) -> DataFrame:
+        """One value per (key, date, field): the larger one wins a tie."""
+        n = self.names
+        return rows.groupBy(n["key"], n["date"], n["field"]).agg(F.max(n["value"]).alias(n["value"]))
+
+    def _write(self, rows: DataFrame, path: str) -> DataFrame:
+        bucketed = rows.withColumn("bucket", self._bucket())
+        bucketed.write.partitionBy("bucket").parquet(path)
+        return self.spark.read.schema(bucketed.schema).parquet(path).drop("bucket")
+
+    def _schemas(self, batch: DataFrame):
+        log = self._log(batch).withColumn("bucket", self._bucket())
+        history = scd2_history(self.base, log.drop("bucket"), **self.names).withColumn("bucket", self._bucket())
+        return log.schema, history.schema
+
+    def apply(self, batch: DataFrame, epoch: int) -> None:
+        """Merge one batch of changes (also usable as a ``foreachBatch`` function)."""
+        last, folders = self._committed()
+        if epoch <= last:
+            return
+        n = self.names
+        batch = batch.select(n["key"], n["date"], n["field"], n["value"])
+        # the first batch builds the history of every key
+        touched = [r.b for r in batch.select(self._bucket().alias("b")).distinct().collect()] if folders else list(range(self.buckets))
+        attempt = uuid.uuid4().hex[:12]
+        if touched:
+            folder = f"{self.root}/data/{epoch:012d}-{attempt}"
+            old = self._read({b: f for b, f in folders.items() if b in touched}, "log", self._schemas(batch)[0])
+            log = self._write(self._log(old.unionByName(batch)), f"{folder}/log")
+            base = self.base.where(self._bucket().isin(touched))
+            self._write(scd2_history(base, log, **n), f"{folder}/history")
+            folders = folders | dict.fromkeys(touched, folder)
+        rows = self.spark.createDataFrame(sorted(folders.items()), "bucket int, folder string")
+        self.commits.add(epoch, rows, attempt)
+
+    def append(self, batch: DataFrame) -> int:
+        """Apply a batch as the next epoch and return its number."""
+        epoch = self._committed()[0] + 1
+        self.apply(batch, epoch)
+        return epoch
+
+    def history(self, like: DataFrame) -> DataFrame | None:
+        """The committed history (None before the first commit); ``like`` gives the log's column types."""
+        _, folders = self._committed()
+        n = self.names
+        return self._read(folders, "history", self._schemas(like.select(n["key"], n["date"], n["field"], n["value"]))[1]) if folders else None
+
+    def vacuum(self) -> int:
+        """Remove folders that the last commit does not name; returns how many."""
+        last, folders = self._committed()
+        named = {f.rsplit("/", 1)[1] for f in folders.values()}
+        old = [f for f in storage.children(self.spark, f"{self.root}/data") if f not in named and int(f.split("-")[0]) <= last]
+        for f in old:
+            storage.delete(self.spark, f"{self.root}/data/{f}")
+        self.commits.forget_before(last)
+        return len(old)
+
+
+def start(sink: HistorySink, changes_dir: str, schema: str, checkpoint_location: str):
+    """Run the files of ``changes_dir`` through the sink until no new one is left, then stop."""
+    stream = sink.spark.readStream.schema(schema).parquet(changes_dir)
+    query = (stream.writeStream.foreachBatch(sink.apply).option("checkpointLocation", checkpoint_location)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query
