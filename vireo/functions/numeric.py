@@ -1,8 +1,8 @@
-"""Exact-decimal helpers.
+"""Rounding of report figures.
 
-Money and ratios are computed in decimal and rounded HALF_UP once at the end
-(PostgreSQL ``round(numeric)`` semantics); the rounded value is exposed as a
-double so that results compare by value across engines.
+Money is summed in decimal; ratios of sums are doubles. Both are rounded
+HALF_UP once at the end (PostgreSQL ``round(numeric)`` semantics), and the
+rounded value is exposed as a double.
 """
 
 from __future__ import annotations
@@ -15,23 +15,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def dec(x, precision: int = 18, scale: int = 2) -> Column:
-    return _c(x).cast(f"decimal({precision},{scale})")
-
-
-def money(x) -> Column:
-    return dec(x, 12, 2)
-
-
 def round_out(x, scale: int) -> Column:
     """Round HALF_UP at ``scale`` and expose as double."""
     return F.round(_c(x).cast("decimal(38,10)"), scale).cast("double")
-
-
-def pooled_ratio(numerator, denominator) -> Column:
-    """sum-over-sum ratio with a zero denominator giving NULL (ANSI-safe)."""
-    return _c(numerator) / F.nullif(_c(denominator), F.lit(0))
-
-
-def typed_null(type_name: str) -> Column:
-    return F.lit(None).cast(type_name)

@@ -14,7 +14,8 @@ def _c(x) -> Column:
 
 def date_key(ts, unknown: int | None = None) -> Column:
     """Integer YYYYMMDD key of a date or timestamp; NULL maps to ``unknown``."""
-    k = F.date_format(_c(ts), "yyyyMMdd").cast("int")
+    c = _c(ts)
+    k = F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)
     return k if unknown is None else F.coalesce(k, F.lit(unknown))
 
 

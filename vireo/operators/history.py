@@ -7,8 +7,8 @@ built in one Spark job instead of one snapshot run per cut-off date:
   field (the pivot); this aggregate combines map-side, and afterwards a key
   has at most one row per calendar day, so even a key holding a third of all
   log rows leaves a bounded group for the per-key window that follows;
-* one window per key carries the last non-null value of every field forward
-  and finds the start of the next version;
+* one sort per key serves two windows: one carries the last non-null value of
+  every field forward, one finds the start of the next version with ``lead``;
 * a version opens at every distinct change date after the key's base date,
   plus one baseline version at the base date. A change dated on or before
   the base date opens nothing but its value still shows in later versions;
@@ -94,12 +94,12 @@ def scd2_history(base: DataFrame, log: DataFrame, *, key: str, base_date: str, d
                 .withColumn("_day", F.unix_date(F.col("_d"))))
     w = Window.partitionBy(key).orderBy("_day", "_is_base")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    after = Window.partitionBy(key).orderBy("_day").rangeBetween(1, Window.unboundedFollowing)
     carried = rows.select(
         "*",
-        *[F.last(F.col(f), ignorenulls=True).over(upto).alias(f"_run_{f}") for f in fields],
-        F.min(F.col("_d")).over(after).alias("_next"))
-    versions = carried.filter(F.col("_is_base") | (F.col("_d") > F.col(f"_b_{base_date}")))
+        *[F.last(F.col(f), ignorenulls=True).over(upto).alias(f"_run_{f}") for f in fields])
+    # an opened version has a day of its own, so the next one ends it; the rows are sorted for it already
+    opened = carried.filter(F.col("_is_base") | (F.col("_d") > F.col(f"_b_{base_date}")))
+    versions = opened.withColumn("_next", F.lead("_d").over(Window.partitionBy(key).orderBy("_day")))
     out_cols = []
     for c in base.columns:
         if c == key:
@@ -154,14 +154,14 @@ def dress_scd2(history: DataFrame, *, key: str, sk: str, version: str = "version
 
     Version number per key, first version opened at BEGIN_OF_TIME, open end
     closed at END_OF_TIME, current flag, and a dense surrogate key over
-    (key, valid_from). ``sk_fn(df, order, name)`` builds the key (two-pass
-    dense key by default).
+    (key, valid_from). One range shuffle on the key serves the version number
+    and the dense key; ``sk_fn(df, order, name)`` builds the key in another way.
     """
     from vireo.operators.keys import dense_key
-    sk_fn = sk_fn or dense_key
     w = Window.partitionBy(key).orderBy("valid_from")
-    numbered = history.withColumn(version, F.row_number().over(w))
-    keyed = sk_fn(numbered, [key, "valid_from"], sk)
+    numbered = history.repartitionByRange(key).withColumn(version, F.row_number().over(w))
+    order = [key, "valid_from"]
+    keyed = sk_fn(numbered, order, sk) if sk_fn else dense_key(numbered, order, sk, ranged=True)
     return (keyed
             .withColumn("is_current", F.col("valid_to").isNull())
             .withColumn("valid_from", F.when(F.col(version) == 1, F.lit(C.BEGIN_OF_TIME).cast("timestamp_ntz"))

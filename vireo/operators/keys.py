@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vireo import constants as C
 
 
-def dense_key(df: DataFrame, order: Sequence[str], name: str, start: int = 1) -> DataFrame:
+def dense_key(df: DataFrame, order: Sequence[str], name: str, start: int = 1, ranged: bool = False) -> DataFrame:
     """Dense integer key 1..n over a total order, without a single partition.
 
     ``row_number() over (order by ...)`` funnels every row through one task.
@@ -21,10 +21,12 @@ def dense_key(df: DataFrame, order: Sequence[str], name: str, start: int = 1) ->
     partition then gives the starting offset of each partition; that table is
     bounded by the number of partitions and is the only thing broadcast.
     The result equals ``row_number()`` over the same order when the order is
-    total.
+    total. ``ranged`` says that the rows are range-partitioned on the first
+    columns of ``order`` already, which saves the shuffle.
     """
     order = list(order)
-    tagged = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = df if ranged else df.repartitionByRange(*order)
+    tagged = (placed.sortWithinPartitions(*order)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .checkpoint(eager=True))
@@ -43,16 +45,16 @@ def row_number_key(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
 
 
 def hash_key(cols: Sequence[str]) -> "F.Column":
-    """Stable content key for incremental builds: SHA-256 (hex) of the
-    '|'-joined natural key. Needs no global ordering and gives the same value
-    in any engine, so keys survive rebuilds and can be checked externally."""
-    return F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]), 256)
-
-
-def hash_key64(cols: Sequence[str]) -> "F.Column":
-    """64-bit variant (xxhash64) when a compact join key matters more than
-    portability."""
-    return F.xxhash64(*[F.col(c) for c in cols])
+    """Stable content key for incremental builds: SHA-256 (hex) of the natural key.
+
+    Every part is written as its length, a colon and its text, a null as ``~``,
+    so no two different keys are joined to the same text. It needs no global
+    ordering and gives the same value in any engine, so keys survive rebuilds
+    and can be checked externally."""
+    def part(c: str):
+        text = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~"))
+    return F.sha2(F.concat_ws("|", *[part(c) for c in cols]), 256)
 
 
 def with_unknown_member(dim: DataFrame, sk: str, defaults: Mapping[str, object]) -> DataFrame:
