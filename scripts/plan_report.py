@@ -14,9 +14,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def tree(df) -> str:
     """Run the plan, then return the final adaptive plan tree (no details)."""
-    plan = df._jdf.queryExecution().executedPlan()
-    plan.executeCollect()  # runs this very plan (rows stay in the JVM), fixing the adaptive choices
-    return plan.toString()
+    query = df._jdf.queryExecution()
+    query.toRdd().count()  # runs this very plan on the executors, fixing the adaptive choices
+    return query.executedPlan().toString()
 
 
 def main() -> None:
@@ -39,7 +39,7 @@ def main() -> None:
     sections = []
     for title, build in steps:
         sections.append((title, tree(build())))
-    s.materialize(Star.MARTS)
+    s = Star.shared(spark, sf_dir)
     for title, build in [("R1 mtbf_mttr_by_segment", reports.mtbf_mttr_by_segment),
                          ("R2 cost_concentration", reports.cost_concentration),
                          ("R4 next_quarter_effect", reports.next_quarter_effect),
