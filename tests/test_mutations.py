@@ -60,9 +60,41 @@ def test_known_baseline_warns_growth_errors(spark):
     assert evaluate(spark, {"t": df}, [rule(1)]).collect()[0].status == "error"
 
 
-def test_percent_thresholds(spark):
-    df = spark.createDataFrame([(i,) for i in range(-3, 7)], "v int")  # 3 of 10 rows violate
-    rule = lambda w, e: Rule("neg", "t", "expression_is_true", expr="v >= 0", warn_after_pct=w, error_after_pct=e)
-    assert evaluate(spark, {"t": df}, [rule(0, 40)]).collect()[0].status == "warn"
-    assert evaluate(spark, {"t": df}, [rule(0, 25)]).collect()[0].status == "error"
-    assert evaluate(spark, {"t": df}, [rule(30, 40)]).collect()[0].status == "pass"
+def test_growth_of_audited_dirt_is_an_error(spark, monkeypatch):
+    s = Star.from_dir(spark, SF_SMALL)
+    known = {r.test: r for r in checks.quality_report(s).collect()}
+    dirty = ("conclusion_not_before_opening", "charge_not_above_price")
+    assert all(known[t].violations > 0 and known[t].status == "warn" for t in dirty)
+    orders = s.src["orders"].count()
+    for t in dirty:
+        monkeypatch.setitem(C.AUDITED, t, {orders: known[t].violations - 1})
+    worse = {r.test: r.status for r in checks.quality_report(s).collect()}
+    assert all(worse[t] == "error" for t in dirty)
+
+
+def test_a_data_set_without_an_audit_allows_no_dirt():
+    assert checks.audited("conclusion_not_before_opening", 123) == 0
+
+
+def test_origin_can_fail(spark):
+    s = Star.from_dir(spark, SF_SMALL)
+    before = checks.corrective_from_failure(s).collect()[0]
+    assert before.violations > 0 and before.status == "warn"
+    s.__dict__["fct_readings"] = s.fct_readings.withColumn("has_failure", F.lit(False))
+    after = checks.corrective_from_failure(s).collect()[0]
+    assert after.violations > before.violations and after.status == "error"
+
+
+def test_only_binary_floats_reproduce_the_labels(spark):
+    s = Star.from_dir(spark, SF_SMALL)
+    cells = {(r.mode_code, r.arithmetic): (r.label_without_rule, r.rule_without_label) for r in checks.rules_match_labels(s).collect()}
+    assert all(v == (0, 0) for k, v in cells.items() if k != ("PWF", "decimal"))
+    assert sum(cells["PWF", "decimal"]) > 0
+    s.__dict__["readings"] = s.readings.withColumn("tax", F.col("tax") + F.lit("0.01").cast("decimal(4,2)"))
+    moved = {(r.mode_code, r.arithmetic): r.rule_without_label + r.label_without_rule for r in checks.rules_match_labels(s).collect()}
+    assert moved["PWF", "binary"] > 0 and moved["OSF", "decimal"] > 0 and moved["HDF", "binary"] == 0
+
+
+def test_random_failures_are_never_declared(spark):
+    r = Star.from_dir(spark, SF_SMALL).readings
+    assert r.filter("flag_rnf").count() > 0 and r.filter("flag_rnf AND declared_failure").count() == 0

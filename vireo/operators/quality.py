@@ -39,11 +39,6 @@ class Rule:
     severity: str = "error"
     warn_after: int = 0
     error_after: int = 0
-    # optional thresholds relative to the table's row count (percent); a
-    # known share of dirty rows warns and only growth beyond it errors, at
-    # any scale (row-level rules only)
-    warn_after_pct: float | None = None
-    error_after_pct: float | None = None
     extra: dict = field(default_factory=dict)
 
 
@@ -74,28 +69,19 @@ def violation_predicate(r: Rule):
     return p
 
 
-def _over(n, count: int, pct: float | None, total):
-    if pct is None:
-        return n > F.lit(count)
-    return n * F.lit(100.0) > F.lit(float(pct)) * total
-
-
-def _status(n, r: Rule, total=None):
-    if (r.warn_after_pct is not None or r.error_after_pct is not None) and total is None:
-        raise ValueError(f"{r.name}: percent thresholds need the row count (row-level rules only)")
-    warn = _over(n, r.warn_after, r.warn_after_pct, total)
+def _status(n, r: Rule):
+    warn = n > F.lit(r.warn_after)
     if r.severity == "error":
-        err = _over(n, r.error_after, r.error_after_pct, total)
-        return F.when(err, "error").when(warn, "warn").otherwise("pass")
+        return F.when(n > F.lit(r.error_after), "error").when(warn, "warn").otherwise("pass")
     return F.when(warn, "warn").otherwise("pass")
 
 
 def _row_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     counts = df.agg(*[F.count(F.when(violation_predicate(r), 1)).alias(f"_r{i}")
-                      for i, r in enumerate(rules)], F.count(F.lit(1)).alias("_total"))
+                      for i, r in enumerate(rules)])
     rows = F.array(*[F.struct(F.lit(r.name).alias("test"), F.lit(r.table).alias("table_name"),
                               F.col(f"_r{i}").cast("bigint").alias("violations"),
-                              _status(F.col(f"_r{i}"), r, F.col("_total")).alias("status"))
+                              _status(F.col(f"_r{i}"), r).alias("status"))
                      for i, r in enumerate(rules)])
     return counts.select(F.explode(rows).alias("t")).select("t.*")
 
@@ -114,10 +100,13 @@ def _key_rule(tables: Mapping[str, DataFrame], r: Rule) -> DataFrame:
             child = df.filter(F.expr(r.where)).select(F.col(r.column).alias("_k"))
         if not r.nulls_are_violations:
             child = child.filter(F.col("_k").isNotNull())
-        # a NULL child key never equals a parent key, so when NULLs count as
+        # the child is counted per key before it moves, so a hot key is one row;
+        # a NULL key never equals a parent key, so when NULLs count as
         # violations they simply survive the anti join
+        keys = child.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
         parent = tables[r.to_table].select(F.col(r.to_column).alias("_p")).distinct()
-        n = child.join(parent, F.col("_k") == F.col("_p"), "left_anti").agg(F.count(F.lit(1)).alias("n"))
+        # (a left join, as the optimizer would move an anti join below the counts)
+        n = keys.join(parent, F.col("_k") == F.col("_p"), "left").where("_p IS NULL").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
     else:
         raise ValueError(f"unknown rule kind {r.kind}")
     return n.select(F.lit(r.name).alias("test"), F.lit(r.table).alias("table_name"),

@@ -12,12 +12,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vireo import constants as C
+from vireo.operators.dedup import duplicate_count
 from vireo.operators.quality import Rule, evaluate, singular
 from vireo.plans.oracle import q
+from vireo.plans.staging import LINE_KEY
 from vireo.plans.star import Star
 
 
-def rules() -> list[Rule]:
+def audited(name: str, orders: int) -> int:
+    """Violations known for a data set of that many orders; an unaudited one has none."""
+    return C.AUDITED[name].get(orders, 0)
+
+
+def rules(orders: int = 0) -> list[Rule]:
+    """All generic rules, with the audited counts of a data set of that many orders."""
     seg = tuple(C.SEGMENTS) + (C.UNKNOWN_LABEL,)
     return [
         # keys
@@ -48,18 +56,20 @@ def rules() -> list[Rule]:
         Rule("range_reading_quantity", "fct_readings", "accepted_range", column="quantity", min_value=1, max_value=50),
         Rule("range_day_of_week", "dim_date", "accepted_range", column="day_of_week", min_value=0, max_value=6),
         # expressions; known dirt is a warning, not an error
-        # known dirt: inverted dates are about 29% of the orders at every scale
         Rule("conclusion_not_before_opening", "fct_work_orders", "expression_is_true",
-             expr="concluded_at IS NULL OR concluded_at >= opened_at", error_after_pct=40),
+             expr="concluded_at IS NULL OR concluded_at >= opened_at", error_after=audited("conclusion_not_before_opening", orders)),
         Rule("parts_cost_non_negative", "fct_work_orders", "expression_is_true", expr="parts_cost >= 0"),
         Rule("labour_cost_non_negative", "fct_work_orders", "expression_is_true", expr="labour_cost >= 0"),
         Rule("total_cost_non_negative", "fct_work_orders", "expression_is_true", expr="total_cost >= 0"),
         Rule("duration_non_negative", "fct_work_orders", "expression_is_true", expr="duration_hours >= 0"),
         Rule("order_has_known_machine", "fct_work_orders", "expression_is_true", expr="asset_sk <> -1",
              severity="warn"),
-        # known dirt: about 6% of the executed orders point to a supplier outside the technicians
-        Rule("order_has_known_technician", "fct_work_orders", "expression_is_true",
-             expr="technician_sk <> -1", where="concluded_at IS NOT NULL", error_after_pct=10),
+        Rule("order_has_known_technician", "fct_work_orders", "expression_is_true", expr="technician_sk <> -1",
+             where="concluded_at IS NOT NULL", error_after=audited("order_has_known_technician", orders)),
+        # two measures of one reading against each other
+        Rule("net_price_not_above_price", "fct_readings", "expression_is_true", expr="net_price <= price"),
+        Rule("charge_not_above_price", "fct_readings", "expression_is_true", expr="charge <= price",
+             error_after=audited("charge_not_above_price", orders)),
         Rule("reading_has_known_machine", "fct_readings", "expression_is_true", expr="asset_sk <> -1"),
         Rule("date_key_agrees_with_date", "dim_date", "expression_is_true",
              expr="date_sk = year * 10000 + month * 100 + day_of_month", where="date_sk <> -1"),
@@ -87,7 +97,7 @@ def _tables(s: Star) -> dict[str, DataFrame]:
 
 
 def quality_report(s: Star) -> DataFrame:
-    return evaluate(s.spark, _tables(s), rules())
+    return evaluate(s.spark, _tables(s), rules(s.src["orders"].count()))
 
 
 # --- oracle SQL for the rules ----------------------------------------------
@@ -95,17 +105,12 @@ def _lit(v) -> str:
     return f"'{v}'" if isinstance(v, str) else str(v)
 
 
-def _over_sql(n: str, count: int, pct, table: str) -> str:
-    if pct is None:
-        return f"{n} > {count}"
-    return f"{n} * 100.0 > {float(pct)} * (SELECT count(*) FROM {table})"
-
-
 def _status_sql(n: str, r: Rule) -> str:
-    warn = _over_sql(n, r.warn_after, r.warn_after_pct, r.table)
+    warn = f"{n} > {r.warn_after}"
     if r.severity == "error":
-        err = _over_sql(n, r.error_after, r.error_after_pct, r.table)
-        return f"CASE WHEN {err} THEN 'error' WHEN {warn} THEN 'warn' ELSE 'pass' END"
+        known = "".join(f" WHEN {orders} THEN {count}" for orders, count in C.AUDITED.get(r.name, {}).items())
+        limit = f"(SELECT CASE count(*){known} ELSE 0 END FROM orders)" if known else str(r.error_after)
+        return f"CASE WHEN {n} > {limit} THEN 'error' WHEN {warn} THEN 'warn' ELSE 'pass' END"
     return f"CASE WHEN {warn} THEN 'warn' ELSE 'pass' END"
 
 
@@ -161,10 +166,10 @@ def history_complete(s: Star) -> DataFrame:
 
 
 def change_before_install(s: Star) -> DataFrame:
-    """Machines with a change dated on or before their installation."""
+    """Machines with a change dated before their installation."""
     first = s.changes.groupBy("asset_code").agg(F.min("changed_on").alias("first_change"))
     bad = first.join(s.assets.select("asset_code", "installed_on"), "asset_code") \
-        .filter(F.col("installed_on") >= F.col("first_change"))
+        .filter(F.col("installed_on") > F.col("first_change"))
     return singular("no_change_before_install", "changes", bad, severity="warn")
 
 
@@ -176,12 +181,17 @@ def reading_before_install(s: Star) -> DataFrame:
 
 
 def corrective_from_failure(s: Star) -> DataFrame:
-    """Corrective orders whose origin reading is missing or not failing."""
+    """Corrective orders whose origin reading is missing or not failing.
+
+    An order records its origin (its dearest line) without looking at
+    failures, so the check can fail; how often it does is audited.
+    """
     wo = s.fct_work_orders.filter((F.col("order_type") == C.ORDER_CORRECTIVE) & F.col("origin_line").isNotNull())
     rd = s.fct_readings.select("reading_order", "reading_line", "has_failure")
     j = wo.join(rd, (wo["order_no"] == rd["reading_order"]) & (wo["origin_line"] == rd["reading_line"]), "left")
     bad = j.filter(~F.coalesce(F.col("has_failure"), F.lit(False)))
-    return singular("corrective_comes_from_failure", "fct_work_orders", bad)
+    known = audited("corrective_comes_from_failure", s.src["orders"].count())
+    return singular("corrective_comes_from_failure", "fct_work_orders", bad, error_after=known)
 
 
 def facts_agree(s: Star) -> DataFrame:
@@ -203,26 +213,34 @@ def no_not_applicable(s: Star) -> DataFrame:
 
 
 def rules_match_labels(s: Star) -> DataFrame:
-    """Rules recomputed in binary float reproduce the decimal labels."""
-    r = s.lines
-    q_ = F.col("l_quantity").cast("double")
-    d = F.col("l_discount").cast("double")
-    t = F.col("l_tax").cast("double")
-    rules_ = {"HDF": (q_ > F.lit(45.0), F.col("l_quantity").cast("decimal(12,2)") > F.lit(C.HDF_QUANTITY_ABOVE)),
-              "PWF": (d >= F.lit(0.09), F.col("l_discount").cast("decimal(4,2)") >= F.lit(C.PWF_DISCOUNT_FROM).cast("decimal(4,2)")),
-              "OSF": (t >= F.lit(0.08), F.col("l_tax").cast("decimal(4,2)") >= F.lit(C.OSF_TAX_FROM).cast("decimal(4,2)"))}
-    agg = r.agg(*[e for k, (rule, label) in rules_.items() for e in (
-        F.count(F.when(label & ~rule, 1)).alias(f"{k}_l"), F.count(F.when(rule & ~label, 1)).alias(f"{k}_r"))])
-    rows = F.array(*[F.struct(F.lit(k).alias("mode_code"), F.col(f"{k}_l").alias("label_without_rule"),
-                              F.col(f"{k}_r").alias("rule_without_label")) for k in rules_])
-    return agg.select(F.explode(rows).alias("x")).select("x.*")
+    """The source's labels against their rules, in both arithmetics.
+
+    The source marked price pressure from a difference of binary floats, so
+    binary floats reproduce its labels and exact decimals do not: one limit,
+    0.05, splits differences that are equal in decimals. The tax limit depends
+    on the line status. One aggregate over the readings.
+    """
+    quantity, discount, tax = (F.col(c) for c in ("quantity", "discount", "tax"))
+    limits = list(C.OSF_TAX_FROM.items())
+    limit = F.when(F.col("l_linestatus") == limits[0][0], F.lit(limits[0][1])).when(F.col("l_linestatus") == limits[1][0], F.lit(limits[1][1]))
+    rules_ = {
+        ("HDF", "binary"): quantity.cast("double") > F.lit(float(C.HDF_QUANTITY_ABOVE)),
+        ("HDF", "decimal"): quantity > F.lit(C.HDF_QUANTITY_ABOVE),
+        ("OSF", "binary"): tax.cast("double") >= limit.cast("double"),
+        ("OSF", "decimal"): tax >= limit.cast("decimal(4,2)"),
+        ("PWF", "binary"): discount.cast("double") - tax.cast("double") >= F.lit(float(C.PWF_SPREAD_FROM)),
+        ("PWF", "decimal"): discount - tax >= F.lit(C.PWF_SPREAD_FROM).cast("decimal(4,2)")}
+    flags = dict(C.MODE_FLAGS)
+    counts = s.readings.agg(*[e for i, ((mode, _), rule) in enumerate(rules_.items()) for e in (
+        F.count(F.when(F.col(flags[mode]) & ~rule, 1)).alias(f"l{i}"), F.count(F.when(rule & ~F.col(flags[mode]), 1)).alias(f"r{i}"))])
+    rows = F.array(*[F.struct(F.lit(mode).alias("mode_code"), F.lit(kind).alias("arithmetic"), F.col(f"l{i}").alias("label_without_rule"),
+                              F.col(f"r{i}").alias("rule_without_label")) for i, (mode, kind) in enumerate(rules_)])
+    return counts.select(F.explode(rows).alias("x")).select("x.*")
 
 
 def dirt_inventory(s: Star) -> DataFrame:
     """Known dirt by kind (R19): one aggregate per source, unioned."""
-    raw = s.src["lineitem"].agg(F.count(F.lit(1)).alias("n"))
-    dedup = s.lines.agg(F.count(F.lit(1)).alias("m"))
-    dup = raw.crossJoin(dedup).select(F.lit("duplicate_lineitem_rows").alias("item"), (F.col("n") - F.col("m")).alias("rows"))
+    dup = duplicate_count(s.src["lineitem"].select(*LINE_KEY), LINE_KEY).select(F.lit("duplicate_lineitem_rows").alias("item"), F.col("excess_rows").alias("rows"))
     wo = s.fct_work_orders.agg(
         F.count(F.when(F.col("concluded_at").isNull(), 1)).alias("not_executed"),
         F.count(F.when(F.col("concluded_at") < F.col("opened_at"), 1)).alias("inverted_dates"),
@@ -259,7 +277,7 @@ FROM (SELECT count(*) AS versions FROM history) v,
      (SELECT count(*) AS change_days FROM (SELECT DISTINCT asset_code, changed_on FROM changes)) c"""),
     "change_before_install": q(" " + _singular_sql("no_change_before_install", "changes", """(
 SELECT count(*) FROM (SELECT asset_code FROM changes JOIN assets USING (asset_code)
-  GROUP BY asset_code, installed_on HAVING installed_on >= min(changed_on)))""", severity="warn")),
+  GROUP BY asset_code, installed_on HAVING installed_on > min(changed_on)))""", severity="warn")),
     "reading_before_install": q("""
 SELECT r.asset_code, count(*) AS readings_before_install
 FROM readings r JOIN assets a USING (asset_code) WHERE r.read_at < CAST(a.installed_on AS TIMESTAMP)
@@ -277,21 +295,17 @@ SELECT count(*) FROM (SELECT DISTINCT reading_order, reading_line FROM fct_failu
     AND f.reading_line = r.reading_line))""")),
     "no_not_applicable": q(" " + _singular_sql("no_not_applicable_failure", "fct_failures", """(
 SELECT count(*) FROM fct_failures f JOIN dim_mode m USING (failure_mode_sk) WHERE m.mode_code = 'NOT_APPLICABLE')""")),
-    "rules_match_labels": q(f"""
-SELECT 'HDF' AS mode_code,
-       count(*) FILTER (WHERE CAST(l_quantity AS DECIMAL(12,2)) > {C.HDF_QUANTITY_ABOVE} AND NOT (l_quantity > 45.0)) AS label_without_rule,
-       count(*) FILTER (WHERE l_quantity > 45.0 AND NOT (CAST(l_quantity AS DECIMAL(12,2)) > {C.HDF_QUANTITY_ABOVE})) AS rule_without_label
-FROM lines
-UNION ALL
-SELECT 'PWF',
-       count(*) FILTER (WHERE CAST(l_discount AS DECIMAL(4,2)) >= {C.PWF_DISCOUNT_FROM} AND NOT (l_discount >= 0.09)),
-       count(*) FILTER (WHERE l_discount >= 0.09 AND NOT (CAST(l_discount AS DECIMAL(4,2)) >= {C.PWF_DISCOUNT_FROM}))
-FROM lines
-UNION ALL
-SELECT 'OSF',
-       count(*) FILTER (WHERE CAST(l_tax AS DECIMAL(4,2)) >= {C.OSF_TAX_FROM} AND NOT (l_tax >= 0.08)),
-       count(*) FILTER (WHERE l_tax >= 0.08 AND NOT (CAST(l_tax AS DECIMAL(4,2)) >= {C.OSF_TAX_FROM}))
-FROM lines"""),
+    "rules_match_labels": q(" " + "\nUNION ALL\n".join(f"""
+SELECT '{mode}' AS mode_code, '{kind}' AS arithmetic,
+       (SELECT count(*) FROM marked WHERE {flag} AND NOT ({rule})) AS label_without_rule,
+       (SELECT count(*) FROM marked WHERE NOT {flag} AND {rule}) AS rule_without_label""" for mode, kind, flag, rule in (
+        ("HDF", "binary", "flag_hdf", f"l_quantity > {C.HDF_QUANTITY_ABOVE}.0::DOUBLE"),
+        ("HDF", "decimal", "flag_hdf", f"l_quantity::DECIMAL(12,2) > {C.HDF_QUANTITY_ABOVE}"),
+        ("OSF", "binary", "flag_osf", f"l_tax >= CASE l_linestatus WHEN 'O' THEN {C.OSF_TAX_FROM['O']}::DOUBLE ELSE {C.OSF_TAX_FROM['F']}::DOUBLE END"),
+        ("OSF", "decimal", "flag_osf", f"l_tax::DECIMAL(4,2) >= CASE l_linestatus WHEN 'O' THEN {C.OSF_TAX_FROM['O']} ELSE {C.OSF_TAX_FROM['F']} END"),
+        ("PWF", "binary", "flag_pwf", f"l_discount - l_tax >= {C.PWF_SPREAD_FROM}::DOUBLE"),
+        ("PWF", "decimal", "flag_pwf", f"l_discount::DECIMAL(4,2) - l_tax::DECIMAL(4,2) >= {C.PWF_SPREAD_FROM}")))).replace(
+        "marked", "(SELECT l.*, r.flag_hdf, r.flag_osf, r.flag_pwf FROM lines l JOIN readings r ON r.reading_order = l.l_orderkey AND r.reading_line = l.l_linenumber)"),
     "dirt_inventory": q(f"""
 SELECT 'duplicate_lineitem_rows' AS item, CAST((SELECT count(*) FROM lineitem) - (SELECT count(*) FROM lines) AS BIGINT) AS rows
 UNION ALL SELECT 'not_executed', count(*) FILTER (WHERE concluded_at IS NULL) FROM fct_work_orders
