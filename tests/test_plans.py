@@ -39,6 +39,50 @@ def test_history_window_runs_after_combine_and_no_single_partition(spark):
     assert "partial_max" in p  # the (key, date) pivot combines map-side before the per-key window
 
 
+def test_history_is_linear_in_the_versions_of_a_key(spark):
+    p = plan(Star.from_dir(spark, SF_SMALL).history)
+    assert "lead(" in p and "specifiedwindowframe(RangeFrame" not in p.lower() and "unboundedfollowing" not in p.replace(" ", "").lower()
+
+
+def test_dim_asset_shuffles_its_history_once(spark, tmp_path):
+    from vireo.operators.history import dress_scd2
+    Star.from_dir(spark, SF_SMALL).history.write.parquet(str(tmp_path / "h"))
+    history = spark.read.parquet(str(tmp_path / "h"))
+    seen = []
+    dress_scd2(history, key="asset_code", sk="sk", sk_fn=lambda df, order, name: seen.append(plan(df)) or df.withColumn(name, F.lit(1)))
+    assert seen[0].count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in seen[0]
+
+
+def test_valid_at_join_tests_an_event_against_one_quarter(spark):
+    days = 3000
+    dim = spark.range(days).select(F.lit(1).alias("dk"), F.col("id").alias("v"),
+                                   (F.lit(dt.datetime(2016, 1, 1)).cast("timestamp_ntz") + F.make_interval(days=F.col("id").cast("int"))).alias("vf"),
+                                   (F.lit(dt.datetime(2016, 1, 1)).cast("timestamp_ntz") + F.make_interval(days=(F.col("id") + 1).cast("int"))).alias("vt"))
+    ev = spark.range(days * 10).select(F.lit(1).alias("k"), (F.lit(dt.datetime(2016, 1, 1)).cast("timestamp_ntz")
+                                                             + F.make_interval(hours=(F.col("id") * 24 / 10).cast("int"))).alias("ts"))
+    joined = valid_at_join(ev, dim, "k", "dk", "ts", "vf", "vt")
+    assert "_at_quarter" in plan(joined) and joined.count() == days * 10
+    assert joined.where(F.datediff("ts", F.lit("2016-01-01").cast("date")) != F.col("v")).count() == 0
+
+
+def test_stitching_reads_the_fact_once(spark):
+    from vireo.plans import reports
+    s = Star.from_dir(spark, SF_SMALL)
+    s.__dict__["fct_work_orders"] = s.fct_work_orders
+    scans = plan(reports.quarter_pairs(s, "asset_code", "asset_sk")).count("orders.parquet")
+    assert scans == plan(reports.quarter_pairs(s)).count("orders.parquet")
+
+
+def test_audits_reduce_facts_before_joining(spark):
+    from vireo.operators.quality import Rule, evaluate
+    child, parent = spark.range(1000).select((F.col("id") % 3).alias("c")), spark.range(2).select(F.col("id").alias("p"))
+    report = evaluate(spark, {"c": child, "p": parent}, [Rule("r", "c", "relationships", column="c", to_table="p", to_column="p")])
+    assert report.first().violations == 333
+    p = plan(report)
+    join = next(j for j in ("LeftOuter", "LeftAnti") if j in p)
+    assert join == "LeftOuter" and p.index(join) < p.index("partial_count(1)")
+
+
 def test_scan_pushdown_and_pruning(spark):
     s = Star.from_dir(spark, SF_SMALL)
     p = s.changes._jdf.queryExecution().executedPlan().toString()

@@ -20,7 +20,6 @@ END_OF_TIME_SQL = "TIMESTAMP '9999-12-31 23:59:59.999999'"
 
 # --- fixed values: unknown members ------------------------------------------
 UNKNOWN_SK = -1
-UNKNOWN_CODE = "UNKNOWN"
 UNKNOWN_LABEL = "unknown"
 
 # --- fixed values: calendar names (never taken from the locale) ------------
@@ -53,12 +52,14 @@ FAILURE_MODES = [
     (2, "OSF", "Overcharged", "flag", "tax rate at or above the limit"),
     (3, "HDF", "Heavy demand", "flag", "quantity above the limit"),
     (4, "PWF", "Price pressure", "flag", "discount at or above the limit"),
-    (5, "INDETERMINATE", "Failure without identified mode", "derived",
+    (5, "RNF", "Random failure", "flag", "marked without a cause, and never counted as declared"),
+    (6, "INDETERMINATE", "Failure without identified mode", "derived",
      "declared failure with no mode flag"),
-    (6, "NOT_APPLICABLE", "Not applicable", "derived",
+    (7, "NOT_APPLICABLE", "Not applicable", "derived",
      "preventive work order, no failure"),
 ]
-MODE_PRIORITY = ["TWF", "OSF", "HDF", "PWF"]
+# the flag column of every mode that the source marks, in priority order
+MODE_FLAGS = [("TWF", "flag_twf"), ("OSF", "flag_osf"), ("HDF", "flag_hdf"), ("PWF", "flag_pwf"), ("RNF", "flag_rnf")]
 INDETERMINATE = "INDETERMINATE"
 NOT_APPLICABLE = "NOT_APPLICABLE"
 
@@ -74,20 +75,34 @@ CHANGE_RULES = [
     ("1-URGENT", "criticality", "reclassification"),
     ("2-HIGH", "line_code", "transfer"),
     ("3-MEDIUM", "state", "refurbishment"),
+    ("4-NOT SPECIFIED", "line_code", "relocation"),
+    ("5-LOW", "criticality", "review"),
 ]
 STATE_OPERATING = "operating"
 STATE_REFURBISHED = "refurbished"
 # flag limits on lineitem measures
 HDF_QUANTITY_ABOVE = 45
-PWF_DISCOUNT_FROM = "0.09"
-OSF_TAX_FROM = "0.08"
+# the tax limit depends on the line status, a category
+OSF_TAX_FROM = {"O": "0.08", "F": "0.07"}
+# discount above tax by at least this much, in the binary floats of the source
+PWF_SPREAD_FROM = "0.05"
+# parts whose key leaves this remainder fail at random
+RNF_PART_MODULUS, RNF_PART_REMAINDER = 101, 7
 # hourly rate of a technician: BASE + |account balance| * FACTOR
 RATE_BASE = "40"
 RATE_FACTOR = "0.004"
-# repair hours of a work order: sum of line quantities / HOURS_DIVISOR
-HOURS_DIVISOR = 8
+# repair hours of a work order: sum of line quantities * HOURS_PER_UNIT
+HOURS_PER_UNIT = "0.25"
 # preventive work counts as "on time" up to this many days of delay
 ON_TIME_DAYS = 365
+# Known dirt, audited per data set (number of orders -> violating rows): that many
+# rows warn, one more is an error. A data set without an audit allows none.
+AUDITED = {
+    "conclusion_not_before_opening": {1500: 403, 15000: 4323, 150000: 42629},
+    "order_has_known_technician": {1500: 0, 15000: 867, 150000: 11917},
+    "charge_not_above_price": {1500: 1603, 15000: 16236, 150000: 161332},
+    "corrective_comes_from_failure": {1500: 141, 15000: 1467, 150000: 14900},
+}
 DEFAULT_CUTOFF = _dt.date(2099, 12, 31)
 
 # --- fixed values: preventive bands, worst first ----------------------------

@@ -2,7 +2,8 @@
 
 Each Spark builder takes a ``Star`` and returns a lazy DataFrame over the
 whole driver tables. ``normalize`` gives results a comparable shape (decimals
-as double, dates and timestamps as ISO text); the SQL side does the same.
+as text at their scale, dates and timestamps as ISO text with microseconds);
+the SQL side does the same.
 """
 
 from __future__ import annotations
@@ -18,9 +19,12 @@ from vireo.operators.keys import dense_key, hash_key
 from vireo.plans import checks, expressions, reports
 from vireo.plans.oracle import DAY, FOR_PERIODS, TS, _r, _ratio, clipped, pairs_sql, q, shift_case
 from vireo.plans.star import Star
+from vireo.session import scratch_path
+from vireo.streaming.history_stream import HistorySink
 
 STATE_CUTOFF = "1998-01-01"
 FIRST_BATCH_CUTOFF = "1997-06-30"
+SINK_CUTS = ("1994-07-01", "1996-10-15")
 
 
 def normalize(df: DataFrame) -> DataFrame:
@@ -28,11 +32,11 @@ def normalize(df: DataFrame) -> DataFrame:
     for name, typ in df.dtypes:
         c = F.col(f"`{name}`")
         if typ.startswith("decimal"):
-            c = c.cast("double")
+            c = c.cast("string")
         elif typ == "date":
             c = F.date_format(c, "yyyy-MM-dd")
         elif typ.startswith("timestamp"):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         cols.append(c.alias(name))
     return df.select(*cols)
 
@@ -57,8 +61,24 @@ def _dense_orders(s: Star) -> DataFrame:
     return dense_key(o, ["opened_at", "order_no"], "order_sk").select("order_no", "order_sk")
 
 
-def _hash_assets(s: Star) -> DataFrame:
-    return s.assets.select("asset_code", hash_key(["asset_code", "criticality"]).alias("asset_hash"))
+def _hash_versions(s: Star) -> DataFrame:
+    """A key for every version of a machine from what never changes: its code and its start."""
+    start = F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    v = s.history.select("asset_code", start.alias("valid_from"))
+    return v.select("asset_code", "valid_from", hash_key(["asset_code", "valid_from"]).alias("version_hash"))
+
+
+def _sink_batches(s: Star) -> DataFrame:
+    """The change log through the durable sink in three batches, the latest
+    dates first, one batch retried; equals the one-pass history."""
+    spark = s.spark
+    sink = HistorySink(spark, s.assets, scratch_path(spark, "history-sink"), **_hist_kw())
+    day = F.col("changed_on")
+    first, last = F.lit(SINK_CUTS[0]).cast("date"), F.lit(SINK_CUTS[1]).cast("date")
+    for epoch, batch in ((0, s.changes.where(day >= last)), (1, s.changes.where(day < first)), (1, s.changes.where(day < first)),
+                         (2, s.changes.where((day >= first) & (day < last)))):
+        sink.apply(batch, epoch)
+    return sink.history(s.changes)
 
 
 SPARK: dict[str, Callable[[Star], DataFrame]] = {
@@ -70,12 +90,13 @@ SPARK: dict[str, Callable[[Star], DataFrame]] = {
     "technician_dimension": lambda s: s.dim_technician,
     "shift_load": reports.shift_load,
     "dense_key_two_pass": _dense_orders,
-    "hash_key": _hash_assets,
+    "hash_key": _hash_versions,
     "cutoff_dates": lambda s: H.cutoff_dates(s.changes, "changed_on"),
     "state_as_of": lambda s: _state(s, STATE_CUTOFF),
     "scd2_history": lambda s: s.history,
     "scd2_dimension": lambda s: s.dim_asset.orderBy("asset_sk"),
     "scd2_apply_two_batches": _two_batches,
+    "scd2_sink_batches": _sink_batches,
     "history_summary": lambda s: H.history_summary(s.history, "asset_code"),
     "fact_readings": lambda s: s.fct_readings,
     "fact_failures": lambda s: s.fct_failures,
@@ -114,6 +135,8 @@ SPARK: dict[str, Callable[[Star], DataFrame]] = {
     "filter_matrix": expressions.filter_matrix,
     "basic_aggregates": expressions.basic_aggregates,
     "csv_text_load": expressions.csv_text_load,
+    "csv_manifest_load": expressions.csv_manifest_load,
+    "row_order": reports.row_order,
     "event_readings": expressions.event_readings,
     "open_close_quarters": reports.open_close_quarters,
     "mode_rate_by_segment": reports.mode_rate_by_segment,
@@ -165,15 +188,15 @@ SELECT asset_code, strftime(changed_on, {DAY}) AS changed_on, field, new_value,
     "work_orders_staging": q(f"""
 SELECT order_no, asset_code, order_type, failure_mode, origin_line,
        strftime(opened_at, {TS}) AS opened_at, strftime(concluded_at, {TS}) AS concluded_at, technician_id,
-       CAST(duration_hours AS DOUBLE) AS duration_hours, CAST(labour_cost AS DOUBLE) AS labour_cost,
-       CAST(parts_cost AS DOUBLE) AS parts_cost
+       CAST(duration_hours AS VARCHAR) AS duration_hours, CAST(labour_cost AS VARCHAR) AS labour_cost,
+       CAST(parts_cost AS VARCHAR) AS parts_cost
 FROM work_orders"""),
     "date_dimension": q(f"""
 SELECT date_sk, strftime(date, {DAY}) AS date, year, month, quarter, day_of_month, year_month, month_name,
        day_of_week, day_name, is_workday, season FROM dim_date"""),
     "location_dimension": q("SELECT * FROM dim_location"),
     "technician_dimension": q("""
-SELECT technician_sk, technician_id, name, nation_key, CAST(hourly_rate AS DOUBLE) AS hourly_rate FROM dim_technician"""),
+SELECT technician_sk, technician_id, name, nation_key, CAST(hourly_rate AS VARCHAR) AS hourly_rate FROM dim_technician"""),
     "shift_load": q(f"""
 , per AS (
   SELECT {shift_case('event_at')} AS shift_sk, count(*) AS events, count(*) FILTER (WHERE is_failure) AS failures
@@ -211,9 +234,9 @@ SELECT count(*) AS versions, count(DISTINCT asset_code) AS keys,
 FROM history"""),
     "fact_readings": q(f"""
 SELECT asset_sk, location_sk, date_sk, shift_sk, reading_order, reading_line, part_key,
-       strftime(read_at, {TS}) AS read_at, CAST(quantity AS DOUBLE) AS quantity, CAST(price AS DOUBLE) AS price,
-       CAST(discount AS DOUBLE) AS discount, CAST(tax AS DOUBLE) AS tax, CAST(net_price AS DOUBLE) AS net_price,
-       CAST(charge AS DOUBLE) AS charge, flag_twf, flag_osf, flag_hdf, flag_pwf, has_failure, declared_failure
+       strftime(read_at, {TS}) AS read_at, CAST(quantity AS VARCHAR) AS quantity, CAST(price AS VARCHAR) AS price,
+       CAST(discount AS VARCHAR) AS discount, CAST(tax AS VARCHAR) AS tax, CAST(net_price AS VARCHAR) AS net_price,
+       CAST(charge AS VARCHAR) AS charge, flag_twf, flag_osf, flag_hdf, flag_pwf, flag_rnf, has_failure, declared_failure
 FROM fct_readings"""),
     "fact_failures": q(f"""
 SELECT asset_sk, location_sk, date_sk, shift_sk, failure_mode_sk, reading_order, reading_line,
@@ -221,8 +244,8 @@ SELECT asset_sk, location_sk, date_sk, shift_sk, failure_mode_sk, reading_order,
     "fact_work_orders": q(f"""
 SELECT asset_sk, location_sk, technician_sk, failure_mode_sk, opened_date_sk, concluded_date_sk, order_no,
        order_type, origin_line, strftime(opened_at, {TS}) AS opened_at, strftime(concluded_at, {TS}) AS concluded_at,
-       CAST(duration_hours AS DOUBLE) AS duration_hours, CAST(labour_cost AS DOUBLE) AS labour_cost,
-       CAST(parts_cost AS DOUBLE) AS parts_cost, CAST(total_cost AS DOUBLE) AS total_cost
+       CAST(duration_hours AS VARCHAR) AS duration_hours, CAST(labour_cost AS VARCHAR) AS labour_cost,
+       CAST(parts_cost AS VARCHAR) AS parts_cost, CAST(total_cost AS VARCHAR) AS total_cost
 FROM fct_work_orders"""),
     "wrong_join_audit": q("""
 , rd AS (SELECT asset_code, count(*) AS readings FROM readings GROUP BY asset_code),
@@ -234,35 +257,41 @@ nj AS (SELECT r.asset_code, count(*) AS natural_join_rows FROM readings r JOIN d
 SELECT rd.asset_code, vs.versions, rd.readings, coalesce(vj.valid_join_rows, 0) AS valid_join_rows, nj.natural_join_rows
 FROM rd JOIN vs USING (asset_code) LEFT JOIN vj USING (asset_code) JOIN nj USING (asset_code)"""),
     "mtbf_mttr_by_segment": q(f"""
-, exposure AS (
-  SELECT a.asset_sk, a.criticality,
-         CASE WHEN a.asset_sk = -1 THEN NULL ELSE {clipped('a.valid_from', 'a.valid_to')} END AS days
-  FROM dim_asset a CROSS JOIN obs
-  WHERE a.asset_sk = -1 OR greatest(a.valid_from, w_start) < least(a.valid_to, w_end)
+, seen AS (
+  SELECT asset_sk, criticality, CASE WHEN asset_sk <> -1 THEN (SELECT {clipped('valid_from', 'valid_to')} FROM obs) END AS days
+  FROM dim_asset WHERE asset_sk = -1 OR (SELECT valid_from < w_end AND valid_to > w_start FROM obs)
 ),
-failures AS (SELECT asset_sk, count(*) AS failures FROM fct_readings WHERE has_failure GROUP BY asset_sk),
-repairs AS (SELECT asset_sk, count(*) AS correctives, sum(duration_hours) AS hours FROM corrective GROUP BY asset_sk)
-SELECT e.criticality, count(*) AS versions, {_r('sum(e.days)', 0)} AS exposed_days,
-       CAST(coalesce(sum(f.failures), 0) AS BIGINT) AS failures,
-       {_r(_ratio('sum(e.days)', 'sum(f.failures)'), 1)} AS mtbf_days,
-       CAST(coalesce(sum(r.correctives), 0) AS BIGINT) AS correctives,
-       {_r(_ratio('sum(r.hours)', 'sum(r.correctives)'), 2)} AS mttr_hours
-FROM exposure e LEFT JOIN failures f USING (asset_sk) LEFT JOIN repairs r USING (asset_sk)
-GROUP BY e.criticality"""),
+segment AS (
+  SELECT g.criticality,
+         (SELECT count(*) FROM seen v WHERE v.criticality = g.criticality) AS versions,
+         (SELECT sum(v.days) FROM seen v WHERE v.criticality = g.criticality) AS days,
+         (SELECT count(*) FROM fct_readings f WHERE f.has_failure
+           AND f.asset_sk IN (SELECT v.asset_sk FROM seen v WHERE v.criticality = g.criticality)) AS failures,
+         (SELECT count(*) FROM corrective o
+           WHERE o.asset_sk IN (SELECT v.asset_sk FROM seen v WHERE v.criticality = g.criticality)) AS correctives,
+         (SELECT sum(o.duration_hours) FROM corrective o
+           WHERE o.asset_sk IN (SELECT v.asset_sk FROM seen v WHERE v.criticality = g.criticality)) AS hours
+  FROM (SELECT DISTINCT criticality FROM seen) g
+)
+SELECT criticality, versions, {_r('days', 0)} AS exposed_days, failures, {_r(_ratio('days', 'failures'), 1)} AS mtbf_days,
+       correctives, {_r(_ratio('hours', 'correctives'), 2)} AS mttr_hours
+FROM segment"""),
     "cost_concentration": q(f"""
-, production AS (
-  SELECT l.sector_code, count(*) AS cycles FROM fct_readings f JOIN dim_location l USING (location_sk) GROUP BY 1
+, place AS (
+  SELECT s.sector_name,
+         (SELECT count(*) FROM fct_readings f WHERE f.location_sk IN (SELECT l.location_sk FROM dim_location l WHERE l.sector_name = s.sector_name)) AS cycles,
+         (SELECT count(*) FROM corrective o WHERE o.location_sk IN (SELECT l.location_sk FROM dim_location l WHERE l.sector_name = s.sector_name)) AS orders,
+         (SELECT sum(o.total_cost) FROM corrective o
+           WHERE o.location_sk IN (SELECT l.location_sk FROM dim_location l WHERE l.sector_name = s.sector_name)) AS cost
+  FROM (SELECT DISTINCT sector_name FROM dim_location) s
 ),
-corr AS (
-  SELECT l.sector_code, l.sector_name, count(*) AS orders, sum(o.total_cost) AS cost
-  FROM corrective o JOIN dim_location l USING (location_sk) GROUP BY 1, 2
-)
-SELECT c.sector_name, p.cycles, c.orders, {_r('c.cost', 2)} AS cost,
-       {_r('100 * ' + _ratio('c.cost', 'sum(c.cost) OVER ()'), 1)} AS pct_cost,
-       {_r('100 * ' + _ratio('p.cycles', 'sum(p.cycles) OVER ()'), 1)} AS pct_cycles,
-       {_r(_ratio('c.cost', 'c.orders'), 2)} AS avg_cost_per_order,
-       {_r(_ratio('c.cost * 1000', 'p.cycles'), 2)} AS cost_per_1k_cycles
-FROM corr c LEFT JOIN production p USING (sector_code)"""),
+spending AS (SELECT sector_name, nullif(cycles, 0) AS cycles, orders, cost FROM place WHERE orders > 0)
+SELECT sector_name, cycles, orders, {_r('cost', 2)} AS cost,
+       {_r('100 * ' + _ratio('cost', '(SELECT sum(t.cost) FROM spending t)'), 1)} AS pct_cost,
+       {_r('100 * ' + _ratio('cycles', '(SELECT sum(t.cycles) FROM spending t)'), 1)} AS pct_cycles,
+       {_r(_ratio('cost', 'orders'), 2)} AS avg_cost_per_order,
+       {_r(_ratio('cost * 1000', 'cycles'), 2)} AS cost_per_1k_cycles
+FROM spending"""),
     "mode_by_downtime": q(f"""
 SELECT m.mode_code, m.mode_name, count(*) AS orders, {_r('sum(o.duration_hours)', 1)} AS downtime_hours,
        {_r('100 * ' + _ratio('sum(o.duration_hours)', 'sum(sum(o.duration_hours)) OVER ()'), 1)} AS pct_hours,
@@ -326,12 +355,14 @@ src AS (
   UNION ALL SELECT 'OSF', count(*) FILTER (WHERE flag_osf) FROM r
   UNION ALL SELECT 'HDF', count(*) FILTER (WHERE flag_hdf) FROM r
   UNION ALL SELECT 'PWF', count(*) FILTER (WHERE flag_pwf) FROM r
+  UNION ALL SELECT 'RNF', count(*) FILTER (WHERE flag_rnf) FROM r
   UNION ALL SELECT 'INDETERMINATE', count(*) FILTER (WHERE NOT any_mode) FROM r
 )
 SELECT m.mode_code, coalesce(f.fact_rows, 0) AS fact_rows, s.source_flags
 FROM dim_mode m LEFT JOIN fact f USING (failure_mode_sk) JOIN src s USING (mode_code)"""),
     "mode_count_histogram": q("""
-SELECT CAST(flag_twf AS INTEGER) + CAST(flag_osf AS INTEGER) + CAST(flag_hdf AS INTEGER) + CAST(flag_pwf AS INTEGER) AS modes,
+SELECT CAST(flag_twf AS INTEGER) + CAST(flag_osf AS INTEGER) + CAST(flag_hdf AS INTEGER) + CAST(flag_pwf AS INTEGER)
+       + CAST(flag_rnf AS INTEGER) AS modes,
        count(*) AS readings
 FROM readings GROUP BY 1"""),
     "source_incoherence": q("""
@@ -384,7 +415,7 @@ FROM ranked"""),
 SELECT a.criticality, '{code}' AS mode_code, count(*) AS readings, count(*) FILTER (WHERE f.{col}) AS flagged,
        {_r('100 * ' + _ratio(f'count(*) FILTER (WHERE f.{col})', 'count(*)'), 2)} AS flagged_pct
 FROM fct_readings f JOIN dim_asset a USING (asset_sk) GROUP BY a.criticality"""
-        for code, col in [("TWF", "flag_twf"), ("OSF", "flag_osf"), ("HDF", "flag_hdf"), ("PWF", "flag_pwf")])),
+        for code, col in [("TWF", "flag_twf"), ("OSF", "flag_osf"), ("HDF", "flag_hdf"), ("PWF", "flag_pwf"), ("RNF", "flag_rnf")])),
     "segment_share_by_sector": q(f"""
 , g AS (
   SELECT l.sector_name, a.criticality, count(*) AS n
@@ -395,7 +426,9 @@ SELECT sector_name, criticality, n AS readings,
        {_r('100 * ' + _ratio('n', 'sum(n) OVER (PARTITION BY sector_name)'), 2)} AS share_pct
 FROM g"""),
     "hash_key": q("""
-SELECT asset_code, sha256(concat_ws('|', CAST(asset_code AS VARCHAR), criticality)) AS asset_hash FROM assets"""),
+SELECT asset_code, valid_from,
+       sha256(length(CAST(asset_code AS VARCHAR)) || ':' || asset_code || '|' || length(valid_from) || ':' || valid_from) AS version_hash
+FROM (SELECT asset_code, strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f') AS valid_from FROM history)"""),
     "open_close_quarters": q("""
 SELECT o.year AS open_year, o.quarter AS open_quarter, c.year AS close_year, c.quarter AS close_quarter,
        count(*) AS orders
@@ -420,7 +453,7 @@ FROM fct_work_orders"""),
 SELECT 'changes_up_to_cutoff' AS predicate, count(*) FILTER (WHERE changed_on <= DATE '1998-01-01') AS rows FROM changes
 UNION ALL SELECT 'failing_readings', count(*) FILTER (WHERE has_failure) FROM fct_readings
 UNION ALL SELECT 'healthy_readings', count(*) FILTER (WHERE NOT has_failure) FROM fct_readings
-UNION ALL SELECT 'failure_criterion', count(*) FILTER (WHERE declared_failure OR flag_twf OR flag_osf OR flag_hdf OR flag_pwf) FROM fct_readings
+UNION ALL SELECT 'failure_criterion', count(*) FILTER (WHERE declared_failure OR flag_twf OR flag_osf OR flag_hdf OR flag_pwf OR flag_rnf) FROM fct_readings
 UNION ALL SELECT 'not_1998_q3', count(*) FILTER (WHERE NOT (year(read_at) = 1998 AND quarter(read_at) = 3)) FROM fct_readings
 UNION ALL SELECT 'quantity_out_of_band', count(*) FILTER (WHERE quantity < 5 OR quantity > 45) FROM fct_readings
 UNION ALL SELECT 'low_discount_and_tax', count(*) FILTER (WHERE discount < 0.02 AND tax < 0.02) FROM fct_readings
@@ -438,7 +471,7 @@ SELECT a.criticality, l.sector_name, count(*) AS orders, {_r('sum(o.total_cost)'
 FROM fct_work_orders o JOIN dim_asset a USING (asset_sk) JOIN dim_location l USING (location_sk)
 GROUP BY a.criticality, l.sector_name"""),
     "csv_text_load": """
-SELECT c_custkey, c_name, c_nationkey, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DOUBLE) AS c_acctbal, c_mktsegment,
+SELECT c_custkey, c_name, c_nationkey, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS c_acctbal, c_mktsegment,
        true AS has_source_file, true AS has_load_time
 FROM customer""",
     "event_readings": q(f"""
@@ -449,6 +482,23 @@ FROM events_x e LEFT JOIN dim_asset v ON v.asset_sk <> -1 AND v.asset_code = e.a
 })
 
 
+SQL["scd2_sink_batches"] = SQL["scd2_history"]
+SQL["csv_manifest_load"] = """
+SELECT 'customer' AS table_name, count(*) AS loaded_rows, 'c_custkey' AS first_column, count(*) FILTER (WHERE c_custkey % 7 = 0) AS empty_fields,
+       sum(c_custkey)::BIGINT AS key_sum, true AS audited
+FROM customer
+UNION ALL SELECT 'supplier', count(*), 's_suppkey', count(*) FILTER (WHERE s_suppkey % 7 = 0), sum(s_suppkey)::BIGINT, true FROM supplier"""
+SQL["row_order"] = f"""
+SELECT 'mtbf_nulls_last' AS report, row_number() OVER (ORDER BY mtbf_days ASC NULLS LAST, criticality) - 1 AS row_no, criticality AS label
+FROM ({SQL['mtbf_mttr_by_segment']})
+UNION ALL
+SELECT 'downtime_descending', row_number() OVER (ORDER BY downtime_hours DESC NULLS LAST) - 1, mode_code FROM ({SQL['mode_by_downtime']})
+UNION ALL
+SELECT 'quarters_mixed', row_number() OVER (ORDER BY orders DESC, close_year ASC NULLS LAST, close_quarter ASC NULLS LAST, open_year DESC, open_quarter DESC) - 1,
+       open_year || '/' || open_quarter || '/' || coalesce(CAST(close_year AS VARCHAR), '-') || '/' || coalesce(CAST(close_quarter AS VARCHAR), '-')
+FROM ({SQL['open_close_quarters']})"""
+
+
 def spark_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     build = SPARK[name]
 

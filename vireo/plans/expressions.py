@@ -13,7 +13,7 @@ from vireo.functions.numeric import round_out
 from vireo.operators.joins import valid_at_join, unknown_if_null
 from vireo.plans.star import Star
 from vireo.session import scratch_path
-from vireo.sources.text_csv import load_text_csv
+from vireo.sources.text_csv import load_manifest, load_text_csv, loaded_tables, read_loaded
 
 
 def scalar_matrix(s: Star) -> DataFrame:
@@ -45,8 +45,7 @@ def filter_matrix(s: Star) -> DataFrame:
     rd = r.agg(
         F.count(F.when(F.col("has_failure"), 1)).alias("failing_readings"),
         F.count(F.when(~F.col("has_failure"), 1)).alias("healthy_readings"),
-        F.count(F.when(F.col("declared_failure") | F.col("flag_twf") | F.col("flag_osf") | F.col("flag_hdf")
-                       | F.col("flag_pwf"), 1)).alias("failure_criterion"),
+        F.count(F.when(F.greatest("declared_failure", *[c for _, c in C.MODE_FLAGS]), 1)).alias("failure_criterion"),
         F.count(F.when(~((F.year("read_at") == 1998) & (F.quarter("read_at") == 3)), 1)).alias("not_1998_q3"),
         F.count(F.when((F.col("quantity") < 5) | (F.col("quantity") > 45), 1)).alias("quantity_out_of_band"),
         F.count(F.when((F.col("discount") < 0.02) & (F.col("tax") < 0.02), 1)).alias("low_discount_and_tax"))
@@ -76,7 +75,7 @@ def basic_aggregates(s: Star) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("total_cost").alias("cost"), F.sum("duration_hours").alias("hours"),
         F.min("opened_at").alias("first_opened"), F.max("opened_at").alias("last_opened"))
     j = per.join(s.dim_asset.select("asset_sk", "criticality"), "asset_sk") \
-        .join(F.broadcast(s.dim_location.select("location_sk", "sector_name")), "location_sk")
+        .join(s.dim_location.select("location_sk", "sector_name"), "location_sk")
     return j.groupBy("criticality", "sector_name").agg(
         F.sum("n").cast("bigint").alias("orders"),
         round_out(F.sum("cost"), 2).alias("total_cost"),
@@ -98,6 +97,27 @@ def csv_text_load(s: Star) -> DataFrame:
         F.col("_loaded_at").isNotNull().alias("has_load_time"))
 
 
+def csv_manifest_load(s: Star) -> DataFrame:
+    """Two tables as CSV with a byte-order mark and empty fields, loaded all
+    or nothing, and what arrived (S2, S3, S5, S6): rows of the commit, name
+    of the first column, empty fields as nulls, a sum over the keys."""
+    root, manifest, found = scratch_path(s.spark, "manifest"), {}, None
+    tables = {"customer": ("c_custkey", "c_name"), "supplier": ("s_suppkey", "s_name")}
+    for name, (key, label) in tables.items():
+        manifest[name] = scratch_path(s.spark, f"{name}_bom_csv")
+        rows = s.src[name].select(F.col(key).alias("\ufeff" + key), F.when(F.col(key) % 7 != 0, F.col(label)).alias(label))
+        rows.write.option("header", True).option("emptyValue", "").csv(manifest[name])
+    load_manifest(s.spark, manifest, root)
+    counts = loaded_tables(s.spark, root).select(F.col("name").alias("table_name"), "loaded_rows")
+    for name, (key, label) in tables.items():
+        loaded = read_loaded(s.spark, root, name)
+        part = loaded.agg(F.count(F.when(F.col(label).isNull(), 1)).alias("empty_fields"), F.sum(F.col(key).cast("bigint")).alias("key_sum"),
+                          F.bool_and(F.col("_source_file").isNotNull() & F.col("_loaded_at").isNotNull()).alias("audited"))
+        part = part.select(F.lit(name).alias("table_name"), F.lit(loaded.columns[0]).alias("first_column"), "*")
+        found = part if found is None else found.unionByName(part)
+    return counts.join(found, "table_name").select("table_name", "loaded_rows", "first_column", "empty_fields", "key_sum", "audited")
+
+
 def event_readings(s: Star) -> DataFrame:
     """Events as readings: machine version at the event time (J2), date and
     shift keys, failure flag."""

@@ -27,7 +27,7 @@ def fct_readings(readings: DataFrame, dim_asset: DataFrame, dim_location: DataFr
     """One row per reading (K9): version key, location, date and shift keys,
     raw and derived measures, failure flags."""
     r = _asset_version(readings, dim_asset, "read_at")
-    r = lookup(r, dim_location, "line_at_event", "line_code", "location_sk", small=True)
+    r = lookup(r, dim_location, "line_at_event", "line_code", "location_sk")
     net = F.col("price") * (F.lit(1) - F.col("discount"))
     return r.select(
         "asset_sk", "location_sk",
@@ -37,7 +37,7 @@ def fct_readings(readings: DataFrame, dim_asset: DataFrame, dim_location: DataFr
         "quantity", "price", "discount", "tax",
         net.cast("decimal(16,4)").alias("net_price"),
         F.round(net * (F.lit(1) + F.col("tax")), 2).cast("decimal(14,2)").alias("charge"),
-        "flag_twf", "flag_osf", "flag_hdf", "flag_pwf",
+        *[c for _, c in MODE_FLAGS],
         (F.col("declared_failure") | F.col("any_mode")).alias("has_failure"),
         F.col("declared_failure").alias("declared_failure"))
 
@@ -59,7 +59,7 @@ def fct_work_orders(work_orders: DataFrame, dim_asset: DataFrame, dim_location:
     version (unknown machine -> unknown line -> -1), technician, mode, two
     date keys (role-playing), measures."""
     w = _asset_version(work_orders, dim_asset, "opened_at")
-    w = lookup(w, dim_location, "line_at_event", "line_code", "location_sk", small=True)
+    w = lookup(w, dim_location, "line_at_event", "line_code", "location_sk")
     w = lookup(w, dim_technician, "technician_id", "technician_id", "technician_sk")
     modes = F.broadcast(dim_mode.select("failure_mode_sk", F.col("mode_code").alias("_mode")))
     w = w.join(modes, F.coalesce(F.col("failure_mode"), F.lit(C.NOT_APPLICABLE)) == F.col("_mode"), "inner")

@@ -1,7 +1,7 @@
 """Business questions over the star.
 
-Every report aggregates the large facts first (partial + final hash
-aggregate) and only then joins, so joins cannot fan out. Shares of a total
+Every report aggregates the large facts by surrogate key first (partial +
+final hash aggregate) and only then joins, so joins cannot fan out. Shares of a total
 (W4, W5) use a window over ``()`` only on the aggregated result, whose row
 count is that of a small dimension (sectors, failure modes); a broadcast
 one-row total would aggregate the fact a second time. One-row relations (the
@@ -36,49 +36,62 @@ def _corrective(s: Star) -> DataFrame:
     return s.fct_work_orders.filter(F.col("order_type") == C.ORDER_CORRECTIVE)
 
 
+def activity(s: Star, *by: str) -> DataFrame:
+    """What readings and corrective orders add up to per group of keys, in one row:
+    cycles, failures, correctives, hours, cost.
+
+    Both facts are reduced by the keys first; the two small results are then
+    added up, so no fact meets a dimension or the other fact.
+    """
+    read = s.fct_readings.groupBy(*by).agg(F.count(F.lit(1)).alias("cycles"), F.count(F.when(F.col("has_failure"), 1)).alias("failures"))
+    done = _corrective(s).groupBy(*by).agg(F.count(F.lit(1)).alias("correctives"), F.sum("duration_hours").alias("hours"),
+                                           F.sum("total_cost").alias("cost"))
+    both = read.unionByName(done, allowMissingColumns=True)
+    return both.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("cycles", "failures", "correctives", "hours", "cost")])
+
+
+def in_window(s: Star) -> DataFrame:
+    """The versions that lived in the observed window, with the days they did."""
+    w = F.broadcast(observed_window(s))  # one row
+    return (s.dim_asset.filter(F.col("asset_sk") != C.UNKNOWN_SK).join(w, T.overlaps("valid_from", "valid_to", "w_start", "w_end"))
+            .withColumn("days", T.clipped_days("valid_from", "valid_to", "w_start", "w_end")).drop("w_start", "w_end"))
+
+
 # R1 -------------------------------------------------------------------------
 def mtbf_mttr_by_segment(s: Star) -> DataFrame:
-    w = F.broadcast(observed_window(s))
-    exposure = (s.dim_asset.crossJoin(w)
-                .filter((F.col("asset_sk") == C.UNKNOWN_SK)
-                        | T.overlaps("valid_from", "valid_to", "w_start", "w_end"))
-                .select("asset_sk", "criticality",
-                        F.when(F.col("asset_sk") == C.UNKNOWN_SK, F.lit(None).cast("double"))
-                         .otherwise(T.clipped_days("valid_from", "valid_to", "w_start", "w_end")).alias("days")))
-    failures = s.fct_readings.filter("has_failure").groupBy("asset_sk").agg(F.count(F.lit(1)).alias("failures"))
-    repairs = _corrective(s).groupBy("asset_sk").agg(F.count(F.lit(1)).alias("correctives"),
-                                                     F.sum("duration_hours").alias("hours"))
-    j = exposure.join(failures, "asset_sk", "left").join(repairs, "asset_sk", "left")
-    out = j.groupBy("criticality").agg(
+    """Days in operation per failure and repair hours per corrective order, by criticality.
+
+    The unknown machine has failures and orders but no days.
+    """
+    unknown = s.dim_asset.filter(F.col("asset_sk") == C.UNKNOWN_SK).withColumn("days", F.lit(None).cast("double"))
+    lived = in_window(s).unionByName(unknown).join(activity(s, "asset_sk"), "asset_sk", "left")
+    total = lived.groupBy("criticality").agg(
         F.count(F.lit(1)).alias("versions"),
-        round_out(F.sum("days"), 0).alias("exposed_days"),
-        F.coalesce(F.sum("failures"), F.lit(0)).cast("bigint").alias("failures"),
-        round_out(_ratio(F.sum("days"), F.sum("failures")), 1).alias("mtbf_days"),
-        F.coalesce(F.sum("correctives"), F.lit(0)).cast("bigint").alias("correctives"),
-        round_out(_ratio(F.sum("hours"), F.sum("correctives")), 2).alias("mttr_hours"))
+        *[F.sum(c).alias(c) for c in ("days", "failures", "correctives", "hours")])
+    none = F.lit(0)
+    out = total.select(
+        "criticality", "versions", round_out("days", 0).alias("exposed_days"),
+        F.coalesce("failures", none).cast("bigint").alias("failures"),
+        round_out(_ratio("days", "failures"), 1).alias("mtbf_days"),
+        F.coalesce("correctives", none).cast("bigint").alias("correctives"),
+        round_out(_ratio("hours", "correctives"), 2).alias("mttr_hours"))
     return out.orderBy(F.col("mtbf_days").asc_nulls_last(), "criticality")
 
 
 # R2 -------------------------------------------------------------------------
 def cost_concentration(s: Star) -> DataFrame:
-    loc = F.broadcast(s.dim_location.select("location_sk", "sector_code", "sector_name"))
-    production = (s.fct_readings.groupBy("location_sk").agg(F.count(F.lit(1)).alias("n"))
-                  .join(loc, "location_sk").groupBy("sector_code").agg(F.sum("n").alias("cycles")))
-    corr = (_corrective(s).groupBy("location_sk")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("total_cost").alias("c"))
-            .join(loc, "location_sk").groupBy("sector_code", "sector_name")
-            .agg(F.sum("n").alias("orders"), F.sum("c").alias("cost")))
-    j = corr.join(production, "sector_code", "left")
-    # share of the total over the aggregated rows: one row per sector, so the
-    # window over () sees a handful of rows (a broadcast one-row total would
-    # aggregate the fact a second time)
-    everyone = Window.partitionBy()
-    out = j.select(
-        "sector_name", F.col("cycles").cast("bigint").alias("cycles"), F.col("orders").cast("bigint").alias("orders"),
+    """Corrective cost and production of every sector that had corrective orders, with their shares."""
+    places = s.dim_location.select("location_sk", "sector_name")
+    sectors = (activity(s, "location_sk").join(places, "location_sk")
+               .groupBy("sector_name").agg(*[F.sum(c).alias(c) for c in ("cycles", "correctives", "cost")])
+               .filter("correctives > 0"))
+    everyone = Window.partitionBy()  # over one row per sector
+    out = sectors.select(
+        "sector_name", F.col("cycles").cast("bigint").alias("cycles"), F.col("correctives").cast("bigint").alias("orders"),
         round_out("cost", 2).alias("cost"),
         round_out(F.lit(100) * _ratio("cost", F.sum("cost").over(everyone)), 1).alias("pct_cost"),
         round_out(F.lit(100) * _ratio("cycles", F.sum("cycles").over(everyone)), 1).alias("pct_cycles"),
-        round_out(_ratio("cost", "orders"), 2).alias("avg_cost_per_order"),
+        round_out(_ratio("cost", "correctives"), 2).alias("avg_cost_per_order"),
         round_out(_ratio(F.col("cost") * 1000, "cycles"), 2).alias("cost_per_1k_cycles"))
     return out.orderBy(F.col("cost").desc_nulls_last())
 
@@ -125,30 +138,34 @@ def _rank_band(col) -> "F.Column":
     return e
 
 
-def quarter_pairs(s: Star, series_key: str = "asset_code") -> DataFrame:
-    """(machine, quarter) worst preventive band with next-quarter correctives.
+def version_quarters(s: Star) -> DataFrame:
+    """One row per (machine version, quarter) with orders: worst preventive rank, number of correctives."""
+    preventive = F.col("order_type") == C.ORDER_PREVENTIVE
+    per = s.fct_work_orders.filter(F.col("asset_sk") != C.UNKNOWN_SK).groupBy("asset_sk", T.quarter_index("opened_at").alias("tri")).agg(
+        F.max(F.when(preventive, _band_rank(_band()))).alias("rank"),
+        F.count(F.when(F.col("order_type") == C.ORDER_CORRECTIVE, 1)).alias("correctives"))
+    return per.join(s.dim_asset.select("asset_sk", "asset_code"), "asset_sk")
 
-    ``series_key`` is the natural code (stitches versions of one machine)
-    or ``asset_sk`` (splits a machine's series at each version change).
-    Orders of the unknown machine are left out.
+
+def quarter_pairs(s: Star, *series: str) -> DataFrame:
+    """(series, key, quarter) with preventive work: worst band, correctives of the next quarter.
+
+    A series follows a machine by its natural code (over all its versions) or
+    by ``asset_sk`` (a series ends with its version). All series come from one
+    aggregate over the fact; the next quarter is the next row of the series if
+    it is one quarter on. Quarters without a later one in the data are left out.
     """
-    assets = s.dim_asset.filter(F.col("asset_sk") != C.UNKNOWN_SK).select("asset_sk", "asset_code")
-    wo = s.fct_work_orders.join(assets, "asset_sk", "inner").withColumn("tri", T.quarter_index("opened_at")) \
-        .withColumn("year", F.year("opened_at")).withColumn("quarter", F.quarter("opened_at"))
-    adherence = (wo.filter(F.col("order_type") == C.ORDER_PREVENTIVE)
-                 .withColumn("rank", _band_rank(_band()))
-                 .groupBy(series_key, "tri", "year", "quarter").agg(F.max("rank").alias("rank"))
-                 .withColumn("band", _rank_band(F.col("rank"))))
-    corr = (wo.filter(F.col("order_type") == C.ORDER_CORRECTIVE)
-            .groupBy(series_key, "tri").agg(F.count(F.lit(1)).alias("n")))
-    last = F.broadcast(corr.agg(F.max("tri").alias("max_tri")))
-    nxt = corr.select(F.col(series_key).alias("_k"), (F.col("tri") - 1).alias("_t"), "n")
-    pairs = (adherence.join(nxt, (F.col(series_key) == F.col("_k")) & (F.col("tri") == F.col("_t")), "left")
-             .crossJoin(last).filter(F.col("tri") + 1 <= F.col("max_tri"))
-             .select(series_key, "tri", "year", "quarter", "band",
-                     F.coalesce(F.col("n"), F.lit(0)).alias("next_correctives"),
-                     (F.col("tri") + 1 == F.col("max_tri")).alias("next_is_last")))
-    return pairs
+    keys = F.explode(F.array(*[F.struct(F.lit(c).alias("series"), F.col(c).alias("key")) for c in series or ("asset_code",)]))
+    quarters = (version_quarters(s).select(keys.alias("k"), "tri", "rank", "correctives")
+                .groupBy("k.series", "k.key", "tri").agg(F.max("rank").alias("rank"), F.sum("correctives").alias("correctives")))
+    upcoming = Window.partitionBy("series", "key").orderBy("tri")  # one row per quarter
+    last = F.broadcast(_corrective(s).filter(F.col("asset_sk") != C.UNKNOWN_SK).agg(F.max(T.quarter_index("opened_at")).alias("max_tri")))
+    follows = F.lead("tri").over(upcoming) == F.col("tri") + 1
+    pairs = quarters.withColumn("next_correctives", F.when(follows, F.lead("correctives").over(upcoming)).otherwise(0))
+    return (pairs.filter(F.col("rank").isNotNull()).join(last, F.col("tri") < F.col("max_tri"))
+            .select("series", "key", "tri", F.floor((F.col("tri") - 1) / 4).cast("int").alias("year"),
+                    ((F.col("tri") - 1) % 4 + 1).cast("int").alias("quarter"), _rank_band(F.col("rank")).alias("band"),
+                    "next_correctives", (F.col("tri") + 1 == F.col("max_tri")).alias("next_is_last")))
 
 
 def next_quarter_effect(s: Star) -> DataFrame:
@@ -172,27 +189,19 @@ def next_quarter_by_quarter(s: Star) -> DataFrame:
 
 
 def stitching_comparison(s: Star) -> DataFrame:
-    nat = quarter_pairs(s, "asset_code").agg(F.count(F.lit(1)).alias("pairs"),
-                                              F.sum("next_correctives").cast("bigint").alias("correctives_in_pairs"))
-    sur = quarter_pairs(s, "asset_sk").agg(F.count(F.lit(1)).alias("pairs"),
-                                            F.sum("next_correctives").cast("bigint").alias("correctives_in_pairs"))
-    return (nat.select(F.lit("natural_code").alias("series_key"), "*")
-            .unionByName(sur.select(F.lit("surrogate_key").alias("series_key"), "*")))
+    names = F.when(F.col("series") == "asset_code", "natural_code").otherwise("surrogate_key")
+    return quarter_pairs(s, "asset_code", "asset_sk").groupBy(names.alias("series_key")).agg(
+        F.count(F.lit(1)).alias("pairs"), F.sum("next_correctives").cast("bigint").alias("correctives_in_pairs"))
 
 
 # R5, R8 ---------------------------------------------------------------------
 def _periods(s: Star) -> DataFrame:
-    w = F.broadcast(observed_window(s))
-    refurbished = s.dim_asset.filter(F.col("state") == C.STATE_REFURBISHED).select("asset_code")
-    versions = (s.dim_asset.filter(F.col("asset_sk") != C.UNKNOWN_SK)
-                .join(refurbished, "asset_code", "left_semi").crossJoin(w)
-                .filter(T.overlaps("valid_from", "valid_to", "w_start", "w_end"))
-                .select("asset_code", "asset_sk",
-                        F.when(F.col("state") == C.STATE_REFURBISHED, F.lit("after")).otherwise(F.lit("before")).alias("period"),
-                        T.clipped_days("valid_from", "valid_to", "w_start", "w_end").alias("days")))
-    orders = _corrective(s).groupBy("asset_sk").agg(F.count(F.lit(1)).alias("correctives"),
-                                                   F.sum("total_cost").alias("cost"))
-    return versions.join(orders, "asset_sk", "left")
+    """Versions of machines that were ever refurbished, before and after, with their corrective work."""
+    after = F.col("state") == C.STATE_REFURBISHED
+    ever = s.dim_asset.groupBy("asset_code").agg(F.bool_or(after).alias("ever")).filter("ever").select("asset_code")
+    lived = in_window(s).join(ever, "asset_code", "left_semi")
+    work = _corrective(s).groupBy("asset_sk").agg(F.count(F.lit(1)).alias("correctives"), F.sum("total_cost").alias("cost"))
+    return lived.withColumn("period", F.when(after, "after").otherwise("before")).join(work, "asset_sk", "left")
 
 
 def before_after_change(s: Star) -> DataFrame:
@@ -240,10 +249,9 @@ def scd1_view(s: Star) -> DataFrame:
     current = s.dim_asset.filter(F.col("is_current") & (F.col("asset_sk") != C.UNKNOWN_SK)) \
         .select("asset_code", F.col("state").alias("current_state"))
     codes = s.dim_asset.select("asset_sk", "asset_code")
-    per_code = (_corrective(s).join(codes, "asset_sk")
-                .groupBy("asset_code").agg(F.count(F.lit(1)).alias("correctives"),
-                                           F.sum("total_cost").alias("cost"),
-                                           F.sum("duration_hours").alias("hours")))
+    per_sk = _corrective(s).groupBy("asset_sk").agg(F.count(F.lit(1)).alias("correctives"), F.sum("total_cost").alias("cost"),
+                                                    F.sum("duration_hours").alias("hours"))
+    per_code = per_sk.join(codes, "asset_sk").groupBy("asset_code").agg(*[F.sum(c).alias(c) for c in ("correctives", "cost", "hours")])
     return current.join(per_code, "asset_code", "inner").select(
         "asset_code", "current_state", F.col("correctives").cast("bigint").alias("correctives"),
         round_out("cost", 2).alias("corrective_cost"), round_out("hours", 1).alias("downtime_hours"))
@@ -260,8 +268,9 @@ def wrong_join_audit(s: Star) -> DataFrame:
     readings = s.readings.groupBy("asset_code").agg(F.count(F.lit(1)).alias("readings"))
     versions = s.dim_asset.filter(F.col("asset_sk") != C.UNKNOWN_SK).groupBy("asset_code") \
         .agg(F.count(F.lit(1)).alias("versions"))
-    valid = s.fct_readings.join(s.dim_asset.select("asset_sk", "asset_code"), "asset_sk") \
-        .groupBy("asset_code").agg(F.count(F.lit(1)).alias("valid_join_rows"))
+    per_sk = s.fct_readings.groupBy("asset_sk").agg(F.count(F.lit(1)).alias("n"))
+    valid = per_sk.join(s.dim_asset.select("asset_sk", "asset_code"), "asset_sk") \
+        .groupBy("asset_code").agg(F.sum("n").alias("valid_join_rows"))
     return (readings.join(versions, "asset_code", "inner").join(valid, "asset_code", "left")
             .select("asset_code", "versions", F.col("readings").cast("bigint").alias("readings"),
                     F.coalesce(F.col("valid_join_rows"), F.lit(0)).cast("bigint").alias("valid_join_rows"),
@@ -275,7 +284,7 @@ def failure_rate_by_segment_and_region(s: Star) -> DataFrame:
     a = per_sk.join(s.dim_asset.select("asset_sk", "criticality"), "asset_sk")
     by_seg = a.groupBy(F.col("criticality").alias("member")).agg(F.sum("n").alias("cycles"), F.sum("f").alias("failures")) \
         .withColumn("dimension", F.lit("criticality"))
-    l = per_sk.join(F.broadcast(s.dim_location.select("location_sk", "sector_name")), "location_sk")
+    l = per_sk.join(s.dim_location.select("location_sk", "sector_name"), "location_sk")
     by_reg = l.groupBy(F.col("sector_name").alias("member")).agg(F.sum("n").alias("cycles"), F.sum("f").alias("failures")) \
         .withColumn("dimension", F.lit("sector"))
     u = by_seg.unionByName(by_reg)
@@ -287,7 +296,7 @@ def failure_rate_by_segment_and_region(s: Star) -> DataFrame:
 def mode_rate_by_segment(s: Star) -> DataFrame:
     """Share of readings carrying each mode flag, per criticality of the
     version at reading time (the per-type mode rates of R12)."""
-    flags = [("TWF", "flag_twf"), ("OSF", "flag_osf"), ("HDF", "flag_hdf"), ("PWF", "flag_pwf")]
+    flags = C.MODE_FLAGS
     per = s.fct_readings.groupBy("asset_sk").agg(
         F.count(F.lit(1)).alias("n"), *[F.count(F.when(F.col(c), 1)).alias(k) for k, c in flags])
     g = per.join(s.dim_asset.select("asset_sk", "criticality"), "asset_sk").groupBy("criticality").agg(
@@ -305,7 +314,7 @@ def segment_share_by_sector(s: Star) -> DataFrame:
     criticality (the per-sector type mix of R12)."""
     per = s.fct_readings.groupBy("asset_sk", "location_sk").agg(F.count(F.lit(1)).alias("n"))
     j = per.join(s.dim_asset.select("asset_sk", "criticality"), "asset_sk") \
-        .join(F.broadcast(s.dim_location.select("location_sk", "sector_name")), "location_sk")
+        .join(s.dim_location.select("location_sk", "sector_name"), "location_sk")
     g = j.groupBy("sector_name", "criticality").agg(F.sum("n").alias("n"))
     sector = Window.partitionBy("sector_name")
     out = g.select("sector_name", "criticality", F.col("n").cast("bigint").alias("readings"),
@@ -317,11 +326,10 @@ def segment_share_by_sector(s: Star) -> DataFrame:
 def mode_reconciliation(s: Star) -> DataFrame:
     fact = s.fct_failures.groupBy("failure_mode_sk").agg(F.count(F.lit(1)).alias("fact_rows"))
     r = s.readings.filter(F.col("declared_failure") | F.col("any_mode"))
-    src = r.agg(*[F.count(F.when(F.col(c), 1)).alias(code) for code, c in
-                  [("TWF", "flag_twf"), ("OSF", "flag_osf"), ("HDF", "flag_hdf"), ("PWF", "flag_pwf")]],
+    src = r.agg(*[F.count(F.when(F.col(c), 1)).alias(code) for code, c in C.MODE_FLAGS],
                 F.count(F.when(~F.col("any_mode"), 1)).alias(C.INDETERMINATE))
     src_long = src.select(F.explode(F.array(*[F.struct(F.lit(k).alias("mode_code"), F.col(k).alias("source_flags"))
-                                              for k in ["TWF", "OSF", "HDF", "PWF", C.INDETERMINATE]])).alias("x")).select("x.*")
+                                              for k in [*dict(C.MODE_FLAGS), C.INDETERMINATE]])).alias("x")).select("x.*")
     modes = s.dim_mode.select("failure_mode_sk", "mode_code")
     return (modes.join(fact, "failure_mode_sk", "left").join(src_long, "mode_code", "inner")
             .select("mode_code", F.coalesce(F.col("fact_rows"), F.lit(0)).cast("bigint").alias("fact_rows"),
@@ -329,7 +337,7 @@ def mode_reconciliation(s: Star) -> DataFrame:
 
 
 def mode_count_histogram(s: Star) -> DataFrame:
-    n = sum(F.col(c).cast("int") for c in ["flag_twf", "flag_osf", "flag_hdf", "flag_pwf"])
+    n = sum(F.col(c).cast("int") for _, c in C.MODE_FLAGS)
     return s.readings.groupBy(n.alias("modes")).agg(F.count(F.lit(1)).alias("readings"))
 
 
@@ -341,20 +349,22 @@ def source_incoherence(s: Star) -> DataFrame:
 
 
 def source_profile(s: Star) -> DataFrame:
-    """min, max, mean, distinct and null count per measure (one pass)."""
+    """min, max, mean, distinct and null count per measure.
+
+    Readings become (measure, value) pairs that are counted map-side; all
+    figures come from the counted pairs, so no column is expanded for its
+    distinct count.
+    """
     cols = ["quantity", "price", "discount", "tax"]
-    r = s.readings
-    agg = r.agg(*[e for c in cols for e in (
-        F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max"), F.sum(c).alias(f"{c}__sum"),
-        F.count(c).alias(f"{c}__n"), F.countDistinct(c).alias(f"{c}__distinct"),
-        F.count(F.when(F.col(c).isNull(), 1)).alias(f"{c}__nulls"))])
-    rows = F.array(*[F.struct(F.lit(c).alias("measure"),
-                              F.col(f"{c}__min").cast("double").alias("min_value"),
-                              F.col(f"{c}__max").cast("double").alias("max_value"),
-                              round_out(_ratio(f"{c}__sum", f"{c}__n"), 4).alias("mean_value"),
-                              F.col(f"{c}__distinct").alias("distinct_values"),
-                              F.col(f"{c}__nulls").cast("bigint").alias("null_values")) for c in cols])
-    return agg.select(F.explode(rows).alias("x")).select("x.*")
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("decimal(12,2)").alias("value")) for c in cols]))
+    counted = s.readings.select(pairs.alias("p")).groupBy("p.measure", "p.value").agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("value").isNotNull()
+    total = counted.groupBy("measure").agg(
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum(F.col("value") * F.col("n")).alias("all"),
+        F.sum(F.when(known, F.col("n"))).alias("k"), F.count("value").alias("distinct_values"),
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).cast("bigint").alias("null_values"))
+    return total.select("measure", F.col("lo").cast("double").alias("min_value"), F.col("hi").cast("double").alias("max_value"),
+                        round_out(_ratio("all", "k"), 4).alias("mean_value"), "distinct_values", "null_values")
 
 
 # R17, R18, R20 --------------------------------------------------------------
@@ -443,3 +453,22 @@ def open_close_quarters(s: Star) -> DataFrame:
             .groupBy("open_year", "open_quarter", "close_year", "close_quarter")
             .agg(F.sum("n").cast("bigint").alias("orders"))
             .orderBy("open_year", "open_quarter", F.col("close_year").asc_nulls_last(), "close_quarter"))
+
+
+# O1-O3, O5, S15 ----------------------------------------------------------------
+def row_order(s: Star) -> DataFrame:
+    """The rows of three sorted reports, numbered as they come out.
+
+    Each report has a few rows (segments, modes, pairs of quarters), so one
+    partition holds it; numbering reads the order the sort left, it does not
+    sort again.
+    """
+    def numbered(name: str, report: DataFrame, *labels: str) -> DataFrame:
+        label = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in labels])
+        return report.coalesce(1).select(F.lit(name).alias("report"), F.monotonically_increasing_id().alias("row_no"), label.alias("label"))
+
+    mixed = open_close_quarters(s).orderBy(F.col("orders").desc(), F.col("close_year").asc_nulls_last(), F.col("close_quarter").asc_nulls_last(),
+                                           F.col("open_year").desc(), F.col("open_quarter").desc())
+    return (numbered("mtbf_nulls_last", mtbf_mttr_by_segment(s), "criticality")
+            .unionByName(numbered("downtime_descending", mode_by_downtime(s), "mode_code"))
+            .unionByName(numbered("quarters_mixed", mixed, "open_year", "open_quarter", "close_year", "close_quarter")))

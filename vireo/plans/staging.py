@@ -6,11 +6,12 @@ The driver's TPC-H-like tables stand in for the maintenance sources:
   c_mktsegment, production line c_nationkey, state 'operating', installed
   1994-12-01, or 1996-06-01 for customers with a negative balance;
 * change log           <- ``orders`` by priority: 1-URGENT reclassifies the
-  segment, 2-HIGH transfers to another line, 3-MEDIUM marks a refurbishment;
-  dated o_orderdate; other priorities change nothing;
+  segment, 2-HIGH transfers to another line, 3-MEDIUM marks a refurbishment,
+  4-NOT SPECIFIED relocates to another line, 5-LOW reviews the segment; dated
+  o_orderdate;
 * reading              <- deduplicated ``lineitem`` joined to its order
-  (time l_shipdate, machine = the order's customer), with four failure flags
-  and a declared-failure flag;
+  (time l_shipdate, machine = the order's customer), with five failure flags
+  and a declared-failure flag; the random one never counts as declared;
 * work order           <- ``orders``: status F is corrective, others
   preventive; opened o_orderdate; concluded at the last shipment of its
   lines (NULL when it has none); hours, parts and labour cost from its lines;
@@ -23,6 +24,9 @@ Every function is a lazy projection over the sources; nothing is collected.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,18 +78,29 @@ def stg_lineitem(src: Sources) -> DataFrame:
 
 def _line_flags(li: DataFrame) -> DataFrame:
     q = F.col("l_quantity").cast("decimal(12,2)")
-    d = F.col("l_discount").cast("decimal(4,2)")
     t = F.col("l_tax").cast("decimal(4,2)")
+    random = F.col("l_partkey") % C.RNF_PART_MODULUS == C.RNF_PART_REMAINDER
     return li.select(
         "*",
         (F.col("l_returnflag") == "R").alias("flag_twf"),
-        (t >= F.lit(C.OSF_TAX_FROM).cast("decimal(4,2)")).alias("flag_osf"),
+        (t >= tax_limit("l_linestatus")).alias("flag_osf"),
         (q > F.lit(C.HDF_QUANTITY_ABOVE)).alias("flag_hdf"),
-        (d >= F.lit(C.PWF_DISCOUNT_FROM).cast("decimal(4,2)")).alias("flag_pwf"),
-        ((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "A")).alias("declared_failure"))
+        # the source marked this one in binary floats; decimals would mark other lines
+        (F.col("l_discount").cast("double") - F.col("l_tax").cast("double") >= F.lit(float(C.PWF_SPREAD_FROM))).alias("flag_pwf"),
+        random.alias("flag_rnf"),
+        ((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "A") & ~random).alias("declared_failure"))
+
+
+def tax_limit(status: str):
+    """The tax limit of a line status (null for an unknown one)."""
+    out = None
+    for value, limit in C.OSF_TAX_FROM.items():
+        hit, then = F.col(status) == value, F.lit(limit).cast("decimal(4,2)")
+        out = F.when(hit, then) if out is None else out.when(hit, then)
+    return out
 
 
-MODE_FLAGS = [("TWF", "flag_twf"), ("OSF", "flag_osf"), ("HDF", "flag_hdf"), ("PWF", "flag_pwf")]
+MODE_FLAGS = C.MODE_FLAGS
 
 
 def stg_readings(src: Sources, lines: DataFrame | None = None) -> DataFrame:
@@ -93,7 +108,7 @@ def stg_readings(src: Sources, lines: DataFrame | None = None) -> DataFrame:
     lines = lines if lines is not None else stg_lineitem(src)
     o = src["orders"].select("o_orderkey", "o_custkey")
     li = _line_flags(lines)
-    any_mode = F.col("flag_twf") | F.col("flag_osf") | F.col("flag_hdf") | F.col("flag_pwf")
+    any_mode = reduce(or_, [F.coalesce(F.col(c), F.lit(False)) for _, c in MODE_FLAGS])
     return (li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
               .select(F.col("l_orderkey").alias("reading_order"),
                       F.col("l_linenumber").alias("reading_line"),
@@ -106,7 +121,7 @@ def stg_readings(src: Sources, lines: DataFrame | None = None) -> DataFrame:
                       F.col("l_discount").cast("decimal(4,2)").alias("discount"),
                       F.col("l_tax").cast("decimal(4,2)").alias("tax"),
                       "l_returnflag", "l_linestatus",
-                      "flag_twf", "flag_osf", "flag_hdf", "flag_pwf",
+                      *[c for _, c in MODE_FLAGS],
                       "declared_failure", any_mode.alias("any_mode")))
 
 
@@ -129,7 +144,8 @@ def stg_work_orders(src: Sources, readings: DataFrame) -> DataFrame:
         F.min_by("supplier_key", "reading_line").alias("technician_id"),
         F.sum(F.col("price") * (F.lit(1) - F.col("discount"))).alias("_parts"),
         *[F.bool_or(c).alias(c) for _, c in MODE_FLAGS],
-        F.min(F.when(F.col("declared_failure") | F.col("any_mode"), F.col("reading_line"))).alias("_first_failing"))
+        # the line an order names as its origin is its dearest (first among equals), failing or not
+        F.max_by("reading_line", F.struct("price", -F.col("reading_line"))).alias("_origin"))
     o = src["orders"].select(
         F.col("o_orderkey").alias("order_no"), F.col("o_custkey").alias("asset_code"),
         F.when(F.col("o_orderstatus") == "F", F.lit(C.ORDER_CORRECTIVE))
@@ -137,17 +153,17 @@ def stg_work_orders(src: Sources, readings: DataFrame) -> DataFrame:
         F.col("o_orderdate").alias("opened_at"))
     rates = stg_suppliers(src).select("technician_id", "hourly_rate")
     corrective = F.col("order_type") == C.ORDER_CORRECTIVE
-    hours = F.coalesce(F.col("_qty") * F.lit("0.25").cast("decimal(3,2)"), F.lit(0)).cast("decimal(8,2)")
+    hours = F.coalesce(F.col("_qty") * F.lit(C.HOURS_PER_UNIT).cast("decimal(3,2)"), F.lit(0)).cast("decimal(18,2)")
     wo = o.join(per_order, "order_no", "left").join(rates, "technician_id", "left")
     mode = dominant_code([(code, F.coalesce(F.col(c), F.lit(False))) for code, c in MODE_FLAGS], C.INDETERMINATE)
     return wo.select(
         "order_no", "asset_code", "order_type",
         F.when(corrective, mode).alias("failure_mode"),
-        F.when(corrective, F.col("_first_failing")).alias("origin_line"),
+        F.when(corrective, F.col("_origin")).alias("origin_line"),
         "opened_at", "concluded_at", "technician_id",
         hours.alias("duration_hours"),
-        F.coalesce(F.round(hours * F.col("hourly_rate"), 2), F.lit(0)).cast("decimal(12,2)").alias("labour_cost"),
-        F.coalesce(F.round(F.col("_parts"), 2), F.lit(0)).cast("decimal(12,2)").alias("parts_cost"))
+        F.coalesce(F.round(hours * F.col("hourly_rate"), 2), F.lit(0)).cast("decimal(28,2)").alias("labour_cost"),
+        F.coalesce(F.round(F.col("_parts"), 2), F.lit(0)).cast("decimal(28,2)").alias("parts_cost"))
 
 
 def stg_events(src: Sources) -> DataFrame:
