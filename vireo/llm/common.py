@@ -8,8 +8,9 @@ whatever the length of single texts.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,23 @@ LETTER_DIGIT = np.ones(256, dtype=bool)
 LETTER_DIGIT[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = False
 
 
+def release() -> None:
+    """Hand memory that finished work has freed back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def frugal(run: Callable) -> Callable:
+    """A function over batches that releases memory when it is done with them."""
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return over
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -47,7 +65,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     checkpoint_dir(spark)
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -116,22 +134,75 @@ def word_array(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Arra
     return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offs), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-#: A blank beside another white-space character.
-_WIDE_GAP = re.compile(r" \s|\s ")
-_BETWEEN_WORDS = re.compile(r"(?<=\S)(?= \S)")
+#: ASCII white space in the widest sense (C0 separators included).
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
+
+
+def _spaces(buf: np.ndarray) -> np.ndarray:
+    """Which bytes belong to white space."""
+    space = _SPACE[buf]
+    if np.isin(buf, (0xC2, 0xE1, 0xE2, 0xE3)).any():  # lead bytes of white space beyond ASCII
+        two = (buf[:-1] == 0xC2) & ((buf[1:] == 0x85) | (buf[1:] == 0xA0))
+        space[:-1] |= two
+        space[1:] |= two
+        if len(buf) > 2:
+            lead, mid, end = buf[:-2], buf[1:-1], buf[2:]
+            three = (((lead == 0xE1) & (mid == 0x9A) & (end == 0x80)) | ((lead == 0xE3) & (mid == 0x80) & (end == 0x80))
+                     | ((lead == 0xE2) & (mid == 0x81) & (end == 0x9F))
+                     | ((lead == 0xE2) & (mid == 0x80) & ((end <= 0x8A) | (end == 0xA8) | (end == 0xA9) | (end == 0xAF))))
+            for k in range(3):
+                space[k:len(buf) - 2 + k] |= three
+    return space
 
 
-def chunks(text: str) -> list[str]:
-    """The text cut before every blank that stands alone between two words.
+def chunk_table(texts: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """(distinct chunks as strings, code of every chunk, first chunk of each text and the end).
 
-    Byte-level BPE pre-tokenizers never let a piece run over such a place (a
-    piece holds a blank only as its first character), so chunks can be encoded
-    on their own; they repeat far more often than texts do.
+    Texts are cut before every blank that stands alone between two other
+    characters. Byte-level BPE pre-tokenizers never let a piece run over such
+    a place (a piece holds a blank only as its first character), so chunks can
+    be encoded on their own; they repeat far more often than texts do.
     """
-    if _WIDE_GAP.search(text):
-        return _BETWEEN_WORDS.split(text)
-    parts = text.split(" ")
-    return parts[:1] + [" " + p for p in parts[1:]]
+    buf, offs = text_bytes(texts)
+    if len(buf) == 0:
+        return pa.array([], pa.string()), pa.array([], pa.int32()), np.zeros(len(offs), np.int64)
+    space = _spaces(buf)
+    cut = np.zeros(len(buf) + 1, bool)
+    cut[1:-2] = (buf[1:-1] == 0x20) & ~space[:-2] & ~space[2:]
+    cut[offs] = True
+    edges = np.flatnonzero(cut)
+    pieces = pa.Array.from_buffers(pa.string(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(buf))])
+    coded = pieces.dictionary_encode()
+    return coded.dictionary, coded.indices, np.searchsorted(edges, offs)
+
+
+def binary_array(data: np.ndarray | bytes, offs: np.ndarray) -> pa.Array:
+    """Binary values back to back in ``data``, cut at ``offs`` (with the end)."""
+    return pa.Array.from_buffers(pa.binary(), len(offs) - 1, [None, pa.py_buffer(offs.astype(np.int32)), pa.py_buffer(data)])
+
+
+def gathered(values: pa.Array, codes: pa.Array, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all codes back to back, and where each row's part begins (and the end)."""
+    buf, offs = text_bytes(values.take(codes))
+    return buf, offs[firsts]
+
+
+class Memory:
+    """Values that a worker keeps by chunk: two generations of at most ``rows`` each, the older dropped when the newer is full."""
+
+    def __init__(self, rows: int):
+        self.rows, self.new, self.old = rows, {}, {}
+
+    def missing(self, keys: list[str]) -> list[str]:
+        """Those without a value; the others are in the newer generation afterwards."""
+        if len(self.new) > self.rows:
+            self.old, self.new = self.new, {}
+        new, old = self.new, self.old
+        unknown = [k for k in keys if k not in new]
+        kept = {k: old[k] for k in unknown if k in old}
+        new.update(kept)
+        return [k for k in unknown if k not in kept] if kept else unknown
 
 
 def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
@@ -144,6 +215,31 @@ def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.orderBy(spread, key).limit(rows)
 
 
+#: Multiplier of the polynomial word hash, its inverse modulo 2^64, and the two of the bit mixer (SplitMix64).
+HASH_BASE = np.uint64(0x9E3779B97F4A7C15)
+HASH_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+HASH_MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Every bit of a number spread over 64."""
+    x = (x ^ (x >> np.uint64(30))) * HASH_MIX[0]
+    x = (x ^ (x >> np.uint64(27))) * HASH_MIX[1]
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every word, from running sums of byte times HASH_BASE to the place."""
+    powers = np.full(len(buf) + 1, HASH_BASE)
+    powers[0] = 1
+    np.multiply.accumulate(powers, out=powers)
+    sums = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(powers[:-1] * (buf.astype(np.uint64) + np.uint64(1)), out=sums[1:])
+    powers[1:] = HASH_INVERSE
+    np.multiply.accumulate(powers, out=powers)
+    return mixed((sums[ends] - sums[starts]) * powers[starts])
+
+
 def row_sums(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """Sums of ``values`` between consecutive entries of ``firsts``."""
     total = np.zeros(len(values) + 1, values.dtype if values.dtype.kind == "f" else np.int64)

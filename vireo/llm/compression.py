@@ -23,7 +23,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from vireo.llm.common import NOT_SPACE, slices, text_bytes, word_array, word_spans
+from vireo.llm.common import NOT_SPACE, frugal, slices, text_bytes, word_array, word_spans
 
 LEVEL = 3
 CHUNK_BYTES = 4096
@@ -121,6 +121,6 @@ def compression_bands(docs: DataFrame, key: str = "doc_id", text: str = "text")
                                        for k, v in cols.items()]],
                     names=["doc_id", *cols])
 
-    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).mapInArrow(frugal(run), SCHEMA)
 
 

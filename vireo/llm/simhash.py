@@ -33,8 +33,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import LOWER, slices, text_bytes, written
-from vireo.llm.components import components
+from vireo.llm.common import LOWER, frugal, slices, text_bytes, written
+from vireo.llm.components import components, union
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -92,7 +92,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", t
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fingerprints_of(part.column(1), shingle).view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).mapInArrow(frugal(run), "doc_id long, fp long")
 
 
 class VantageTree:
@@ -129,20 +129,6 @@ class VantageTree:
         return row, node - (1 << self.depth), home
 
 
-def union(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Merge the classes of a[i] and b[i]; labels hold the least index of each class."""
-    while True:
-        la, lb = labels[a], labels[b]
-        apart = la != lb
-        if not apart.any():
-            return labels
-        a, b = a[apart], b[apart]
-        low, high = np.minimum(la[apart], lb[apart]), np.maximum(la[apart], lb[apart])
-        np.minimum.at(labels, high, low)
-        while not np.array_equal(jumped := labels[labels], labels):
-            labels = jumped
-
-
 def leaf_forest(fps: np.ndarray, halves: np.ndarray, home: np.ndarray, max_bits: int, radius: int) -> np.ndarray:
     """Class labels of the points of a leaf, linked within ``max_bits``; members are probed by half."""
     members = np.flatnonzero(home)
@@ -194,7 +180,7 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, leaf_rows: int = LEAF_ROW
         child = np.flatnonzero(labels != np.arange(len(labels)))
         return pa.table({"a": fps[child].view(np.int64), "b": fps[labels[child]].view(np.int64)})
 
-    return (points.select("fp").mapInArrow(spread, "leaf long, fp long, home boolean")
+    return (points.select("fp").mapInArrow(frugal(spread), "leaf long, fp long, home boolean")
             .groupBy("leaf").applyInArrow(forest, "a long, b long"))
 
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vireo.llm.common import LETTER_DIGIT, LOWER, bounded_sample, row_sums, slices, text_bytes, word_array, word_spans
+from vireo.llm.common import LETTER_DIGIT, LOWER, bounded_sample, frugal, row_sums, slices, text_bytes, word_array, word_spans
 
 MAX_DOCS = 4000
 MAX_CHARS = 8_000_000
@@ -220,7 +220,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.score(part.column(1)), pa.float64())], names=["doc_id", "score"])
 
-    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).mapInArrow(run, "doc_id long, score double")
+    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).mapInArrow(frugal(run), "doc_id long, score double")
 
 
 def keep_ordinary(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -234,4 +234,4 @@ def keep_ordinary(docs: DataFrame, model: Model, text: str = "text", threshold:
                 part = batch.slice(a, b - a)
                 yield part.filter(pa.array(model.score(part.column(at).cast(pa.string())) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal(run), docs.schema)
