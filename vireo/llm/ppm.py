@@ -11,11 +11,13 @@ context the symbols never seen share what is left.
 
 The probability of a position depends only on its last ``ORDER`` + 1 symbols
 (its gram), and texts repeat grams. So documents are packed in blocks of some
-MB, a block gives its distinct grams with their training counts, Spark sums
-these into the trie, finds the probability of each distinct gram by joins with
-the trie, and hands every block the probabilities of its own grams. No task
-needs the trie, and a block's share is bounded by the block. Words and their
-training counts for the unigram base go the same way.
+MB, and a block gives its distinct grams with their training counts, as sorted
+arrays per key range. Spark sums these into the trie, finds the probability of
+each distinct gram by joins with the trie, and hands every block the
+probabilities of its own grams. No task needs the trie: a range holds as many
+keys as about ``RANGE_BYTES`` of text bring, a block's share is bounded by the
+block. Words and their training counts, for the unigram base, go the same way
+by a 64-bit hash (two of n different words share one with chance n^2 / 2^65).
 
 Defined results: null and empty texts have the end token only. A null doc_id
 is not held out. Repeated rows each get a row and each count. Without training
@@ -30,21 +32,28 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import LOWER, NOT_SPACE, crc_fold, row_sums, slices, text_bytes, word_array, word_spans, written
+from vireo.llm.common import LOWER, NOT_SPACE, crc_fold, frugal, mixed, release, row_sums, slices, text_bytes, word_hashes, word_spans, written
 
 ORDER = 5
 SYMBOL_BITS = 9
 #: Symbols: 0 before the text, byte + 1, and the end.
 END = 257
 SYMBOLS = 257
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
+RANGE_BYTES = 16 << 20
+#: A block number that no block has: what belongs to the corpus as a whole.
+CORPUS = -1
 
-BLOCK_SCHEMA = "block long, doc_ids binary, held binary, ends binary, text binary"
-SCORE_SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+BLOCK_SCHEMA = "block long, size long, doc_ids binary, held binary, ends binary, text binary"
+KEY_SCHEMA = "kind int, p int, block long, keys binary, counts binary"
+SHARE_SCHEMA = "block long, kind int, p int, keys binary, numbers binary"
+SCORE_SCHEMA = "block long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, total long, different long"
+GRAM, WORD = 0, 1
 
 
 def pack_blocks(docs: DataFrame) -> DataFrame:
@@ -52,7 +61,7 @@ def pack_blocks(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, made = TaskContext.get().partitionId() << 32, 0
-        schema = pa.schema([("block", pa.int64()), *[(c, pa.binary()) for c in ("doc_ids", "held", "ends", "text")]])
+        schema = pa.schema([("block", pa.int64()), ("size", pa.int64()), *[(c, pa.binary()) for c in ("doc_ids", "held", "ends", "text")]])
         held: list[pa.RecordBatch] = []
         size = 0
 
@@ -61,7 +70,7 @@ def pack_blocks(docs: DataFrame) -> DataFrame:
             ids = part.column(0).combine_chunks()
             parts = [text_bytes(b.column(2)) for b in held]
             sizes = np.concatenate([np.diff(o) for _, o in parts])
-            row = {"block": first + made, "held": part.column(1).to_numpy().tobytes(), "ends": np.cumsum(sizes).astype("<i8").tobytes(),
+            row = {"block": first + made, "size": int(sizes.sum()), "held": part.column(1).to_numpy().tobytes(), "ends": np.cumsum(sizes).astype("<i8").tobytes(),
                    "doc_ids": ids.fill_null(0).to_numpy().astype("<i8").tobytes() + ids.is_null().to_numpy(zero_copy_only=False).tobytes(),
                    "text": b"".join(LOWER[b].tobytes() for b, _ in parts)}
             return pa.RecordBatch.from_pylist([row], schema)
@@ -76,7 +85,7 @@ def pack_blocks(docs: DataFrame) -> DataFrame:
         if held:
             yield block()
 
-    return written(docs.mapInArrow(run, BLOCK_SCHEMA), "ppm-blocks")
+    return written(docs.mapInArrow(frugal(run), BLOCK_SCHEMA), "ppm-blocks")
 
 
 class Block:
@@ -91,7 +100,7 @@ class Block:
         self.held = np.frombuffer(row["held"], bool)
         self.text = np.frombuffer(row["text"], np.uint8)
 
-    def parts(self, limit: int = 4 << 20) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    def parts(self, limit: int = 2 << 20) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
         """(documents, their bytes, their offsets) of about ``limit`` bytes."""
         start = 0
         while start < len(self.ends):
@@ -133,46 +142,101 @@ def grams_of(buf: np.ndarray, offs: np.ndarray, order: int) -> tuple[np.ndarray,
     return gram[real].view(np.int64), np.concatenate([[0], np.cumsum(lengths)]), (starts, ends, firsts)
 
 
-def block_counts(block: Block, order: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """Distinct grams with training counts, distinct words with training counts."""
-    grams, gram_counts, words, word_counts = [], [], [], []
+def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
+    codes, distinct = pd.factorize(np.concatenate(keys))
+    total = np.bincount(codes, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.int64)
+    order = np.argsort(distinct)
+    return distinct[order], total[order]
+
+
+def block_counts(block: Block, order: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Distinct grams and word hashes of a block, in order, with their training counts."""
+    found: dict[int, tuple[list, list]] = {GRAM: ([], []), WORD: ([], [])}
     for docs, buf, offs in block.parts():
         train = ~block.held[docs]
-        found, firsts, (starts, ends, word_firsts) = grams_of(buf, offs, order)
-        codes, distinct = pd.factorize(found)
-        grams.append(distinct)
-        gram_counts.append(np.bincount(codes, weights=np.repeat(train, np.diff(firsts)), minlength=len(distinct)))
-        coded = word_array(buf, starts, ends).dictionary_encode()
-        words.append(coded.dictionary)
-        word_counts.append(np.bincount(coded.indices.to_numpy(), weights=np.repeat(train, np.diff(word_firsts)), minlength=len(coded.dictionary)))
-    codes, distinct = pd.factorize(np.concatenate(grams))
-    coded = pa.concat_arrays(words).dictionary_encode()
-    return (distinct, np.bincount(codes, weights=np.concatenate(gram_counts)).astype(np.int64), coded.dictionary,
-            np.bincount(coded.indices.to_numpy(), weights=np.concatenate(word_counts), minlength=len(coded.dictionary)).astype(np.int64))
-
-
-def block_rows(blocks: DataFrame, order: int) -> DataFrame:
-    """Of every block its grams (gram, n; place -1) and its words (place in its word list, word, n)."""
+        grams, firsts, (starts, ends, word_firsts) = grams_of(buf, offs, order)
+        words = word_hashes(buf, starts, ends).view(np.int64)
+        for kind, keys, cut in ((GRAM, grams, firsts), (WORD, words, word_firsts)):
+            codes, distinct = pd.factorize(keys)
+            found[kind][0].append(distinct)
+            found[kind][1].append(np.bincount(codes, weights=np.repeat(train, np.diff(cut)), minlength=len(distinct)))
+    return {kind: summed(*lists) for kind, lists in found.items()}
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+
+
+def expanded(data: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
+def keys_of(data: bytes) -> np.ndarray:
+    """Sorted keys, stored as their differences."""
+    return np.cumsum(expanded(data))
+
+
+def block_keys(blocks: DataFrame, order: int, ranges: int) -> DataFrame:
+    """One row per block, kind and key range: sorted keys and their training counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("kind", pa.int32()), ("p", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
         for batch in batches:
             for i in range(batch.num_rows):
                 block = Block(batch.slice(i, 1).to_pylist()[0])
-                grams, gram_n, words, word_n = block_counts(block, order)
-                n = len(grams) + len(words)
-                gap = np.full(len(words), -1)
-                table = pa.table({"block": np.full(n, block.number), "gram": np.concatenate([grams, gap]),
-                                  "place": np.concatenate([np.full(len(grams), -1), np.arange(len(words))]).astype(np.int32),
-                                  "word": pa.concat_arrays([pa.nulls(len(grams), pa.binary()), words]), "n": np.concatenate([gram_n, word_n])})
-                yield from table.to_batches(max_chunksize=1 << 16)
+                rows = []
+                for kind, (keys, counts) in block_counts(block, order).items():
+                    of = (mixed(keys.view(np.uint64)) >> np.uint64(20)) % np.uint64(ranges)
+                    place = np.argsort(of, kind="stable")
+                    cuts = np.searchsorted(of[place], np.arange(ranges + 1))
+                    for p in range(ranges):
+                        part = place[cuts[p]:cuts[p + 1]]
+                        if len(part):
+                            rows.append({"kind": kind, "p": p, "block": block.number, "keys": squeezed(np.diff(keys[part], prepend=0)), "counts": squeezed(counts[part])})
+                del block
+                release()
+                yield pa.RecordBatch.from_pylist(rows, schema)
+
+    return blocks.mapInArrow(frugal(run), KEY_SCHEMA)
 
-    return blocks.mapInArrow(run, "block long, gram long, place int, word binary, n long")
+
+def gram_totals(group: pa.Table) -> pa.Table:
+    """Training counts of the grams of a key range, over all blocks."""
+    rows = group.to_pylist()
+    grams, counts = summed([keys_of(r["keys"]) for r in rows], [expanded(r["counts"]) for r in rows])
+    return pa.table({"p": pa.array(np.full(len(grams), rows[0]["p"], np.int32)), "gram": grams, "c": counts})
+
+
+def _shares(rows: list[dict], numbers: list[bytes]) -> list[dict]:
+    return [{"block": r["block"], "kind": r["kind"], "p": r["p"], "keys": r["keys"], "numbers": n} for r, n in zip(rows, numbers, strict=True)]
+
+
+SHARES = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("p", pa.int32()), ("keys", pa.binary()), ("numbers", pa.binary())])
+
+
+def gram_shares(keys: pa.Table, values: pa.Table) -> pa.Table:
+    """The values of each block's grams of a key range."""
+    rows, grams = keys.to_pylist(), values.column("gram").to_numpy()
+    order = np.argsort(grams)
+    grams, value = grams[order], values.column("value").to_numpy()[order]
+    return pa.Table.from_pylist(_shares(rows, [squeezed(value[np.searchsorted(grams, keys_of(r["keys"]))].astype(np.float32)) for r in rows]), SHARES)
+
+
+def word_shares(group: pa.Table) -> pa.Table:
+    """The corpus counts of each block's words of a key range, and the range's tokens and different words."""
+    rows = group.to_pylist()
+    keys = [keys_of(r["keys"]) for r in rows]
+    words, counts = summed(keys, [expanded(r["counts"]) for r in rows])
+    out = _shares(rows, [squeezed(counts[np.searchsorted(words, k)]) for k in keys])
+    out.append({"block": CORPUS, "kind": WORD, "p": rows[0]["p"], "keys": b"", "numbers": squeezed(np.array([counts.sum(), (counts > 0).sum()], np.int64))})
+    return pa.Table.from_pylist(out, SHARES)
 
 
 def gram_scores(counts: DataFrame, order: int) -> DataFrame:
-    """(gram, value): log10 probability of the last symbol of every distinct gram, by escapes through the trie.
+    """(p, gram, value): log10 probability of the last symbol of every distinct gram, by escapes through the trie.
 
-    ``counts`` has every gram and its training count c (0: only in texts that are scored).
+    ``counts`` has every gram, its key range p and its training count c (0: only in texts that are scored).
     """
     def mask(symbols: Column) -> Column:
         return F.pow(F.lit(2.0), symbols * SYMBOL_BITS).cast("long") - 1
@@ -191,42 +255,37 @@ def gram_scores(counts: DataFrame, order: int) -> DataFrame:
     excluded = (longer.join(trie, ["k", "gram"]).groupBy("k", F.shiftright("long_gram", SYMBOL_BITS).alias("long_context"))
                 .agg(F.sum("c").alias("out_n"), F.count("*").alias("out_d")))
     tried = F.explode(F.when(F.col("c") > 0, F.array(F.lit(order))).otherwise(F.sequence(F.lit(0), F.lit(order)))).alias("k")
-    steps = (counts.select(F.col("gram").alias("whole"), tried)
-             .select("whole", "k", low(F.col("k"), "whole").alias("gram"),
+    steps = (counts.select("p", F.col("gram").alias("whole"), tried)
+             .select("p", "whole", "k", low(F.col("k"), "whole").alias("gram"),
                      F.shiftright("whole", SYMBOL_BITS).bitwiseAND(mask(F.col("k"))).alias("context"),
-                     F.when(F.col("k") < order, F.shiftright("whole", SYMBOL_BITS).bitwiseAND(mask(F.col("k") + 1))).alias("long_context"))
+                     F.when(F.col("k") < order, F.shiftright("whole", SYMBOL_BITS).bitwiseAND(mask(F.col("k") + 1)))
+                     .otherwise(-1 - F.pmod(F.xxhash64("whole"), F.lit(1 << 30))).alias("long_context"))  # no context: spread, not one hot null
              .join(trie, ["k", "gram"], "left").join(contexts, ["k", "context"], "left").join(excluded, ["k", "long_context"], "left")
-             .select("whole", "k", "c", (F.col("n") - F.coalesce("out_n", F.lit(0))).alias("n"), (F.col("d") - F.coalesce("out_d", F.lit(0))).alias("d"),
+             .select("p", "whole", "k", "c", (F.col("n") - F.coalesce("out_n", F.lit(0))).alias("n"), (F.col("d") - F.coalesce("out_d", F.lit(0))).alias("d"),
                      F.col("d").alias("seen")))
     # the floor below the empty context
     floor = F.try_divide(F.lit(1.0), F.lit(SYMBOLS) - F.coalesce(F.max(F.when(F.col("k") == 0, F.col("seen"))), F.lit(0)))
     hit = F.max(F.when(F.col("c").isNotNull(), F.struct("k", F.log10(F.try_divide(2 * F.col("c") - 1, 2 * F.col("n"))).alias("p"))))
     escapes = F.array_agg(F.when(F.col("c").isNull() & (F.col("d") > 0), F.struct("k", F.log10(F.try_divide(F.col("d"), 2 * F.col("n"))).alias("p"))))
-    return (steps.groupBy("whole").agg(hit.alias("hit"), escapes.alias("escapes"), F.log10(floor).alias("floor"))
-            .select(F.col("whole").alias("gram"),
+    return (steps.groupBy("p", "whole").agg(hit.alias("hit"), escapes.alias("escapes"), F.log10(floor).alias("floor"))
+            .select("p", F.col("whole").alias("gram"),
                     (F.coalesce("hit.p", "floor") + F.aggregate(F.filter("escapes", lambda e: e["k"] > F.coalesce(F.col("hit.k"), F.lit(-1))),
                                                                F.lit(0.0), lambda s, e: s + e["p"])).alias("value")))
 
 
-def score_block(block: Block, grams: np.ndarray, gram_value: np.ndarray, word_count: np.ndarray, order: int, total: int, distinct: int, ends: int) -> dict[str, list]:
-    """Scores of the documents of a block; word_count follows the block's word list, ends is the end token's count."""
-    by_gram = pd.Index(grams)
-    lists = []
+def score_block(block: Block, grams: np.ndarray, value: np.ndarray, words: np.ndarray, count: np.ndarray, order: int, ends: int) -> dict[str, np.ndarray]:
+    """Sums over the documents of a block; ``ends`` is the end token's training count.
+
+    ``base`` leaves out the denominator, which is the same for every token.
+    """
+    by_gram, by_word = pd.Index(grams), pd.Index(words)
+    weight, out = np.log10(count + 0.5), {k: [] for k in ("n_tokens", "n_known", "base", "score")}
     for _, buf, offs in block.parts():
-        starts, stops, firsts = word_spans(buf, offs, NOT_SPACE)
-        lists.append(word_array(buf, starts, stops).dictionary_encode())
-    words = pa.concat_arrays([x.dictionary for x in lists]).dictionary_encode()
-    at, out = 0, {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
-    weight = np.log10((word_count + 0.5) / (total + 0.5 * (distinct + 1)))
-    end_weight = float(np.log10((ends + 0.5) / (total + 0.5 * (distinct + 1))))
-    for (_, buf, offs), coded in zip(block.parts(), lists, strict=True):
-        found, firsts, (_, _, word_firsts) = grams_of(buf, offs, order)
-        value = gram_value[by_gram.get_indexer(found)]
-        out["score"].append(row_sums(value, firsts))
-        place = words.indices.to_numpy()[at:at + len(coded.dictionary)][coded.indices.to_numpy()]
-        at += len(coded.dictionary)
-        out["base_score"].append(row_sums(weight[place], word_firsts) + end_weight)
-        out["n_known"].append(row_sums((word_count[place] > 0).astype(np.int64), word_firsts) + int(ends > 0))
+        found, firsts, (starts, stops, word_firsts) = grams_of(buf, offs, order)
+        out["score"].append(row_sums(value[by_gram.get_indexer(found)], firsts))
+        place = by_word.get_indexer(word_hashes(buf, starts, stops).view(np.int64))
+        out["base"].append(row_sums(weight[place], word_firsts) + np.log10(ends + 0.5))
+        out["n_known"].append(row_sums((count[place] > 0).astype(np.int64), word_firsts) + int(ends > 0))
         out["n_tokens"].append(np.diff(word_firsts) + 1)
     return {k: np.concatenate(v) for k, v in out.items()}
 
@@ -237,28 +296,41 @@ def ppm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", holdout
     Documents whose crc32(key as text) leaves ``holdout`` = (modulus, remainder) teach nothing.
     """
     held = F.coalesce(crc_fold(key, holdout[0]) == holdout[1], F.lit(False))
+    ends = docs.where(~held).count()
     blocks = pack_blocks(docs.select(docs[key].cast("long").alias("doc_id"), held.cast("byte").alias("held"), docs[text].cast("string").alias("text")))
-    rows = written(block_rows(blocks, order), "ppm-rows")
-    gram_rows, word_rows = rows.where("place < 0").select("block", "gram", "n"), rows.where("place >= 0").select("block", "place", "word", "n")
-    gram_counts = written(gram_rows.groupBy("gram").agg(F.sum("n").alias("c")), "ppm-grams")
-    values = written(gram_scores(gram_counts, order), "ppm-values")
-    word_counts = written(word_rows.groupBy("word").agg(F.sum("n").alias("c")), "ppm-words")
-    sums = word_counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count(F.when(F.col("c") > 0, 1)).alias("distinct")).first()
-    end_grams = gram_counts.where(F.col("gram").bitwiseAND((1 << SYMBOL_BITS) - 1) == END).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
-    ends = int(end_grams.n)
-    total, distinct = int(sums.tokens) + ends, int(sums.distinct) + (ends > 0)
-    shares = (gram_rows.join(values, "gram").select("block", F.lit(-1).alias("place"), "gram", "value")
-              .union(word_rows.join(word_counts, "word").select("block", "place", F.lit(0).cast("long"), F.col("c").cast("double"))))
+    size = blocks.agg(F.sum("size")).first()[0] or 0
+    keys = written(block_keys(blocks, order, max(1, -(-size // RANGE_BYTES))), "ppm-keys")
+    grams, words = keys.where(F.col("kind") == GRAM), keys.where(F.col("kind") == WORD)
+    totals = written(grams.groupBy("p").applyInArrow(gram_totals, "p int, gram long, c long"), "ppm-grams")
+    values = written(gram_scores(totals, order), "ppm-values")
+    shares = (grams.groupBy("p").cogroup(values.groupBy("p")).applyInArrow(gram_shares, SHARE_SCHEMA)
+              .unionByName(words.groupBy("p").applyInArrow(word_shares, SHARE_SCHEMA)))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        block = Block(left.to_pylist()[0])
-        place, value = right.column("place").to_numpy(), right.column("value").to_numpy()
-        own = place < 0
-        counts = np.zeros(int((~own).sum()))
-        counts[place[~own]] = value[~own]
-        cols = score_block(block, right.column("gram").to_numpy()[own], value[own], counts, order, total, distinct, ends)
-        return pa.table({"doc_id": pa.array(block.keys, pa.int64(), mask=block.null), "held_out": block.held,
-                         "n_tokens": cols["n_tokens"], "n_known": cols["n_known"], "base_score": cols["base_score"], "score": cols["score"]})
-
-    scored = blocks.groupBy("block").cogroup(shares.groupBy("block")).applyInArrow(score, SCORE_SCHEMA)
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+        rows = right.to_pylist()
+        if not len(left):  # the corpus
+            both = sum((expanded(r["numbers"]) for r in rows), np.zeros(2, np.int64))
+            nothing = pa.nulls(1)
+            cols = [pa.array([CORPUS]), *[nothing] * 6, pa.array([int(both[0])]), pa.array([int(both[1])])]
+            return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(cols, SCORES, strict=True)], schema=SCORES)
+        release()
+        block, part = Block(left.to_pylist()[0]), {}
+        for kind, number in ((GRAM, np.float32), (WORD, np.int64)):
+            own = [r for r in rows if r["kind"] == kind]
+            part[kind] = (np.concatenate([keys_of(r["keys"]) for r in own] or [np.empty(0, np.int64)]),
+                          np.concatenate([expanded(r["numbers"], number) for r in own] or [np.empty(0, number)]).astype(np.float64 if kind == GRAM else np.int64))
+        cols = score_block(block, *part[GRAM], *part[WORD], order, ends)
+        n = len(block.ends)
+        return pa.Table.from_arrays([pa.array(np.full(n, block.number)), pa.array(block.keys, pa.int64(), mask=block.null), pa.array(block.held), pa.array(cols["n_tokens"]),
+                                     pa.array(cols["n_known"]), pa.array(cols["base"]), pa.array(cols["score"]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], schema=SCORES)
+
+    scored = written(blocks.groupBy("block").cogroup(shares.groupBy("block")).applyInArrow(score, SCORE_SCHEMA), "ppm-scores")
+    corpus = scored.where(F.col("block") == CORPUS).agg(F.sum("total").alias("tokens"), F.sum("different").alias("different")).first()
+    total, different = (corpus.tokens or 0) + ends, (corpus.different or 0) + (ends > 0)
+    share = F.log10(F.lit(total + 0.5 * (different + 1)))
+    return scored.where(F.col("block") != CORPUS).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), (F.col("base") - F.col("n_tokens") * share).alias("base_score"), "score")
+
+
+SCORES = pa.schema([("block", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+                    ("base", pa.float64()), ("score", pa.float64()), ("total", pa.int64()), ("different", pa.int64())])
