@@ -97,4 +97,25 @@ SELECT p.page_id, p.host, p.path,
        coalesce((SELECT max_by(rule_verdict, length(rule_host || rule_path)) FROM rules
         WHERE (p.host = rule_host OR ends_with(p.host, '.' || rule_host)) AND starts_with(p.path, rule_path)), 'allow') AS verdict
 FROM parts p""",
+    "op9_phrase_index": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_no, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+iw AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS size, w[s:s + least(13, len(w)) - 1] AS words
+  FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS s FROM i WHERE len(w) > 0)),
+dw AS (
+  SELECT row_no, s, size, w[s:s + size - 1] AS words
+  FROM (SELECT row_no, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM d CROSS JOIN (SELECT DISTINCT size FROM iw) WHERE len(w) >= size)),
+m AS (SELECT dw.row_no, dw.s, dw.size, iw.item_id FROM dw JOIN iw ON iw.size = dw.size AND iw.words = dw.words),
+hit AS (SELECT row_no, count(DISTINCT place) AS n_hit FROM (SELECT row_no, unnest(range(s, s + size)) AS place FROM m) GROUP BY row_no),
+named AS (SELECT row_no, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names FROM (SELECT DISTINCT row_no, item_id FROM m) GROUP BY row_no)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items, sha256(coalesce(n.names, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hit h USING (row_no) LEFT JOIN named n USING (row_no)""",
 }
