@@ -10,8 +10,11 @@ A recursive query keeps the rows of every round, the square of a piece's
 length. Pieces above ``LONG_PIECE`` bytes (no prose has them) are therefore
 contracted by the same rule with a heap, in memory proportional to the piece.
 
-Words repeat, so a worker keeps the encodings of at most ``CACHE_ROWS`` chunks
-it has seen and starts anew when that is full; results do not depend on it.
+Words repeat, so a slice of texts is first reduced to its distinct pieces, and
+an id sequence to its distinct runs between blanks; the queries see each once,
+and Arrow gathers put the texts together. A worker's connection keeps what it
+has encoded and decoded in two tables and starts them anew at ``MEMORY_ROWS``
+rows. A partition passes through in slices of ``SLICE`` bytes, whatever its size.
 
 Defined results: null and empty texts have no ids and decode to nothing.
 Special tokens are ordinary text. Each row is encoded on its own, so repeated
@@ -29,14 +32,22 @@ from itertools import chain
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from vireo.llm.common import chunks, slices
+from vireo.llm.common import binary_array, chunk_table, frugal, gathered, slices, text_bytes, word_array
 
-CACHE_ROWS = 200_000
+SLICE = 24 << 20
+MEMORY_ROWS = 1_500_000
 LONG_PIECE = 512
 
+#: Letters A-Z, a-z (ASCII) and closing marks.
+ASCII_LETTER = np.zeros(256, bool)
+ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+CLOSING = np.zeros(256, bool)
+CLOSING[list(b".,;:!?")] = True
+
 ENCODE = """
 WITH RECURSIVE step(word, pos, tok, round) AS (
   SELECT word, pos, tok, 0 FROM bytes
@@ -54,9 +65,9 @@ FROM step s JOIN (SELECT word, max(round) AS last FROM step GROUP BY word) e ON
 ORDER BY s.word, s.pos"""
 
 DECODE = """
-SELECT i.text_no, string_agg(v.bytes, '' ORDER BY i.pos) AS decoded
+SELECT i.run, string_agg(v.bytes, '' ORDER BY i.pos) AS decoded
 FROM ids i JOIN vocabulary v ON v.tok = i.tok
-GROUP BY i.text_no"""
+GROUP BY i.run"""
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -71,14 +82,20 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pattern = regex.compile(pattern)
         self.singles = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.limit = max(ranks.values()) + 1
+        self.opens = np.zeros(max(ranks.values()) + 1, bool)
+        self.opens[[r for t, r in ranks.items() if t[:1] == b" "]] = True
+        self.decimals = pa.array([b"%d," % i for i in range(len(self.opens))], pa.binary())
+        self.words_are_pieces = self.pattern.findall(" ab, c") == [" ab", ",", " c"]
         splits = [(ranks[t[:k]] << 32 | ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         self.merges = dict(splits)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "preserve_insertion_order": False})
         self._keep("merges", pair=np.array([s for s, _ in splits], np.int64), merged=np.array([r for _, r in splits], np.int64))
         # bytes as the characters of the same numbers, so that string_agg can join them
         self._keep("vocabulary", tok=np.array(list(ranks.values()), np.int64), bytes=[t.decode("latin-1") for t in ranks])
-        self.known: dict[str, tuple[bytes, str]] = {"": (b"", "")}
+        self.kept = {}
+        for table in ("encoded", "decoded"):
+            self.con.execute(f"CREATE TABLE {table}(k BLOB, v BLOB)")
+            self.kept[table] = 0
 
     def _keep(self, name: str, **columns) -> None:
         self.con.register("incoming", pa.table(columns))
@@ -91,26 +108,55 @@ class Codec:
         self.con.unregister(name)
         return out
 
-    def encode_pieces(self, pieces: list[bytes], rows: int = 4_000_000) -> list[np.ndarray]:
-        """Ids of every piece; queries take pieces of like length, so that all rounds of one stay near ``rows`` rows."""
-        out = [self._contract(p) if len(p) > LONG_PIECE else None for p in pieces]
-        order = sorted((i for i in range(len(pieces)) if out[i] is None), key=lambda i: len(pieces[i]))
-        cost = np.cumsum([len(pieces[i]) ** 2 // 2 + 1 for i in order])
-        at = 0
-        while at < len(order):
+    def remembered(self, table: str, keys: pa.Array, work: Callable[[pa.Array], pa.Array]) -> pa.Array:
+        """The value of every key: from the worker's table, or by ``work``, which the table then keeps."""
+        hits = self._rows("wanted", f"SELECT w.n, t.v FROM wanted w JOIN {table} t ON t.k = w.k", n=np.arange(len(keys), dtype=np.int32), k=keys)
+        found = hits.column("n").to_numpy()
+        missing = np.ones(len(keys), bool)
+        missing[found] = False
+        fresh = np.flatnonzero(missing)
+        unseen = keys.take(pa.array(fresh))
+        values = work(unseen) if len(fresh) else pa.array([], pa.binary())
+        self.con.register("incoming", pa.table({"k": unseen, "v": values}))
+        if self.kept[table] + len(fresh) > MEMORY_ROWS:
+            self.con.execute(f"CREATE OR REPLACE TABLE {table}(k BLOB, v BLOB)")
+            self.kept[table] = 0
+        self.con.execute(f"INSERT INTO {table} SELECT * FROM incoming")
+        self.con.unregister("incoming")
+        self.kept[table] += len(fresh)
+        place = np.empty(len(keys), np.int64)
+        place[np.concatenate([found, fresh])] = np.arange(len(keys))
+        return pa.concat_arrays([hits.column("v").combine_chunks(), values]).take(pa.array(place))
+
+    def tokens(self, pieces: pa.Array, rows: int = 4_000_000) -> pa.Array:
+        """The ids of every piece as little-endian 32-bit numbers. Queries take pieces
+        of like length, so that all rounds of one stay near ``rows`` rows."""
+        sizes = pc.binary_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
+        order = np.argsort(sizes, kind="stable")
+        short = int(np.searchsorted(sizes[order], LONG_PIECE, "right"))
+        cost = np.cumsum(sizes[order[:short]] ** 2 // 2 + 1)
+        parts, at = [], 0
+        while at < short:
             stop = max(at + 1, int(np.searchsorted(cost, (cost[at - 1] if at else 0) + rows, "right")))
-            for i, ids in zip(order[at:stop], self._query([pieces[i] for i in order[at:stop]]), strict=True):
-                out[i] = ids
+            parts.append(self._query(pieces.take(pa.array(order[at:stop]))))
             at = stop
-        return out
-
-    def _query(self, pieces: list[bytes]) -> list[np.ndarray]:
-        sizes = np.array([len(p) for p in pieces])
+        for i in order[short:]:
+            ids = self._contract(pieces[int(i)].as_py())
+            parts.append(binary_array(ids.astype("<i4").tobytes(), np.array([0, 4 * len(ids)])))
+        if not parts:
+            return pa.array([], pa.binary())
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return pa.concat_arrays(parts).take(pa.array(back))
+
+    def _query(self, pieces: pa.Array) -> pa.Array:
+        buf, offs = text_bytes(pieces)
+        sizes = np.diff(offs)
         word = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
-        place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        found = self._rows("bytes", ENCODE, word=word, pos=place.astype(np.int32), tok=self.singles[np.frombuffer(b"".join(pieces), np.uint8)])
-        words, toks = found.column("word").to_numpy(), found.column("tok").to_numpy()
-        return np.split(toks, np.searchsorted(words, np.arange(1, len(pieces))))
+        place = np.arange(len(word)) - np.repeat(offs[:-1], sizes)
+        found = self._rows("bytes", ENCODE, word=word, pos=place.astype(np.int32), tok=self.singles[buf])
+        firsts = np.searchsorted(found.column("word").to_numpy(), np.arange(len(pieces) + 1))
+        return binary_array(found.column("tok").to_numpy().astype("<i4").tobytes(), 4 * firsts)
 
     def _contract(self, piece: bytes) -> np.ndarray:
         toks, after = [int(self.singles[b]) for b in piece], list(range(1, len(piece) + 1))
@@ -131,42 +177,88 @@ class Codec:
                     heapq.heappush(heap, (r, k))
         return np.array([t for t in toks if t >= 0], np.int64)
 
-    def learn(self, unseen: list[str]) -> None:
-        """Encode chunks that are not in ``known``."""
-        split = [self.pattern.findall(c) for c in unseen]
-        pieces = sorted(set(chain.from_iterable(split)))
-        ids = dict(zip(pieces, self.encode_pieces([p.encode() for p in pieces]), strict=True))
-        for c, parts in zip(unseen, split, strict=True):
-            whole = np.concatenate([ids[p] for p in parts]) if len(parts) > 1 else ids[parts[0]]
-            self.known[c] = whole.astype("<i4").tobytes(), ",".join(map(str, whole.tolist()))
-
-    def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
-        """Ids of every text, as little-endian 32-bit numbers and as decimals joined by commas."""
-        cut = [chunks(t) for t in texts]
-        if len(self.known) > CACHE_ROWS:
-            self.known = {"": (b"", "")}
-        unseen = set(chain.from_iterable(cut)).difference(self.known)
-        if unseen:
-            self.learn(sorted(unseen))
-        known = self.known
-        out = []
-        for parts in cut:
-            each = [known[p] for p in parts]
-            out.append((b"".join([e[0] for e in each]), ",".join([e[1] for e in each if e[1]])))
-        return out
+    def pieces(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """(pieces of all chunks, order in which the chunks stand there, first piece of each and the end).
+
+        A blank and letters, perhaps with a closing mark, are one or two
+        pieces by their bytes; the pattern splits every other chunk.
+        """
+        buf, offs = text_bytes(chunks)
+        begin, end = offs[:-1], offs[1:]
+        behind_c3 = np.zeros(len(buf), bool)
+        behind_c3[1:] = buf[:-1] == 0xC3  # U+00C0 to U+00FF, all letters but two
+        letter = ASCII_LETTER[buf] | (buf == 0xC3) | (behind_c3 & (buf != 0x97) & (buf != 0xB7))
+        other = np.zeros(len(buf) + 1, np.int64)
+        np.cumsum(~letter, out=other[1:])
+        closed = CLOSING[buf[end - 1]] & (end - begin > 2)
+        plain = (buf[begin] == 0x20) & (end - begin > 1) & (other[end - closed] - other[begin + 1] == 0) & self.words_are_pieces
+        easy, hard = np.flatnonzero(plain), np.flatnonzero(~plain)
+        cuts = np.zeros(len(buf) + 1, bool)
+        cuts[begin[easy]] = True
+        cuts[end[easy][closed[easy]] - 1] = True
+        edges = np.flatnonzero(cuts)
+        stops = np.append(edges[1:], len(buf))
+        last = np.searchsorted(edges, begin[easy]) + closed[easy]
+        stops[last] = end[easy]
+        simple = word_array(buf, edges, stops)
+        split = [self.pattern.findall(c) for c in chunks.take(pa.array(hard)).to_pylist()]
+        rest = pa.array([p.encode() for p in chain.from_iterable(split)], pa.binary())
+        counts = np.concatenate([1 + closed[easy].astype(np.int64), np.array([len(p) for p in split], np.int64)])
+        return pa.concat_arrays([simple, rest]), np.concatenate([easy, hard]), np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
+
+    def encode(self, texts: pa.Array) -> list[tuple[bytes, bytes]]:
+        """Ids of every text (null: none), as little-endian 32-bit numbers and as decimals joined by commas."""
+        chunks, codes, firsts = chunk_table(texts)
+        if not len(chunks):
+            return [(b"", b"")] * len(texts)
+        pieces, order, first_piece = self.pieces(chunks)
+        coded = pieces.dictionary_encode()
+        ids = self.remembered("encoded", coded.dictionary, self.tokens)
+        numbers, offs = text_bytes(ids)
+        flat = np.ascontiguousarray(numbers).view("<i4")
+        decimals, places = text_bytes(self.decimals.take(pa.array(flat)))
+        shown = binary_array(np.ascontiguousarray(decimals), places[offs // 4])
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        place = pa.array(place[codes.to_numpy()])
+        both = []
+        for values in (ids, shown):
+            buf, cut = gathered(values, coded.indices, first_piece)  # of the chunks
+            buf, at = gathered(binary_array(np.ascontiguousarray(buf), cut), place, firsts)  # of the texts
+            both.append((buf.tobytes(), at))
+        (numbers, a), (shown, b) = both
+        return [(numbers[a[i]:a[i + 1]], shown[b[i]:b[i + 1]].rstrip(b",")) for i in range(len(texts))]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
-        """The bytes of every id sequence, from the ids alone."""
-        flat = np.frombuffer(b"".join(ids), "<i4").astype(np.int64)
-        sizes = np.array([len(i) // 4 for i in ids], np.int64)
-        if len(flat) and (flat.min() < 0 or flat.max() >= self.limit):
+        """The bytes of every id sequence, from the ids alone; sequences are cut
+        before ids that stand for a blank and more, and each distinct run is decoded once."""
+        flat = np.frombuffer(b"".join(ids), "<i4")
+        if not len(flat):
+            return [b""] * len(ids)
+        if flat.min() < 0 or flat.max() >= len(self.opens):
             raise ValueError("id outside the vocabulary")
-        text_no = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
-        found = self._rows("ids", DECODE, text_no=text_no, pos=np.arange(len(flat), dtype=np.int32), tok=flat)
-        out = [b""] * len(ids)
-        for n, text in zip(found.column("text_no").to_pylist(), found.column("decoded").to_pylist(), strict=True):
-            out[n] = text.encode("latin-1")
-        return out
+        offs = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(i) // 4 for i in ids])])
+        cut = np.append(self.opens[flat], True)
+        cut[offs] = True
+        edges = np.flatnonzero(cut)
+        coded = binary_array(np.ascontiguousarray(flat), 4 * edges).dictionary_encode()
+        parts = self.remembered("decoded", coded.dictionary, self.bytes_of)
+        whole, at = gathered(parts, coded.indices, np.searchsorted(edges, offs))
+        whole = whole.tobytes()
+        return [whole[at[i]:at[i + 1]] for i in range(len(ids))]
+
+    def bytes_of(self, runs: pa.Array) -> pa.Array:
+        """The bytes of every run of ids, by the ordered aggregate."""
+        tokens, ends = text_bytes(runs)
+        tokens = np.ascontiguousarray(tokens).view("<i4").astype(np.int64)
+        run = np.repeat(np.arange(len(runs), dtype=np.int32), np.diff(ends) // 4)
+        found = self._rows("ids", DECODE, run=run, pos=np.arange(len(tokens), dtype=np.int32), tok=tokens)
+        if len(found) != len(runs):
+            raise ValueError("id outside the vocabulary")
+        decoded = found.column("decoded").combine_chunks().take(pc.sort_indices(found.column("run")))
+        sizes = pc.utf8_length(decoded).to_numpy(zero_copy_only=False).astype(np.int64)
+        data = text_bytes(decoded)[0].tobytes().decode().encode("latin-1")
+        return binary_array(data, np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)]))
 
 
 _CODECS: dict[str, Codec] = {}
@@ -180,7 +272,7 @@ def codec(ranks: dict[bytes, int], pattern: str, name: str) -> Codec:
     return _CODECS[name]
 
 
-def _per_slice(docs: DataFrame, key: str, value: str, kind: str, schema: str, work: Callable[[Codec, list], list[list]], types: list[pa.DataType],
+def _per_slice(docs: DataFrame, key: str, value: str, kind: str, schema: str, work: Callable[[Codec, pa.Array], list[list]], types: list[pa.DataType],
                ranks_path: str, pattern: str) -> DataFrame:
     ranks = read_ranks(ranks_path)
     name = hashlib.sha256(repr(sorted(ranks.items())).encode() + pattern.encode()).hexdigest()
@@ -188,36 +280,36 @@ def _per_slice(docs: DataFrame, key: str, value: str, kind: str, schema: str, wo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(ranks, pattern, name)
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), SLICE):
                 part = batch.slice(a, b - a)
-                cols = work(own, part.column(1).to_pylist())
+                cols = work(own, part.column(1))
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]],
                                                  names=["doc_id", *[f"c{i}" for i in range(len(types))]])
 
     fields = [f.strip().split()[0] for f in schema.split(",")]
     raw = ", ".join(f"{'doc_id' if i == 0 else f'c{i - 1}'} {f.strip().split()[1]}" for i, f in enumerate(schema.split(",")))
-    return docs.select(docs[key].cast("long").alias("doc_id"), docs[value].cast(kind).alias("value")).mapInArrow(run, raw).toDF(*fields)
+    return docs.select(docs[key].cast("long").alias("doc_id"), docs[value].cast(kind).alias("value")).mapInArrow(frugal(run), raw).toDF(*fields)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids): the ids of every text as little-endian 32-bit numbers."""
     return _per_slice(docs, key, text, "string", "doc_id long, ids binary",
-                      lambda own, texts: [[ids for ids, _ in own.encode([t or "" for t in texts])]], [pa.binary()], ranks_path, pattern)
+                      lambda own, texts: [[ids for ids, _ in own.encode(texts)]], [pa.binary()], ranks_path, pattern)
 
 
 def decode(ids: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", column: str = "ids") -> DataFrame:
     """(doc_id, decoded): the bytes that every id sequence stands for."""
     return _per_slice(ids, key, column, "binary", "doc_id long, decoded binary",
-                      lambda own, seqs: [own.decode([s or b"" for s in seqs])], [pa.binary()], ranks_path, pattern)
+                      lambda own, seqs: [own.decode([s or b"" for s in seqs.to_pylist()])], [pa.binary()], ranks_path, pattern)
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per text: number of ids, SHA-256 of the decimal ids joined by commas, SHA-256 of the bytes decoded from the ids."""
 
-    def work(own: Codec, texts: list[str | None]) -> list[list]:
-        encoded = own.encode([t or "" for t in texts])
+    def work(own: Codec, texts: pa.Array) -> list[list]:
+        encoded = own.encode(texts)
         decoded = own.decode([ids for ids, _ in encoded])
-        return [[len(ids) // 4 for ids, _ in encoded], [hashlib.sha256(s.encode()).hexdigest() for _, s in encoded],
+        return [[len(ids) // 4 for ids, _ in encoded], [hashlib.sha256(s).hexdigest() for _, s in encoded],
                 [hashlib.sha256(d).hexdigest() for d in decoded]]
 
     return _per_slice(docs, key, text, "string", "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
