@@ -200,6 +200,7 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     Only the keys of the others are joined against; rows that repeat the kept
     key stay. Rows with a null key cannot be told apart and stay.
     """
-    gone = near_duplicates(docs, shingle, max_bits, key, text).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone"))
-    kept_key = docs[key].cast("long")
-    return docs.join(gone.distinct(), kept_key == F.col("gone"), "left_anti")
+    found = near_duplicates(docs, shingle, max_bits, key, text)
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("own")).distinct()
+    rows = docs.select(F.struct("*").alias("doc"), docs[key].cast("long").alias("own"))
+    return rows.join(gone, "own", "left_anti").select("doc.*")
