@@ -30,10 +30,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import LETTER_DIGIT, LOWER, slices, text_bytes, word_array, word_spans, written
+from vireo.llm.common import LETTER_DIGIT, LOWER, frugal, slices, text_bytes, word_array, word_spans, written
 
 WINDOW = 13
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 BLOCK_BYTES = 4 << 20
 
 INDEX_SCHEMA = "shard string, doc_ids binary, firsts binary, terms binary, term_ends binary, ends binary, positions binary"
@@ -71,7 +71,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
                 yield pa.RecordBatch.from_pylist([_shard(batch.slice(a, b - a))], schema=schema)
 
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    return written(rows.mapInArrow(run, INDEX_SCHEMA), "phrase-index")
+    return written(rows.mapInArrow(frugal(run), INDEX_SCHEMA), "phrase-index")
 
 
 class Queries:
@@ -190,7 +190,7 @@ def _search(index: DataFrame, items: list[tuple[str, str]], window: int, slack:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["shard"]] * len(cols["ordinal"]), pa.string()), *[pa.array(cols[f.name], f.type) for f in list(schema)[1:]]], schema=schema)
 
-    return index.mapInArrow(run, MATCH_SCHEMA)
+    return index.mapInArrow(frugal(run), MATCH_SCHEMA)
 
 
 def item_blocks(items: DataFrame, key: str, text: str) -> Iterator[list[tuple[str, str]]]:
