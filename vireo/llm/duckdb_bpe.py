@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame
 
 from vireo.llm.common import binary_array, chunk_table, frugal, gathered, slices, text_bytes, word_array
 
-SLICE = 24 << 20
-MEMORY_ROWS = 1_500_000
+SLICE = 8 << 20
+MEMORY_ROWS = 500_000
 LONG_PIECE = 512
 
 #: Letters A-Z, a-z (ASCII) and closing marks.
@@ -88,7 +88,7 @@ class Codec:
         self.words_are_pieces = self.pattern.findall(" ab, c") == [" ab", ",", " c"]
         splits = [(ranks[t[:k]] << 32 | ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         self.merges = dict(splits)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "preserve_insertion_order": False})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "preserve_insertion_order": False})
         self._keep("merges", pair=np.array([s for s, _ in splits], np.int64), merged=np.array([r for _, r in splits], np.int64))
         # bytes as the characters of the same numbers, so that string_agg can join them
         self._keep("vocabulary", tok=np.array(list(ranks.values()), np.int64), bytes=[t.decode("latin-1") for t in ranks])
@@ -128,7 +128,7 @@ class Codec:
         place[np.concatenate([found, fresh])] = np.arange(len(keys))
         return pa.concat_arrays([hits.column("v").combine_chunks(), values]).take(pa.array(place))
 
-    def tokens(self, pieces: pa.Array, rows: int = 4_000_000) -> pa.Array:
+    def tokens(self, pieces: pa.Array, rows: int = 2_000_000) -> pa.Array:
         """The ids of every piece as little-endian 32-bit numbers. Queries take pieces
         of like length, so that all rounds of one stay near ``rows`` rows."""
         sizes = pc.binary_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64)
