@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 SALTS = (0x47B6137B, 0x44974D91, 0x8824AD5B, 0xA2B7289D, 0x705495C7, 0x2DF1424B, 0x9EFC4947, 0x5C6BFB31)
 BITS_PER_KEY = 16
 BLOCK_BITS = 256
+#: Bytes of a filter row (block number and eight words) and of what may be broadcast.
+BLOCK_BYTES = 72
+BROADCAST_BYTES = 16 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -55,8 +58,14 @@ def bloom_blocks(keys: DataFrame, key: str = "key") -> tuple[DataFrame, int]:
     return rows.groupBy("block").agg(*words), blocks
 
 
+def small(df: DataFrame, size: int) -> DataFrame:
+    """``df`` marked for broadcast if its measured size is within the bound; else as it is, joined by a shuffle."""
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def maybe_listed(probes: DataFrame, bloom: DataFrame, blocks: int, key: str = "key") -> DataFrame:
-    """Probe rows that pass the filter; the join goes by block, broadcast only if measured small."""
+    """Probe rows that pass the filter; the join goes by block where the filter is not small."""
+    bloom = small(bloom, blocks * BLOCK_BYTES)
     with_block = probes.withColumns({"block": _block(F.col(key), blocks)} | {f"b{i}": b for i, b in enumerate(_bits(F.col(key)))})
     hit = F.lit(True)
     for i in range(8):
@@ -81,7 +90,8 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", unlisted: str = "
     path lengths that occur in the list.
     """
     listed = canonical_rules(rules)
-    lengths = sorted(r[0] for r in listed.select("path_len").distinct().collect())  # bounded by the longest listed path
+    shapes = listed.groupBy("path_len").agg(F.sum(F.octet_length("key") + F.octet_length("verdict") + 24).alias("size")).collect()
+    lengths, size = sorted(r.path_len for r in shapes), sum(r.size for r in shapes)  # rows bounded by the longest listed path
     parts = urls.select(*keep, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     if not lengths:
         return parts.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(unlisted)})
@@ -93,7 +103,7 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", unlisted: str = "
     probes = (parts.select("host", "path", F.explode(F.flatten(pairs)).alias("c"))
               .select("host", "path", "c.key", "c.path_len").where(F.col("key").isNotNull()))
     bloom, blocks = bloom_blocks(listed.select("key").distinct())
-    best = (maybe_listed(probes, bloom, blocks).join(listed, ["key", "path_len"])
+    best = (maybe_listed(probes, bloom, blocks).join(small(listed, size), ["key", "path_len"])
             .groupBy("host", "path")
             .agg(F.max(F.struct(F.length("key").alias("n"), "key", "path_len", "verdict")).alias("best")))
     return (parts.join(best, ["host", "path"], "left")
