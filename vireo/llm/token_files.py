@@ -24,25 +24,29 @@ from __future__ import annotations
 
 import hashlib
 import os
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from vireo.llm.common import bounded_sample, chunks, slices
+from vireo.llm.common import Memory, bounded_sample, chunk_table, frugal, gathered, slices
 
 SAMPLE_DOCS = 1000
 SAMPLE_BYTES = 8 << 20
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
-CACHE_ROWS = 300_000
+PACK_BYTES = 8 << 20
+#: Chunks a worker remembers in each of two generations.
+MEMORY_ROWS = 350_000
 
 PACK_SCHEMA = ("shard int, pack int, dictionary string, width int, n_ids long, ids_before long, "
                "least long, greatest long, "
@@ -50,37 +54,82 @@ PACK_SCHEMA = ("shard int, pack int, dictionary string, width int, n_ids long, i
 DOC_SCHEMA = "shard int, before long, doc_id long, n_tokens long, ids_crc32 long"
 
 
+def byte_characters() -> dict[int, str]:
+    """For every character up to U+00FF, what byte-level BPE models write for its UTF-8 bytes.
+
+    A printable byte stands for itself; the others are numbered from U+0100 on.
+    """
+    printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    shown = {b: chr(b) for b in printable}
+    shown |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+    return {c: "".join(shown[b] for b in chr(c).encode()) for c in range(256)}
+
+
+SHOWN = byte_characters()
+CLOSING = frozenset(".,;:!?")
+
+
 class Encoder:
-    """The tokenizers library, with the ids of at most ``CACHE_ROWS`` chunks kept per worker."""
+    """The tokenizers library, with the ids of the chunks a worker has met lately."""
 
     def __init__(self, definition: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
         self.width = 2 if max(self.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else 4
-        self.kind = f"<u{self.width}"
-        self.end = np.array([end_id], self.kind).tobytes()
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        self.special = [t.content for t in added]
-        self.known: dict[str, bytes] = {"": b""}
+        self.code = "H" if self.width == 2 else "I"
+        self.end = self._serialized([end_id])
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.model = self.tokenizer.model
+        self.memory = Memory(MEMORY_ROWS)
+
+    def _serialized(self, ids: list[int]) -> bytes:
+        packed = array(self.code, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Serialized ids of every text, end id included.
+        return [self._serialized(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word(self, word: str, plain: bool) -> bytes:
+        """A blank and letters, or a mark: one piece to the pre-tokenizer, so it goes to the library's model at once."""
+        found = self.memory.new.get(word)
+        if found is None:
+            shown = word.replace(" ", SHOWN[32]) if plain else word.translate(SHOWN)
+            found = self.memory.new[word] = self._serialized([t.id for t in self.model.tokenize(shown)])
+        return found
+
+    def learn(self, unseen: list[str]) -> None:
+        """Ids of new chunks. Words with or without a closing mark are one or two pieces; the library splits the rest."""
+        rest, known = [], self.memory.new
+        for c in unseen:
+            letters, mark = (c[1:-1], c[-1]) if c[-1] in CLOSING else (c[1:], "")
+            if c[0] == " " and letters.isalpha() and ((plain := letters.isascii()) or max(letters) <= "\u00ff"):
+                if mark:
+                    known[c] = self._word(c[:-1], plain) + self._word(mark, True)
+                else:
+                    self._word(c, plain)
+            else:
+                rest.append(c)
+        known.update(zip(rest, self._ids(rest), strict=True))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Serialized ids of every text (null: empty), end id included.
 
         Texts are encoded chunk by chunk, unless they hold an added token's
         string, which the library looks for in the whole text.
         """
-        whole = [any(s in t for s in self.special) for t in texts]
-        cut = [[] if w else chunks(t) for t, w in zip(texts, whole, strict=True)]
-        if len(self.known) > CACHE_ROWS:
-            self.known = {"": b""}
-        unseen = sorted(set(chain.from_iterable(cut)).difference(self.known))
-        if unseen:
-            self.known.update(zip(unseen, self._ids(unseen), strict=True))
-        known = self.known
-        return [(self._ids([t])[0] if w else b"".join([known[p] for p in parts])) + self.end for t, w, parts in zip(texts, whole, cut, strict=True)]
+        table, codes, firsts = chunk_table(texts)
+        distinct = table.to_pylist()
+        self.learn(self.memory.missing(distinct))
+        known = self.memory.new
+        ids, offs = gathered(pa.array([known[c] for c in distinct], pa.binary()), codes, firsts)
+        ids = ids.tobytes()
+        out = [ids[offs[i]:offs[i + 1]] + self.end for i in range(len(texts))]
+        for s in self.special:
+            for i in np.flatnonzero(pc.fill_null(pc.match_substring(texts, s), False).to_numpy(zero_copy_only=False)):
+                out[i] = self._ids([texts[i].as_py()])[0] + self.end
+        return out
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
@@ -98,10 +147,10 @@ def train_dictionary(docs: DataFrame, definition: str, end_id: int) -> bytes:
     """A zstandard dictionary from a bounded sample (empty if there is too little to learn from)."""
     own = Encoder(definition, end_id)
     samples, size = [], 0
-    for row in bounded_sample(docs.select("doc_id", "text").where("text IS NOT NULL"), "doc_id", SAMPLE_DOCS).toLocalIterator():
+    for row in bounded_sample(docs.select("doc_id", "text"), "doc_id", SAMPLE_DOCS).toLocalIterator():
         if size > SAMPLE_BYTES:
             break
-        samples += own.encode([row.text])
+        samples += own.encode(pa.array([row.text], pa.string()))
         size += len(samples[-1])
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
@@ -111,7 +160,7 @@ def train_dictionary(docs: DataFrame, definition: str, end_id: int) -> bytes:
 
 def _pack(part: pa.RecordBatch, own: Encoder, squeeze: zstandard.ZstdCompressor) -> dict[str, object]:
     ids = part.column(0)
-    serialized = own.encode([t or "" for t in part.column(1).to_pylist()])
+    serialized = own.encode(part.column(1))
     frames = [squeeze.compress(s) for s in serialized]
     keys = ids.drop_null().to_numpy(zero_copy_only=False)
     counts = np.array([len(s) // own.width for s in serialized], "<i8")
@@ -136,13 +185,13 @@ def write(docs: DataFrame, path: str, definition: str, end_id: int = 0, key: str
         schema = pa.schema([("shard", pa.int32()), ("pack", pa.int32()), ("dictionary", pa.string()), ("width", pa.int32()), ("n_ids", pa.int64()),
                             ("ids_before", pa.int64()), ("least", pa.int64()), ("greatest", pa.int64()), *[(c, pa.binary()) for c in ("doc_ids", "counts", "ends", "frames")]])
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), PACK_BYTES):
                 row = {"shard": shard, "pack": pack, "dictionary": name, "ids_before": ids_before} | _pack(batch.slice(a, b - a), own, squeeze)
                 yield pa.RecordBatch.from_pylist([row], schema)
                 pack, ids_before = pack + 1, ids_before + row["n_ids"]
 
     ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    ordered.mapInArrow(run, PACK_SCHEMA).write.parquet(f"{path}/packs")
+    ordered.mapInArrow(frugal(run), PACK_SCHEMA).write.parquet(f"{path}/packs")
     shards = spark.read.schema(PACK_SCHEMA).parquet(f"{path}/packs").groupBy("shard").agg(F.sum("n_ids").alias("n_ids"))
     # one small row per shard: their running sum is all that one task does
     before = F.coalesce(F.sum("n_ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -196,6 +245,6 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                      pa.array([zlib.crc32(ids.astype("<u4").tobytes()) for _, ids in found], pa.int64())],
                     names=["shard", "before", "doc_id", "n_tokens", "ids_crc32"])
 
-    docs = spark.read.schema(PACK_SCHEMA).parquet(f"{path}/packs").mapInArrow(run, DOC_SCHEMA)
+    docs = spark.read.schema(PACK_SCHEMA).parquet(f"{path}/packs").mapInArrow(frugal(run), DOC_SCHEMA)
     shards = spark.read.schema("shard int, ids_before long").parquet(f"{path}/shards")
     return docs.join(shards, "shard").select("doc_id", (F.col("before") + F.col("ids_before")).alias("start"), "n_tokens", "ids_crc32")
