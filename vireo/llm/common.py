@@ -137,12 +137,15 @@ def word_array(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Arra
 #: ASCII white space in the widest sense (C0 separators included).
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
+#: Lead bytes of white space beyond ASCII.
+_WIDE_LEAD = np.zeros(256, bool)
+_WIDE_LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 def _spaces(buf: np.ndarray) -> np.ndarray:
     """Which bytes belong to white space."""
     space = _SPACE[buf]
-    if np.isin(buf, (0xC2, 0xE1, 0xE2, 0xE3)).any():  # lead bytes of white space beyond ASCII
+    if _WIDE_LEAD[buf].any():
         two = (buf[:-1] == 0xC2) & ((buf[1:] == 0x85) | (buf[1:] == 0xA0))
         space[:-1] |= two
         space[1:] |= two
