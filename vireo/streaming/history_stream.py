@@ -59,7 +59,7 @@ class HistorySink:
 
     def _write(self, rows: DataFrame, path: str) -> DataFrame:
         bucketed = rows.withColumn("bucket", self._bucket())
-        bucketed.write.partitionBy("bucket").parquet(path)
+        bucketed.repartition("bucket").write.partitionBy("bucket").parquet(path)  # one file a bucket, not one a task and bucket
         return self.spark.read.schema(bucketed.schema).parquet(path).drop("bucket")
 
     def _schemas(self, batch: DataFrame):
