@@ -1,0 +1,14 @@
+"""The style tree decides inside declared main parts, too."""
+
+from __future__ import annotations
+
+from vireo.llm import site_style
+
+PAGE = "<html><body><article><h1>Title {0}</h1><p>Text {0} of page {1}</p><div class='x7'><p>Call our hotline today</p></div></article></body></html>"
+
+
+def test_repeated_blocks_in_an_article_go(spark):
+    pages = [(i, f"http://h.example/{i}", PAGE.format(i, i * i)) for i in range(20)] + [(100, "http://one.example/", PAGE.format(7, 49))]
+    got = {r.page_id: r.text for r in site_style.main_texts(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[7] == "Title 7\nText 7 of page 49"
+    assert got[100] == "Title 7\nText 7 of page 49\nCall our hotline today"
