@@ -69,6 +69,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_keyed(docs: DataFrame, from_files: bool) -> DataFrame:
+    """(doc, file, row): every row of ``docs`` as a struct, with a key of its own that no retry changes.
+
+    The key is the row's place in the Parquet files. ``from_files`` says that
+    ``docs`` is a table as it lies there; anything else is written first.
+    """
+    docs = docs if from_files else written(docs, "rows")
+    place = docs.metadataColumn("_metadata")
+    return docs.select(F.struct("*").alias("doc"), place["file_path"].alias("file"), place["row_index"].alias("row"))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

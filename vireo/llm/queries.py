@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vireo.llm import compression, duckdb_bpe, fuzzy_lines, phrase_index, ppm, simhash, site_style, token_files, toxicity, url_rules
+from vireo.llm import (compression, duckdb_bpe, external_shuffle, fill_in_middle, fuzzy_lines, importance, phrase_index, ppm, simhash, site_style,
+                       token_files, toxicity, url_rules)
 from vireo.llm.common import crc_fold, table
 from vireo.session import checkpoint_dir, scratch_path
 
@@ -68,6 +69,28 @@ def op10_vantage_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checkpoint_dir(spark)
+    path, docs = scratch_path(spark, "shards"), table(spark, sf_dir, "documents")
+    external_shuffle.write(docs, path, from_files=True)
+    text = F.col("doc.text")
+    return external_shuffle.read(spark, path, docs.schema).select(
+        "doc.doc_id", external_shuffle.text_size(text).alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit(external_shuffle.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = fill_in_middle.restored(F.col("form"), F.col("output"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), from_files=True)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_style_tree": op1_site_style_tree,
     "op2_ppm_scores": op2_ppm_scores,
@@ -79,6 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_phrase_index": op9_phrase_index,
     "op10_vantage_simhash": op10_vantage_simhash,
+    "op11_external_shuffle": op11_external_shuffle,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -118,4 +144,51 @@ named AS (SELECT row_no, count(*) AS n_items, string_agg(item_id, ',' ORDER BY i
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items, sha256(coalesce(n.names, '')) AS items_sha256,
        coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN hit h USING (row_no) LEFT JOIN named n USING (row_no)""",
+    "op12_fill_in_middle": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (
+  SELECT doc_id, t, n, CAST('0x' || substr(x, 1, 8) AS BIGINT) % (n + 1) AS u, CAST('0x' || substr(x, 9, 8) AS BIGINT) % (n + 1) AS v,
+         CAST('0x' || substr(x, 17, 8) AS BIGINT) % 100 AS h3, CAST('0x' || substr(x, 25, 8) AS BIGINT) % 100 AS h4 FROM d),
+c AS (
+  SELECT doc_id, t, n, least(u, v) AS a, greatest(u, v) AS b,
+         CASE WHEN n = 0 OR regexp_matches(t, '<[PSM]>') OR h3 >= 90 THEN 'plain' WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (
+  SELECT doc_id, t, n, a, b, form, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1, n - b) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p""",
+    "op13_importance_resampling": r"""
+WITH crc AS (
+  SELECT list_transform(range(0, 256), lambda i: list_reduce(list_prepend(i::BIGINT, range(0, 8)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+dw AS (
+  SELECT row_number() OVER () AS row_no, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+d AS (SELECT row_no, unnest(w) AS word FROM dw),
+b AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM benchmark),
+words AS (SELECT DISTINCT word, hex(encode(word)) AS x FROM (SELECT word FROM d UNION ALL SELECT word FROM b)),
+filed AS (
+  SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+         lambda c, v: xor(c >> 8, tab[(xor(c, v) & 255) + 1]))) % 10000 AS bucket
+  FROM words, crc),
+s AS (SELECT bucket, count(*) AS n FROM d JOIN filed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM b JOIN filed USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM s), 0) + 10000)::DOUBLE
+         / ((coalesce(s.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM s FULL JOIN t USING (bucket)),
+weights AS (SELECT row_no, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM d JOIN filed USING (word) JOIN gains USING (bucket) GROUP BY row_no),
+scores AS (
+  SELECT row_no, doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+         / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM dw LEFT JOIN weights USING (row_no)),
+places AS (SELECT row_no, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS all_rows FROM scores WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * all_rows // 100 THEN place END AS rank
+FROM scores LEFT JOIN places USING (row_no)""",
 }
