@@ -62,7 +62,7 @@ def test_shuffle_is_uniform_and_follows_the_seed(spark):
     stored = spark.read.parquet(path)
     orders = []
     for seed in (1, 1, 2):
-        rows = shards(spark, stored, shards=8, seed=seed, bucket_bytes=4096, from_files=True)[0].select("doc.doc_id", "shard", "slot").collect()
+        rows = shards(spark, stored, shards=8, seed=seed, bucket_bytes=4096)[0].select("doc.doc_id", "shard", "slot").collect()
         laws([(r.shard, r.slot) for r in rows], 4000, 8)
         orders.append([r.doc_id for r in sorted(rows, key=lambda r: (r.shard, r.slot))])
     assert orders[0] == orders[1] != orders[2]
@@ -116,7 +116,7 @@ def test_shuffle_plan_is_native_and_moves_texts_once(spark):
         return old(self, *args, **kwargs)
     writer.parquet = parquet
     try:
-        external_shuffle.write(docs, path, from_files=True)
+        external_shuffle.write(docs, path)
     finally:
         writer.parquet = old
     plan = seen[-1]

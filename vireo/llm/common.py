@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vireo.session import checkpoint_dir, scratch_path
@@ -69,17 +69,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def row_keyed(docs: DataFrame, from_files: bool) -> DataFrame:
+def is_stored(docs: DataFrame) -> bool:
+    """Whether ``docs`` is a table of files as it lies, with nothing done to it."""
+    return docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation"
+
+
+def row_keyed(docs: DataFrame) -> DataFrame:
     """(doc, file, row): every row of ``docs`` as a struct, with a key of its own that no retry changes.
 
-    The key is the row's place in the Parquet files. ``from_files`` says that
-    ``docs`` is a table as it lies there; anything else is written first.
+    The key is the row's place in the Parquet files; rows that are not read
+    from files as they lie are written first.
     """
-    docs = docs if from_files else written(docs, "rows")
+    docs = docs if is_stored(docs) else written(docs, "rows")
     place = docs.metadataColumn("_metadata")
     return docs.select(F.struct("*").alias("doc"), place["file_path"].alias("file"), place["row_index"].alias("row"))
 
 
+#: Bits of a row's place inside its file.
+ROW_BITS = 40
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """(doc, number): as row_keyed(), with one number for file and row (the files are ranked by path; as many rows as files)."""
+    rows = row_keyed(docs)
+    files = rows.select("file").distinct().withColumn("rank", F.row_number().over(Window.orderBy("file")).cast("long"))
+    files = written(files, "files")
+    return rows.join(F.broadcast(files), "file").select("doc", (F.col("rank") * (1 << ROW_BITS) + F.col("row")).alias("number"))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

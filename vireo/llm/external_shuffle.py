@@ -57,17 +57,15 @@ def bucket_index(rows: DataFrame) -> DataFrame:
 
 
 def write(docs: DataFrame, path: str, shards: int = 16, seed: int = SEED, text: str = "text",
-          bucket_bytes: int = BUCKET_BYTES, from_files: bool = False) -> None:
+          bucket_bytes: int = BUCKET_BYTES) -> None:
     """Write ``docs`` in random order below ``path``: ``shards`` (doc, slot) in folders shard=<number>, and ``index``.
-
-    ``from_files``: ``docs`` is a table as it lies in Parquet files (see row_keyed).
     """
     spark = docs.sparkSession
     total = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(text_size(docs[text])), F.lit(0)).alias("bytes")).first()
     tasks = max(shuffle_width(spark), -(-total["bytes"] // (bucket_bytes * BUCKETS_A_TASK)))
     buckets, n = tasks * BUCKETS_A_TASK, max(1, total["n"])
     name = F.element_at(F.split("file", "/"), -1)
-    scattered = row_keyed(docs, from_files).withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), name, "row"), F.lit(buckets)))
+    scattered = row_keyed(docs).withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), name, "row"), F.lit(buckets)))
 
     bucket_index(scattered.select("bucket")).sortWithinPartitions("bucket").write.parquet(f"{path}/index")
     index = spark.read.schema("bucket long, n long, first long").parquet(f"{path}/index")

@@ -107,7 +107,7 @@ def noise(key: Column, seed: int = SEED, scale: int = SCALE) -> Column:
 
 
 def scored(docs: DataFrame, gains: np.ndarray, key: str = "doc_id", text: str = "text", longest: int = LONGEST,
-           seed: int = SEED, scale: int = SCALE, from_files: bool = False) -> DataFrame:
+           seed: int = SEED, scale: int = SCALE) -> DataFrame:
     """(file, row, doc_id, n_words, n_features, weight, score) of every document, written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +124,7 @@ def scored(docs: DataFrame, gains: np.ndarray, key: str = "doc_id", text: str =
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(words), pa.array(features), pa.array(weight)],
                                                  names=["file", "row", "doc_id", "n_words", "n_features", "weight"])
 
-    rows = row_keyed(docs, from_files).select("file", "row", F.col(f"doc.`{key}`").cast("long").alias("doc_id"), F.col(f"doc.`{text}`").cast("string").alias("text"))
+    rows = row_keyed(docs).select("file", "row", F.col(f"doc.`{key}`").cast("long").alias("doc_id"), F.col(f"doc.`{text}`").cast("string").alias("text"))
     weighed = rows.mapInArrow(frugal(run), "file string, row long, doc_id long, n_words long, n_features long, weight long")
     return written(weighed.withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed, scale)), "scores")
 
@@ -166,17 +166,15 @@ def ranked(scores: DataFrame, percent: int = PERCENT, least_words: int = LEAST_W
 
 
 def importance(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", target_text: str = "text", longest: int = LONGEST,
-               buckets: int = BUCKETS, percent: int = PERCENT, least_words: int = LEAST_WORDS, seed: int = SEED, from_files: bool = False) -> DataFrame:
+               buckets: int = BUCKETS, percent: int = PERCENT, least_words: int = LEAST_WORDS, seed: int = SEED) -> DataFrame:
     """scored() rows of every document with their rank, resampled towards the words of ``target``.
-
-    ``from_files``: ``docs`` is a table as it lies in Parquet files (see row_keyed).
     """
     gains = bucket_gains(bucket_counts(docs, text, longest, buckets), bucket_counts(target, target_text, longest, buckets))
-    return ranked(scored(docs, gains, key, text, longest, seed, SCALE, from_files), percent, least_words)
+    return ranked(scored(docs, gains, key, text, longest, seed, SCALE), percent, least_words)
 
 
 def resample(docs: DataFrame, target: DataFrame, **options) -> DataFrame:
     """(doc, rank): the drawn documents with all their columns."""
     docs = written(docs, "rows")
-    ranks = importance(docs, target, from_files=True, **options).where("rank is not null").select("file", "row", "rank")
-    return row_keyed(docs, True).join(ranks, ["file", "row"]).select("doc", "rank")
+    ranks = importance(docs, target, **options).where("rank is not null").select("file", "row", "rank")
+    return row_keyed(docs).join(ranks, ["file", "row"]).select("doc", "rank")

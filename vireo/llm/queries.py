@@ -72,7 +72,7 @@ def op10_vantage_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint_dir(spark)
     path, docs = scratch_path(spark, "shards"), table(spark, sf_dir, "documents")
-    external_shuffle.write(docs, path, from_files=True)
+    external_shuffle.write(docs, path)
     text = F.col("doc.text")
     return external_shuffle.read(spark, path, docs.schema).select(
         "doc.doc_id", external_shuffle.text_size(text).alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
@@ -87,7 +87,7 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = importance.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), from_files=True)
+    found = importance.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
