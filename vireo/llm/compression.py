@@ -3,10 +3,10 @@
 The ratio is bytes of text over bytes of its zstandard frame. Text that packs
 far better than prose of its length repeats itself; text that barely packs is
 noise. How well prose packs depends on its length, so the limits are a table
-by size (powers of four). The whole text and every whole chunk of
-``CHUNK_BYTES`` are judged, so that a repetitive stretch inside an ordinary
-document is seen: a document fails if its own ratio is out of band or more
-than ``MAX_BAD_CHUNKS`` of its chunks are.
+by size (powers of four). The whole text and every chunk of ``CHUNK_BYTES``
+are judged, the shorter last one by the limits of its own size, so that a
+repetitive stretch inside an ordinary document is seen: a document fails if
+its own ratio is out of band or more than ``MAX_BAD_CHUNKS`` of its chunks are.
 
 Defined results: null and empty texts have no words, ratio null, and fail the
 base rule (too few words). A text shorter than the smallest band has no ratio
@@ -45,14 +45,14 @@ def in_band(n_bytes: int, ratio: float) -> bool:
 
 
 def bands_of(data: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float | None, int, int]:
-    """Ratio of the whole text, number of whole chunks, and how many are out of band."""
+    """Ratio of the whole text, number of chunks, and how many are out of the band of their size."""
     if not data:
         return None, 0, 0
     bad = chunks = 0
-    for at in range(0, len(data) - CHUNK_BYTES + 1, CHUNK_BYTES):
+    for at in range(0, len(data), CHUNK_BYTES):
         chunk = data[at:at + CHUNK_BYTES]
         chunks += 1
-        bad += not in_band(CHUNK_BYTES, CHUNK_BYTES / len(compressor.compress(chunk)))
+        bad += not in_band(len(chunk), len(chunk) / len(compressor.compress(chunk)))
     return len(data) / len(compressor.compress(data)), chunks, bad
 
 
