@@ -36,6 +36,8 @@ from vireo.llm.common import LETTER_DIGIT, LOWER, bounded_sample, frugal, row_su
 
 MAX_DOCS = 4000
 MAX_CHARS = 8_000_000
+#: No text above this part of MAX_CHARS is in the sample.
+DOCS_AT_LEAST = 8
 ORDER = 6
 DISCOUNT = 0.75
 MIX = 0.005
@@ -181,6 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     rows, sizes = training_rows(docs, labels, label, key, text, holdout)
     kept = {0: [], 1: []}
     room = Window.partitionBy("toxic").orderBy(F.xxhash64(F.col("key").cast("string")), "key", "text")
+    rows = rows.where(F.length("text") <= MAX_CHARS // DOCS_AT_LEAST)  # no single text shuts out those behind it
     bounded = rows.withColumn("upto", F.sum(F.length("text")).over(room)).withColumn("rank", F.row_number().over(room))
     for r in bounded.where((F.col("rank") <= MAX_DOCS) & ((F.col("upto") <= MAX_CHARS) | (F.col("rank") == 1))).select("key", "toxic", "text").toLocalIterator():
         kept[r.toxic].append((xxhash.xxh64_intdigest(str(r.key), 1) % 5 == 0, r.text))
