@@ -69,7 +69,16 @@ def test_simhash(odd, empty):
     assert collected(simhash.near_duplicates(empty)) == []
     kept = simhash.one_of_each(odd)
     assert kept.columns == odd.columns
-    assert in_order(r[0] for r in kept.select("doc_id").collect()) == in_order([1, 3, 3, 5, 7, 8, None])
+    assert in_order(r[0] for r in kept.select("doc_id").collect()) == in_order([1, 3, 5, 7, 8, None])
+
+
+def test_one_of_each_keeps_a_copy_of_every_text(spark):
+    """Ids that repeat, or are missing, do not decide which rows are alike."""
+    texts = {c: " ".join(f"{c}{i * i % 97}" for i in range(60)) for c in "xyz"}
+    rows = [(1, "x"), (5, "x"), (5, "y"), (7, "y"), (None, "z"), (None, "z"), (7, "y")]
+    docs = spark.createDataFrame([(k, texts[t], i) for i, (k, t) in enumerate(rows)], "doc_id long, text string, number int").coalesce(1)
+    kept = sorted((r.number, r.doc_id, r.text) for r in simhash.one_of_each(docs).collect())
+    assert kept == [(0, 1, texts["x"]), (2, 5, texts["y"]), (4, None, texts["z"])]
 
 
 def test_vantage_tree_finds_every_pair(spark):
@@ -99,9 +108,9 @@ def test_components_of_chains_stars_and_nothing(spark):
 def test_lines(spark, odd, empty):
     docs = [(1, "one two three four five six seven\nshort line\n" + PROSE), (2, PROSE.upper() + "!\nshort line"), (3, PROSE.replace("lazy", "lazi")),
             (4, None), (5, ""), (6, PROSE), (7, "\n" + PROSE + "\n\n"), (8, LONG)]
-    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in
-           fuzzy_lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), counts=True).collect()}
-    assert got == brute.deduped_texts(docs)
+    got = [tuple(r) for r in fuzzy_lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"), counts=True).select("doc_id", "n_lines", "n_removed", "text").collect()]
+    assert sorted(got) == sorted(brute.deduped_texts(docs))
+    got = {r[0]: r[1:] for r in got}
     assert got[6] == (1, 1, "") and got[7][2] == "\n\n" and got[4] == (0, 0, None)
     cleaned = fuzzy_lines.dedup_lines(odd)
     assert cleaned.columns == odd.columns and cleaned.count() == len(TEXTS)
@@ -110,17 +119,53 @@ def test_lines(spark, odd, empty):
     assert fuzzy_lines.dedup_lines(empty).count() == 0
 
 
-def test_dense_line_buckets_are_cut_in_chunks(spark):
+def test_lines_of_rows_without_ids_of_their_own(spark):
+    """Rows of one id, of none, and rows equal in everything are told apart; the first of a group keeps its line."""
+    docs = [(5, PROSE + "\nalso this line of five"), (5, PROSE), (None, PROSE + "\nonly here once, in this row"), (None, "only HERE once: in this row"),
+            (None, "only here once, in this row"), (3, "also this line of five!"), (3, "also this line of five!")]
+    frame = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(docs)], "doc_id long, text string, number int").coalesce(1)
+    got = sorted((r.number, r.doc_id, r.text) for r in fuzzy_lines.dedup_lines(frame).collect())
+    assert got == [(i, k, t) for i, (k, _, _, t) in enumerate(brute.deduped_texts(docs))]
+    assert [t for *_, t in got] == [PROSE, "", "only here once, in this row", "", "", "also this line of five!", ""]
+
+
+def line_rows(lines):
+    import pyarrow as pa
     import xxhash
-    base = [f"token{i}" for i in range(80)]
-    lines = sorted({" ".join(base[:k] + ["other" + "abcdef"[k % 6]] + base[k + 1:]) for k in range(0, 80)} | {" ".join(base)})
-    rows = [(xxhash.xxh3_128_digest(x.encode()), brute.line_print(x.encode()), x) for x in lines]
-    signed = [(bytearray(d), p - (1 << 64) if p >= 1 << 63 else p, x) for d, p, x in rows]
-    links = fuzzy_lines.line_links(spark.createDataFrame(signed, "digest binary, fp long, line string"), chunk_rows=7)
-    roots = {bytes(r.node): bytes(r.root) for r in components(links).collect()}
-    group = brute.groups(len(rows), lambda i, j: (rows[i][1] ^ rows[j][1]).bit_count() <= 3 and fuzzy_lines.similar(rows[i][2], rows[j][2]))
-    pairs = set(zip(group, [roots.get(r[0], r[0]) for r in rows], strict=True))
-    assert len(pairs) == len(set(group)) < len(rows)
+    prints = fuzzy_lines.simhash(pa.array(lines), 2).view("int64").tolist()
+    return [(bytearray(xxhash.xxh3_128_digest(x.encode())), x, *p) for x, p in zip(lines, prints, strict=True)]
+
+
+def test_dense_groups_are_cut_in_chunks(spark):
+    base = [f"token{c}{d}" for c in "abcdefgh" for d in "abcdefghij"]
+    lines = sorted({" ".join(base[:k] + ["other" + "abcdef"[k % 6]] + base[k + 1:]) for k in range(0, 80)} | {" ".join(base), " ".join(base[::-1])})
+    rows = line_rows(lines)
+    texts = spark.createDataFrame(rows, "digest binary, line string, p0 long, p1 long")
+    groups = texts.select(F.lit(9).cast("long").alias("bucket"), "p0", "p1").distinct()
+    for chunk_rows in (7, 4096):
+        roots = {bytes(r.node): bytes(r.root) for r in components(fuzzy_lines.line_links(texts, groups, chunk_rows=chunk_rows)).collect()}
+        group = brute.groups(len(rows), lambda i, j: fuzzy_lines.similar(rows[i][1], rows[j][1]))
+        pairs = set(zip(group, [roots.get(bytes(r[0]), bytes(r[0])) for r in rows], strict=True))
+        assert len(pairs) == len(set(group)) == 2
+
+
+def test_blocks_hold_to_the_pigeonhole_principle():
+    """Two lines that differ in fewer bits than there are blocks share a key, whatever the bits."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    size, blocks = fuzzy_lines.block_plan(3, 30_000)
+    words = rng.integers(0, 1 << 63, (200, -(-size * blocks // 64)), dtype=np.uint64)
+    other = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")
+    for row in other:
+        row[rng.choice(size * blocks, blocks - 1, replace=False)] ^= 1
+    other = np.packbits(other, axis=1, bitorder="little").view(np.uint64)
+    line, band = np.arange(200), np.full(200, 3)
+    a, b = (fuzzy_lines.block_keys(w, line, band, {3: (size, blocks)}) for w in (words, other))
+    met = {(int(k), int(o)) for k, o in zip(*a, strict=True)} & {(int(k), int(o)) for k, o in zip(*b, strict=True)}
+    assert {o for _, o in met} == set(range(200))
+    line, band = fuzzy_lines.bands_of(np.array([1, 11, 12, 24, 29, 30, 31, 47, 96, 50_000]))
+    bands = [set(band[line == i].tolist()) for i in range(10)]
+    assert bands == [{0}, {0}, {0}, {0, 1}, {0, 1}, {0, 1}, {1}, {1}, {2, 3}, {11, 12}]
 
 
 def test_edit_distance():
@@ -244,6 +289,10 @@ def test_toxicity(spark, odd, empty):
     assert len(collected(toxicity.score(odd, model))) == len(TEXTS)
     assert collected(toxicity.score(empty, model)) == []
     assert {r.score for r in toxicity.score(odd, toxicity.fit(odd, labels.limit(0))).collect()} == {0.0}
+    giant = spark.createDataFrame([(k, "calm " * 250_000) for k in range(100, 108)], "doc_id long, text string")  # above the bound of one text
+    more = labels.unionByName(spark.createDataFrame([(k, 0) for k in range(100, 108)], labels.select("doc_id", "toxic").schema), allowMissingColumns=True)
+    with_giant = toxicity.fit(frame.select("doc_id", "text").union(giant), more)
+    assert len(with_giant.grams) == len(model.grams)  # all other documents count as before
     kept = toxicity.keep_ordinary(odd.unionByName(odd.limit(1).withColumn("text", F.lit("idiot scum stupid"))), model)
     assert kept.columns == odd.columns and kept.count() == len(TEXTS)
 

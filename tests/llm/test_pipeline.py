@@ -24,8 +24,10 @@ def test_whole_pipeline(spark):
     calm = {r.doc_id for r in toxicity.score(docs, model).where("score < 0.3").collect()}
     kept = [(r["doc_id"], r["text"]) for r in rows if r["doc_id"] in calm]
     assert 0 < len(kept) < len(rows)
-    cleaned = brute.deduped_texts(kept)
-    kept = [(k, cleaned[k][2]) for k, _ in kept]
+    calm_docs = docs.where(F.col("doc_id").isin(calm))  # the line stage has a test of its own; from here on its texts count
+    cleaned = {r.doc_id: r.text for r in corpus_pipeline.line_stage(spark, calm_docs, SF_SMALL).collect()}
+    assert sum(len(brute.lowered(t)) for _, t in kept) > sum(len(brute.lowered(t)) for t in cleaned.values()) > 0
+    kept = [(k, cleaned[k]) for k, _ in kept]
     kept = [(k, t) for (k, t), (_, _, group) in zip(kept, brute.simhash_rows(kept), strict=True) if k == group]
     items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{SF_SMALL}/benchmark.parquet").to_pylist()]
     dirty = {r[0] for r in brute.contamination_rows(kept, items) if r[5]}
@@ -57,6 +59,17 @@ def test_stages_keep_columns_and_stand_odd_rows(spark):
     assert corpus_pipeline.token_stage(spark, docs, SF_SMALL).count() == len(rows)
 
 
+def test_stages_know_rows_by_their_place(spark):
+    """Ids that are null or repeat: a contaminated row goes alone, and one copy of every text stays."""
+    passage = pq.read_table(f"{SF_SMALL}/benchmark.parquet").to_pylist()[0]["text"]
+    clean = "nothing that any benchmark holds " * 5
+    rows = [(None, passage), (None, clean), (4, clean + "at all"), (4, passage), (4, passage)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.text for r in corpus_pipeline.benchmark_stage(spark, docs, SF_SMALL).collect()) == [clean, clean + "at all"]
+    left = corpus_pipeline.near_duplicate_stage(spark, docs, SF_SMALL)
+    assert {r.text for r in left.collect()} >= {passage} and left.where(F.col("text") == passage).count() == 1
+
+
 def test_names_and_sql():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "bpe"]
     assert corpus_pipeline.ORACLE_SQL is None

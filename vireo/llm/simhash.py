@@ -32,8 +32,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vireo.llm.common import LOWER, frugal, slices, text_bytes, written
+from vireo.llm.common import LOWER, bounded_sample, frugal, numbered, slices, text_bytes, written
 from vireo.llm.components import components, union
 
 SHINGLE = 3
@@ -85,6 +86,11 @@ def fingerprints_of(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed 64-bit number."""
+    return prints(docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")), shingle)
+
+
+def prints(rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp) of rows (doc_id, text); the key may be of any type."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,7 +98,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", t
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fingerprints_of(part.column(1), shingle).view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).mapInArrow(frugal(run), "doc_id long, fp long")
+    return rows.mapInArrow(frugal(run), T.StructType([rows.schema["doc_id"], T.StructField("fp", T.LongType())]))
 
 
 class VantageTree:
@@ -160,7 +166,7 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, leaf_rows: int = LEAF_ROW
     ``points`` holds distinct values in column fp.
     """
     radius = max_bits // 2
-    sample = np.array([r.fp for r in points.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()], np.int64).view(np.uint64)
+    sample = np.array([r.fp for r in bounded_sample(points.select("fp"), "fp", SAMPLE).collect()], np.int64).view(np.uint64)
     depth = max(0, int(np.ceil(np.log2(max(1, points.count()) / leaf_rows))))
     trees = [VantageTree((sample >> np.uint64(32 * h)).astype(np.uint32), depth, radius, seed=7 + h) for h in (0, 1)]
 
@@ -186,21 +192,27 @@ def links(points: DataFrame, max_bits: int = MAX_BITS, leaf_rows: int = LEAF_ROW
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) of every row; component_id is the least doc_id reachable over links."""
-    prints = written(fingerprints(docs, shingle, key, text), "fingerprints")
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    return with_components(written(fingerprints(docs, shingle, key, text), "fingerprints"), max_bits)
+
+
+def with_components(found: DataFrame, max_bits: int) -> DataFrame:
+    """Written prints() with the least doc_id of every row's component."""
+    classes = written(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     roots = components(links(classes, max_bits)).withColumnRenamed("node", "fp")
     named = classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(named.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return found.join(named.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Of every group of near-duplicates the rows whose key names the group (all columns).
+    """Of every group of near-duplicates the first row (all columns): least key, null last, then place in the files.
 
-    Only the keys of the others are joined against; rows that repeat the kept
-    key stay. Rows with a null key cannot be told apart and stay.
+    Every row is known by its place, so rows that share a key, or have none,
+    go and stay on their own.
     """
-    found = near_duplicates(docs, shingle, max_bits, key, text)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("own")).distinct()
-    rows = docs.select(F.struct("*").alias("doc"), docs[key].cast("long").alias("own"))
-    return rows.join(gone, "own", "left_anti").select("doc.*")
+    rows = numbered(docs)
+    own = F.col(f"doc.`{key}`").cast("long")
+    place = F.struct(own.isNull().alias("unnamed"), own.alias("id"), "number")
+    found = with_components(written(prints(rows.select(place.alias("doc_id"), F.col(f"doc.`{text}`").cast("string").alias("text")), shingle), "fingerprints"), max_bits)
+    gone = found.where("doc_id.number <> component_id.number").select("doc_id.number")
+    return rows.join(gone, "number", "left_anti").select("doc.*")
