@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vireo.llm import duckdb_bpe, fuzzy_lines, phrase_index, simhash, toxicity
-from vireo.llm.common import table, written
+from vireo.llm.common import numbered, table, written
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +36,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark items."""
-    found = phrase_index.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows = numbered(docs)  # ids may repeat or be null, rows are known by their place
+    found = phrase_index.contamination(rows.select("number", "doc.text"), table(spark, sf_dir, "benchmark"), key="number")
+    return rows.join(found.where("contaminated").select(F.col("doc_id").alias("number")), "number", "left_anti").select("doc.*")
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
