@@ -159,8 +159,7 @@ def test_blocks_hold_to_the_pigeonhole_principle():
     for row in other:
         row[rng.choice(size * blocks, blocks - 1, replace=False)] ^= 1
     other = np.packbits(other, axis=1, bitorder="little").view(np.uint64)
-    line, band = np.arange(200), np.full(200, 3)
-    a, b = (fuzzy_lines.block_keys(w, line, band, {3: (size, blocks)}) for w in (words, other))
+    a, b = (fuzzy_lines.block_keys(w, np.full(200, 3), {3: (size, blocks)}) for w in (words, other))
     met = {(int(k), int(o)) for k, o in zip(*a, strict=True)} & {(int(k), int(o)) for k, o in zip(*b, strict=True)}
     assert {o for _, o in met} == set(range(200))
     line, band = fuzzy_lines.bands_of(np.array([1, 11, 12, 24, 29, 30, 31, 47, 96, 50_000]))

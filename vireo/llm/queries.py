@@ -55,8 +55,7 @@ def op7_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return fuzzy_lines.dedup_lines(docs, counts=True).select("doc_id", "n_lines", "n_removed", "text")
+    return fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"), counts=True).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op9_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
