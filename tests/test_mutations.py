@@ -65,15 +65,30 @@ def test_growth_of_audited_dirt_is_an_error(spark, monkeypatch):
     known = {r.test: r for r in checks.quality_report(s).collect()}
     dirty = ("conclusion_not_before_opening", "charge_not_above_price")
     assert all(known[t].violations > 0 and known[t].status == "warn" for t in dirty)
-    orders = s.src["orders"].count()
-    for t in dirty:
-        monkeypatch.setitem(C.AUDITED, t, {orders: known[t].violations - 1})
+    version = checks.content_version(s.src["orders"])
+    monkeypatch.setitem(C.AUDITED, version, {t: known[t].violations - 1 for t in dirty})
     worse = {r.test: r.status for r in checks.quality_report(s).collect()}
     assert all(worse[t] == "error" for t in dirty)
 
 
 def test_a_data_set_without_an_audit_allows_no_dirt():
-    assert checks.audited("conclusion_not_before_opening", 123) == 0
+    assert checks.audited("conclusion_not_before_opening", "1-2") == 0
+
+
+def test_one_more_order_is_another_data_set(spark):
+    """Limits belong to the audited orders: a copy of them with one row more, or one price changed, allows no dirt."""
+    s = Star.from_dir(spark, SF_SMALL)
+    orders = s.src["orders"]
+    assert checks.content_version(orders) in C.AUDITED
+    first = orders.orderBy("o_orderkey").limit(1)
+    for other in (orders.unionByName(first), orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") == first.first().o_orderkey, 1.0).otherwise(F.col("o_totalprice"))),
+                  orders.limit(0)):
+        assert checks.content_version(other) not in C.AUDITED
+
+
+def test_registered_mutations_are_noticed(spark):
+    rows = checks.mutation_checks(Star.shared(spark, SF_SMALL)).collect()
+    assert len(rows) == 6 and all(r.noticed for r in rows)
 
 
 def test_origin_can_fail(spark):

@@ -93,17 +93,50 @@ def test_hash_key_is_portable_and_tells_keys_apart(spark):
     assert keys.distinct().count() == len(odd)
 
 
-def test_storage_commits_count_once_finished(spark, tmp_path):
-    from vireo.sources.storage import CommitLog, children
+def test_csv_as_copy_reads_it(spark):
+    """Commas, doubled quotes and line breaks inside quotes; empty fields are null, quoted empty ones are empty texts."""
+    d, p = _csv('id,note,code\n1,"said ""hi"", left",a\n2,"two\nlines, one field",""\n3,,"x"\n4,"",\n')
+    rows = {r.id: (r.note, r.code) for r in load_text_csv(spark, p).collect()}
+    assert rows == {"1": ('said "hi", left', "a"), "2": ("two\nlines, one field", ""), "3": (None, "x"), "4": ("", None)}
+    assert load_manifest(spark, {"notes": p}, os.path.join(d, "bronze")) == {"notes": 4}
+
+
+def test_loaders_at_the_same_time(spark):
+    """Both loads commit, one after the other; the later is read and the earlier stays readable."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from vireo.sources.text_csv import loaded_tables
+    d, p = _csv("a,b\n1,x\n2,y\n")
+    root = os.path.join(d, "bronze")
+    with ThreadPoolExecutor(4) as pool:
+        assert [c["t"] for c in pool.map(lambda _: load_manifest(spark, {"t": p}, root), range(4))] == [2] * 4
+    versions = {loaded_tables(spark, root, n).first().version for n in range(4)}
+    assert len(versions) == 4 and loaded_tables(spark, root).first().version in versions
+    assert all(read_loaded(spark, root, "t", n).count() == 2 for n in range(4))
+
+
+def test_rows_are_counted_by_the_write(spark, monkeypatch):
+    d, p = _csv("a,b\n1,x\n2,y\n")
+    monkeypatch.setattr(type(spark.range(1)), "count", None)
+    assert load_manifest(spark, {"t": p}, os.path.join(d, "bronze")) == {"t": 2}
+
+
+def test_commits_have_a_number_each(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from vireo.sources.storage import CommitLog, create_new
     log = CommitLog(spark, str(tmp_path / "t"))
-    assert log.latest() is None
-    log.add(0, spark.createDataFrame([(1,)], "v int"), "a")
-    (tmp_path / "t" / "commits" / "000000000001-b").mkdir()  # an attempt that never finished
-    assert log.latest()[0] == 0 and log.latest()[1].first().v == 1
-    log.add(1, spark.createDataFrame([(2,)], "v int"), "c")
-    assert log.latest()[0] == 1 and log.latest()[1].first().v == 2
-    log.forget_before(1)
-    assert "000000000000-a" not in children(spark, log.folder)
+    assert log.latest() == (-1, None)
+    assert log.add(0, {"v": []}) and not log.add(0, {"v": ["lost"]}) and log.latest() == (0, {"v": []})
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda i: log.update(lambda last: {"v": [*last["v"], i]}), range(24)))
+    assert sorted(numbers) == list(range(1, 25)) and sorted(log.latest()[1]["v"]) == list(range(24))
+    assert create_new(spark, f"{log.folder}/{25:012d}.json", "")  # a writer that died before it wrote
+    assert log.latest()[0] == 24
+    assert log.update(lambda last: {"v": len(last["v"])}) == 26 and log.latest() == (26, {"v": 24})
+    assert log.update(lambda last: None) is None
+    log.forget_before(26)
+    assert log.numbers() == [26]
 
 
 def test_no_scratch_folder_off_local_masters():

@@ -25,6 +25,7 @@ from vireo.streaming.history_stream import HistorySink
 STATE_CUTOFF = "1998-01-01"
 FIRST_BATCH_CUTOFF = "1997-06-30"
 SINK_CUTS = ("1994-07-01", "1996-10-15")
+LATE_CUTS = ("1997-01-01", "1998-01-01")
 
 
 def normalize(df: DataFrame) -> DataFrame:
@@ -68,17 +69,56 @@ def _hash_versions(s: Star) -> DataFrame:
     return v.select("asset_code", "valid_from", hash_key(["asset_code", "valid_from"]).alias("version_hash"))
 
 
-def _sink_batches(s: Star) -> DataFrame:
-    """The change log through the durable sink in three batches, the latest
-    dates first, one batch retried; equals the one-pass history."""
-    spark = s.spark
-    sink = HistorySink(spark, s.assets, scratch_path(spark, "history-sink"), **_hist_kw())
+def _sink(s: Star, late: str = "rewrite", cuts: tuple[str, str] = SINK_CUTS) -> tuple[HistorySink, DataFrame, DataFrame, DataFrame]:
+    """A fresh durable sink, and the change log in three parts by date."""
+    sink = HistorySink(s.spark, s.assets, scratch_path(s.spark, "history-sink"), **_hist_kw(), late=late)
     day = F.col("changed_on")
-    first, last = F.lit(SINK_CUTS[0]).cast("date"), F.lit(SINK_CUTS[1]).cast("date")
-    for epoch, batch in ((0, s.changes.where(day >= last)), (1, s.changes.where(day < first)), (1, s.changes.where(day < first)),
-                         (2, s.changes.where((day >= first) & (day < last)))):
-        sink.apply(batch, epoch)
-    return sink.history(s.changes)
+    first, last = (F.lit(c).cast("date") for c in cuts)
+    return sink, s.changes.where(day < first), s.changes.where((day >= first) & (day < last)), s.changes.where(day >= last)
+
+
+def _sink_batches(s: Star) -> DataFrame:
+    """Two writers, the latest dates first, one batch retried; equals the
+    one-pass history."""
+    sink, early, middle, late = _sink(s)
+    sink.apply(late, 0)
+    sink.append(early)
+    sink.apply(late, 0)
+    sink.apply(middle, 1)
+    return sink.history()
+
+
+def _sink_compacted(s: Star) -> DataFrame:
+    """Two batches stored as one, a third merged on read; equals the one-pass
+    history."""
+    sink, early, middle, late = _sink(s)
+    sink.append(middle)
+    sink.append(late)
+    sink.compact()
+    sink.append(early)
+    return sink.history()
+
+
+def _sink_late_ignored(s: Star) -> DataFrame:
+    """The early changes come last: those of keys with later ones are left
+    out, as the timestamp strategy does."""
+    sink, early, middle, late = _sink(s, "ignore", LATE_CUTS)
+    sink.append(middle)
+    sink.append(late)
+    sink.append(early)
+    return sink.history()
+
+
+def _sink_before_last(s: Star) -> DataFrame:
+    """The history as it was before the last batch (H5), read after that
+    batch and its compaction."""
+    sink, early, middle, late = _sink(s)
+    sink.append(early)
+    sink.append(middle)
+    before = sink.commits.latest()[0]
+    sink.append(late)
+    sink.compact()
+    return sink.history(as_of=before)
 
 
 SPARK: dict[str, Callable[[Star], DataFrame]] = {
@@ -97,6 +137,9 @@ SPARK: dict[str, Callable[[Star], DataFrame]] = {
     "scd2_dimension": lambda s: s.dim_asset.orderBy("asset_sk"),
     "scd2_apply_two_batches": _two_batches,
     "scd2_sink_batches": _sink_batches,
+    "scd2_sink_compacted": _sink_compacted,
+    "scd2_sink_late_ignored": _sink_late_ignored,
+    "scd2_sink_before_last": _sink_before_last,
     "history_summary": lambda s: H.history_summary(s.history, "asset_code"),
     "fact_readings": lambda s: s.fct_readings,
     "fact_failures": lambda s: s.fct_failures,
@@ -137,6 +180,8 @@ SPARK: dict[str, Callable[[Star], DataFrame]] = {
     "csv_text_load": expressions.csv_text_load,
     "csv_manifest_load": expressions.csv_manifest_load,
     "row_order": reports.row_order,
+    "sorted_tables": reports.sorted_tables,
+    "mutation_checks": checks.mutation_checks,
     "event_readings": expressions.event_readings,
     "open_close_quarters": reports.open_close_quarters,
     "mode_rate_by_segment": reports.mode_rate_by_segment,
@@ -472,6 +517,7 @@ FROM fct_work_orders o JOIN dim_asset a USING (asset_sk) JOIN dim_location l USI
 GROUP BY a.criticality, l.sector_name"""),
     "csv_text_load": """
 SELECT c_custkey, c_name, c_nationkey, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS c_acctbal, c_mktsegment,
+       c_name || ', said "' || c_mktsegment || '"' || chr(10) || 'and left' AS note, CASE c_custkey % 7 WHEN 0 THEN '=' WHEN 1 THEN 'null' ELSE '=x' END AS mark,
        true AS has_source_file, true AS has_load_time
 FROM customer""",
     "event_readings": q(f"""
@@ -482,7 +528,28 @@ FROM events_x e LEFT JOIN dim_asset v ON v.asset_sk <> -1 AND v.asset_code = e.a
 })
 
 
-SQL["scd2_sink_batches"] = SQL["scd2_history"]
+def _history_sql(changes: str) -> str:
+    """The history of some of the changes (a condition on ``all_changes``)."""
+    whole = SQL["scd2_history"]
+    log, rest = whole.split("changes AS (", 1)[1].split("\n),", 1)
+    return whole.split("changes AS (", 1)[0] + f"all_changes AS ({log}\n),\nchanges AS (SELECT * FROM all_changes WHERE {changes}\n)," + rest
+
+
+SQL["scd2_sink_batches"] = SQL["scd2_sink_compacted"] = SQL["scd2_history"]
+SQL["scd2_sink_late_ignored"] = _history_sql(
+    f"changed_on >= DATE '{LATE_CUTS[0]}' OR asset_code NOT IN (SELECT asset_code FROM all_changes WHERE changed_on >= DATE '{LATE_CUTS[0]}')")
+SQL["scd2_sink_before_last"] = _history_sql(f"changed_on < DATE '{SINK_CUTS[1]}'")
+SQL["sorted_tables"] = q("""
+SELECT 'dim_asset by key' AS table_name, count(*) AS n, CAST(0 AS BIGINT) AS misplaced, CAST(min(asset_sk) AS VARCHAR) AS first_key, CAST(max(asset_sk) AS VARCHAR) AS last_key
+FROM dim_asset
+UNION ALL SELECT 'dim_technician by key', count(*), 0, CAST(min(technician_sk) AS VARCHAR), CAST(max(technician_sk) AS VARCHAR) FROM dim_technician
+UNION ALL SELECT 'dim_date by date', count(*), 0, min(date), max(date) FROM (""" + SQL["date_dimension"] + """) WHERE date_sk <> -1
+UNION ALL SELECT 'change days by date', count(DISTINCT changed_on), 0, CAST(min(changed_on) AS VARCHAR), CAST(max(changed_on) AS VARCHAR) FROM changes""")
+SQL["mutation_checks"] = """
+SELECT * FROM (VALUES ('duplicate lines stay', 'unique_reading', (SELECT count(*) > count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem)),
+  ('failures without a flag are dropped', 'failing_reading_without_mode_row', true), ('orders without failure count as failures', 'no_not_applicable_failure', true),
+  ('versions never end', 'no_overlapping_versions', true), ('only the current version is kept', 'history_complete', true),
+  ('origins never failed', 'corrective_comes_from_failure', true)) AS t(mutation, test, noticed)"""
 SQL["csv_manifest_load"] = """
 SELECT 'customer' AS table_name, count(*) AS loaded_rows, 'c_custkey' AS first_column, count(*) FILTER (WHERE c_custkey % 7 = 0) AS empty_fields,
        sum(c_custkey)::BIGINT AS key_sum, true AS audited

@@ -8,24 +8,39 @@ one plain query per rule.
 
 from __future__ import annotations
 
+import copy
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vireo import constants as C
 from vireo.operators.dedup import duplicate_count
 from vireo.operators.quality import Rule, evaluate, singular
+from vireo.operators.unpivot import unpivot_flags
 from vireo.plans.oracle import q
 from vireo.plans.staging import LINE_KEY
 from vireo.plans.star import Star
 
 
-def audited(name: str, orders: int) -> int:
-    """Violations known for a data set of that many orders; an unaudited one has none."""
-    return C.AUDITED[name].get(orders, 0)
+#: Version of a data set's orders in SQL; one changed, added or missing order gives another.
+VERSION_SQL = ("CAST(CAST(sum(o_custkey * (o_orderkey % 9973)) AS BIGINT) AS VARCHAR) || '-' || "
+               "CAST(CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS VARCHAR)")
+
+
+def content_version(orders: DataFrame) -> str:
+    """What the audit of a data set is filed under: sums over its orders, who placed which at what price (no orders: empty)."""
+    r = orders.agg(F.sum(F.col("o_custkey") * (F.col("o_orderkey") % 9973)).alias("placed"),
+                   F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents")).first()
+    return "" if r.placed is None else f"{r.placed}-{r.cents}"
 
 
-def rules(orders: int = 0) -> list[Rule]:
-    """All generic rules, with the audited counts of a data set of that many orders."""
+def audited(name: str, version: str) -> int:
+    """Violations known for a data set; an unaudited one has none."""
+    return C.AUDITED.get(version, {}).get(name, 0)
+
+
+def rules(version: str = "") -> list[Rule]:
+    """All generic rules, with the audited counts of a data set."""
     seg = tuple(C.SEGMENTS) + (C.UNKNOWN_LABEL,)
     return [
         # keys
@@ -57,7 +72,7 @@ def rules(orders: int = 0) -> list[Rule]:
         Rule("range_day_of_week", "dim_date", "accepted_range", column="day_of_week", min_value=0, max_value=6),
         # expressions; known dirt is a warning, not an error
         Rule("conclusion_not_before_opening", "fct_work_orders", "expression_is_true",
-             expr="concluded_at IS NULL OR concluded_at >= opened_at", error_after=audited("conclusion_not_before_opening", orders)),
+             expr="concluded_at IS NULL OR concluded_at >= opened_at", error_after=audited("conclusion_not_before_opening", version)),
         Rule("parts_cost_non_negative", "fct_work_orders", "expression_is_true", expr="parts_cost >= 0"),
         Rule("labour_cost_non_negative", "fct_work_orders", "expression_is_true", expr="labour_cost >= 0"),
         Rule("total_cost_non_negative", "fct_work_orders", "expression_is_true", expr="total_cost >= 0"),
@@ -65,11 +80,11 @@ def rules(orders: int = 0) -> list[Rule]:
         Rule("order_has_known_machine", "fct_work_orders", "expression_is_true", expr="asset_sk <> -1",
              severity="warn"),
         Rule("order_has_known_technician", "fct_work_orders", "expression_is_true", expr="technician_sk <> -1",
-             where="concluded_at IS NOT NULL", error_after=audited("order_has_known_technician", orders)),
+             where="concluded_at IS NOT NULL", error_after=audited("order_has_known_technician", version)),
         # two measures of one reading against each other
         Rule("net_price_not_above_price", "fct_readings", "expression_is_true", expr="net_price <= price"),
         Rule("charge_not_above_price", "fct_readings", "expression_is_true", expr="charge <= price",
-             error_after=audited("charge_not_above_price", orders)),
+             error_after=audited("charge_not_above_price", version)),
         Rule("reading_has_known_machine", "fct_readings", "expression_is_true", expr="asset_sk <> -1"),
         Rule("date_key_agrees_with_date", "dim_date", "expression_is_true",
              expr="date_sk = year * 10000 + month * 100 + day_of_month", where="date_sk <> -1"),
@@ -97,7 +112,7 @@ def _tables(s: Star) -> dict[str, DataFrame]:
 
 
 def quality_report(s: Star) -> DataFrame:
-    return evaluate(s.spark, _tables(s), rules(s.src["orders"].count()))
+    return evaluate(s.spark, _tables(s), rules(content_version(s.src["orders"])))
 
 
 # --- oracle SQL for the rules ----------------------------------------------
@@ -108,8 +123,8 @@ def _lit(v) -> str:
 def _status_sql(n: str, r: Rule) -> str:
     warn = f"{n} > {r.warn_after}"
     if r.severity == "error":
-        known = "".join(f" WHEN {orders} THEN {count}" for orders, count in C.AUDITED.get(r.name, {}).items())
-        limit = f"(SELECT CASE count(*){known} ELSE 0 END FROM orders)" if known else str(r.error_after)
+        known = "".join(f" WHEN '{version}' THEN {counts[r.name]}" for version, counts in C.AUDITED.items() if r.name in counts)
+        limit = f"(SELECT CASE {VERSION_SQL}{known} ELSE 0 END FROM orders)" if known else str(r.error_after)
         return f"CASE WHEN {n} > {limit} THEN 'error' WHEN {warn} THEN 'warn' ELSE 'pass' END"
     return f"CASE WHEN {warn} THEN 'warn' ELSE 'pass' END"
 
@@ -141,6 +156,49 @@ def rule_sql(r: Rule) -> str:
             f"{_status_sql(cnt, r)} AS status")
 
 
+# --- mutations (Q22) ---------------------------------------------------------
+def changed(s: Star, drop: tuple[str, ...] = (), **members: DataFrame) -> Star:
+    """A copy of the star with some members replaced; ``drop`` names those built from them. Nothing of it is kept."""
+    other = copy.copy(s)
+    other.store = None
+    other.__dict__ = {k: v for k, v in other.__dict__.items() if k not in drop} | members
+    return other
+
+
+def mutation_checks(s: Star) -> DataFrame:
+    """Steps of the build broken on purpose, and whether the rule that guards each one notices (Q22).
+
+    A rule notices if the broken star has more violations than the sound one.
+    """
+    unique = [Rule("unique_reading", "fct_readings", "unique_combination", columns=("reading_order", "reading_line"))]
+    reading_unique = lambda star: evaluate(s.spark, {"fct_readings": star.fct_readings}, unique)
+    failing = unpivot_flags(s.fct_readings.filter("has_failure"), C.MODE_FLAGS, "mode_code")
+    flagged = failing.join(F.broadcast(s.dim_mode.select("failure_mode_sk", "mode_code")), "mode_code").select(*s.fct_failures.columns)
+    open_ended = s.dim_asset.withColumn("valid_to", F.lit(C.END_OF_TIME).cast("timestamp_ntz"))
+    not_failures = s.fct_failures.unionByName(s.fct_failures.join(
+        F.broadcast(s.dim_mode.where(F.col("mode_code") == C.NOT_APPLICABLE).select(F.col("failure_mode_sk").alias("_na"))))
+        .withColumn("failure_mode_sk", F.col("_na")).drop("_na"))
+    current = s.history.where("valid_to IS NULL")
+    built_from_lines = ("readings", "work_orders", "fct_readings", "fct_failures", "fct_work_orders")
+    cases = [
+        ("duplicate lines stay", "unique_reading", reading_unique, changed(s, built_from_lines, lines=s.src["lineitem"])),
+        ("failures without a flag are dropped", "failing_reading_without_mode_row", facts_agree, changed(s, fct_failures=flagged)),
+        ("orders without failure count as failures", "no_not_applicable_failure", no_not_applicable, changed(s, fct_failures=not_failures)),
+        ("versions never end", "no_overlapping_versions", overlap_check, changed(s, dim_asset=open_ended)),
+        ("only the current version is kept", "history_complete",
+         lambda star: history_complete(star).select(F.lit("history_complete").alias("test"), "violations"), changed(s, history=current)),
+        ("origins never failed", "corrective_comes_from_failure", corrective_from_failure,
+         changed(s, fct_readings=s.fct_readings.withColumn("has_failure", F.lit(False)))),
+    ]
+    out = None
+    for name, test, check, broken in cases:
+        counts = [check(star).where(F.col("test") == test).select(F.col("violations").alias(v)) for star, v in ((s, "sound"), (broken, "broken"))]
+        row = counts[0].crossJoin(counts[1]).select(  # one row each
+            F.lit(name).alias("mutation"), F.lit(test).alias("test"), (F.col("broken") > F.col("sound")).alias("noticed"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # --- singular tests ----------------------------------------------------------
 def overlap_check(s: Star) -> DataFrame:
     """Versions that start before an earlier version of the same machine ends
@@ -190,7 +248,7 @@ def corrective_from_failure(s: Star) -> DataFrame:
     rd = s.fct_readings.select("reading_order", "reading_line", "has_failure")
     j = wo.join(rd, (wo["order_no"] == rd["reading_order"]) & (wo["origin_line"] == rd["reading_line"]), "left")
     bad = j.filter(~F.coalesce(F.col("has_failure"), F.lit(False)))
-    known = audited("corrective_comes_from_failure", s.src["orders"].count())
+    known = audited("corrective_comes_from_failure", content_version(s.src["orders"]))
     return singular("corrective_comes_from_failure", "fct_work_orders", bad, error_after=known)
 
 

@@ -85,14 +85,17 @@ def basic_aggregates(s: Star) -> DataFrame:
 
 def csv_text_load(s: Star) -> DataFrame:
     """Customers written as CSV text to the shared folder, loaded back as
-    all-text columns with audit columns, then typed (S1-S4, P2, F1)."""
+    all-text columns with audit columns, then typed (S1-S4, P2, F1). A note
+    has commas, quotes and a line break; a mark is empty, missing or a letter."""
     path = scratch_path(s.spark, "customer_csv")
-    s.src["customer"].write.option("header", True).csv(path)
+    note = F.concat("c_name", F.lit(', said "'), "c_mktsegment", F.lit('"\nand left'))
+    mark = F.when(F.col("c_custkey") % 7 == 0, "").when(F.col("c_custkey") % 7 != 1, "x")
+    s.src["customer"].select("*", note.alias("note"), mark.alias("mark")).write.option("header", True).option("escape", '"').csv(path)
     raw = load_text_csv(s.spark, path)
     return raw.select(
         F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name",
         F.col("c_nationkey").cast("int").alias("c_nationkey"),
-        F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"), "c_mktsegment",
+        F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"), "c_mktsegment", "note", F.coalesce(F.concat(F.lit("="), "mark"), F.lit("null")).alias("mark"),
         F.col("_source_file").endswith(".csv").alias("has_source_file"),
         F.col("_loaded_at").isNotNull().alias("has_load_time"))
 
