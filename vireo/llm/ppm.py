@@ -26,7 +26,7 @@ texts every symbol has probability 1/257 and the base score is 0.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -44,6 +44,8 @@ SYMBOL_BITS = 9
 #: Symbols: 0 before the text, byte + 1, and the end.
 END = 257
 SYMBOLS = 257
+#: Contexts of fewer symbols than this are broadcast.
+SHORT = 2
 BLOCK_BYTES = 16 << 20
 RANGE_BYTES = 16 << 20
 #: A block number that no block has: what belongs to the corpus as a whole.
@@ -255,14 +257,21 @@ def gram_scores(counts: DataFrame, order: int) -> DataFrame:
     excluded = (longer.join(trie, ["k", "gram"]).groupBy("k", F.shiftright("long_gram", SYMBOL_BITS).alias("long_context"))
                 .agg(F.sum("c").alias("out_n"), F.count("*").alias("out_d")))
     tried = F.explode(F.when(F.col("c") > 0, F.array(F.lit(order))).otherwise(F.sequence(F.lit(0), F.lit(order)))).alias("k")
-    steps = (counts.select("p", F.col("gram").alias("whole"), tried)
+    asked = (counts.select("p", F.col("gram").alias("whole"), tried)
              .select("p", "whole", "k", low(F.col("k"), "whole").alias("gram"),
                      F.shiftright("whole", SYMBOL_BITS).bitwiseAND(mask(F.col("k"))).alias("context"),
                      F.when(F.col("k") < order, F.shiftright("whole", SYMBOL_BITS).bitwiseAND(mask(F.col("k") + 1)))
-                     .otherwise(-1 - F.pmod(F.xxhash64("whole"), F.lit(1 << 30))).alias("long_context"))  # no context: spread, not one hot null
-             .join(trie, ["k", "gram"], "left").join(contexts, ["k", "context"], "left").join(excluded, ["k", "long_context"], "left")
-             .select("p", "whole", "k", "c", (F.col("n") - F.coalesce("out_n", F.lit(0))).alias("n"), (F.col("d") - F.coalesce("out_d", F.lit(0))).alias("d"),
-                     F.col("d").alias("seen")))
+                     .otherwise(-1 - F.pmod(F.xxhash64("whole"), F.lit(1 << 30))).alias("long_context")))  # no context: spread, not one hot null
+
+    def looked_up(at: Column, side: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        return (asked.where(at).join(side(trie.where(at)), ["k", "gram"], "left").join(side(contexts.where(at)), ["k", "context"], "left")
+                .join(side(excluded.where(at)), ["k", "long_context"], "left")
+                .select("p", "whole", "k", "c", (F.col("n") - F.coalesce("out_n", F.lit(0))).alias("n"), (F.col("d") - F.coalesce("out_d", F.lit(0))).alias("d"),
+                        F.col("d").alias("seen")))
+
+    # every unseen gram asks the few keys of the short contexts: at most 258 * 258 rows by their length, so they go to the grams
+    short = F.col("k") < SHORT
+    steps = looked_up(short, F.broadcast).unionByName(looked_up(~short, lambda rows: rows))
     # the floor below the empty context
     floor = F.try_divide(F.lit(1.0), F.lit(SYMBOLS) - F.coalesce(F.max(F.when(F.col("k") == 0, F.col("seen"))), F.lit(0)))
     hit = F.max(F.when(F.col("c").isNotNull(), F.struct("k", F.log10(F.try_divide(2 * F.col("c") - 1, 2 * F.col("n"))).alias("p"))))
