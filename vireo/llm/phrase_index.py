@@ -37,7 +37,8 @@ SHARD_BYTES = 4 << 20
 BLOCK_BYTES = 4 << 20
 
 INDEX_SCHEMA = "shard string, doc_ids binary, firsts binary, terms binary, term_ends binary, ends binary, positions binary"
-MATCH_SCHEMA = "shard string, ordinal int, doc_id long, n_words long, starts array<int>, ends array<int>, items array<string>"
+MATCH_SCHEMA = "shard string, ordinal int, starts array<int>, ends array<int>, items array<string>"
+DOCUMENT_SCHEMA = "shard string, ordinal int, doc_id long, n_words long"
 
 
 def _shard(part: pa.RecordBatch) -> dict[str, object]:
@@ -133,7 +134,7 @@ def near_spans(lists: list[np.ndarray], slack: int, row_of) -> tuple[np.ndarray,
 
 
 def search_shard(row: dict[str, bytes], queries: Queries, slack: int = 0) -> dict[str, list]:
-    """For every document of a shard: covered word ranges and matching items."""
+    """For every document of a shard that has a match: covered word ranges and matching items."""
     firsts = np.frombuffer(row["firsts"], "<i4").astype(np.int64)
     rows = len(firsts) - 1
     begins = firsts[:-1] + np.arange(rows)  # position of each document's first word
@@ -167,22 +168,34 @@ def search_shard(row: dict[str, bytes], queries: Queries, slack: int = 0) -> dic
     cut = np.searchsorted(run_rows, np.arange(rows + 1))
     pairs = np.unique(np.concatenate(matched)) if matched else np.empty(0, np.int64)
     pair_cut = np.searchsorted(pairs // max(1, len(queries.items)), np.arange(rows + 1))
-    ids = row["doc_ids"]
-    null = np.frombuffer(ids[8 * rows:], bool)
-    return {"ordinal": list(range(rows)),
-            "doc_id": [None if n else int(d) for d, n in zip(np.frombuffer(ids[:8 * rows], "<i8"), null, strict=True)],
-            "n_words": np.diff(firsts).tolist(),
-            "starts": [(run_starts[cut[i]:cut[i + 1]] - begins[i]).tolist() for i in range(rows)],
-            "ends": [(run_ends[cut[i]:cut[i + 1]] - begins[i]).tolist() for i in range(rows)],
-            "items": [[queries.items[k] for k in pairs[pair_cut[i]:pair_cut[i + 1]] % max(1, len(queries.items))] for i in range(rows)]}
+    hit = np.flatnonzero(np.diff(pair_cut))
+    return {"ordinal": hit.tolist(),
+            "starts": [(run_starts[cut[i]:cut[i + 1]] - begins[i]).tolist() for i in hit],
+            "ends": [(run_ends[cut[i]:cut[i + 1]] - begins[i]).tolist() for i in hit],
+            "items": [[queries.items[k] for k in pairs[pair_cut[i]:pair_cut[i + 1]] % max(1, len(queries.items))] for i in hit]}
+
+
+def documents_of(index: DataFrame) -> DataFrame:
+    """(shard, ordinal, doc_id, n_words) of every document in the index."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("shard", pa.string()), ("ordinal", pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64())])
+        for batch in batches:
+            for row in batch.to_pylist():
+                n_words = np.diff(np.frombuffer(row["firsts"], "<i4")).astype(np.int64)
+                rows, ids = len(n_words), row["doc_ids"]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["shard"]] * rows, pa.string()), pa.array(np.arange(rows, dtype=np.int32)),
+                     pa.array(np.frombuffer(ids[:8 * rows], "<i8"), pa.int64(), mask=np.frombuffer(ids[8 * rows:], bool)), pa.array(n_words)], schema=schema)
+
+    return index.select("shard", "doc_ids", "firsts").mapInArrow(frugal(run), DOCUMENT_SCHEMA)
 
 
 def _search(index: DataFrame, items: list[tuple[str, str]], window: int, slack: int) -> DataFrame:
     queries = Queries(items, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("shard", pa.string()), ("ordinal", pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64()),
-                            ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
+        schema = pa.schema([("shard", pa.string()), ("ordinal", pa.int32()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
@@ -219,8 +232,11 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
         F.array_sort("spans"), F.struct(F.lit(0).alias("n"), F.lit(0).alias("upto")),
         lambda acc, x: F.struct((acc["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(x["s"], acc["upto"]))).alias("n"),
                                 F.greatest(acc["upto"], x["e"]).alias("upto")))
-    return (found.groupBy("shard", "ordinal", "doc_id", "n_words")
+    hits = (found.groupBy("shard", "ordinal")
             .agg(spans.alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-            .withColumn("n_hit", merged["n"].cast("long"))
+            .withColumn("n_hit", merged["n"].cast("long")))
+    none = {c: F.array().cast(hits.schema[c].dataType) for c in ("spans", "items")}
+    return (documents_of(index).join(hits, ["shard", "ordinal"], "left")
+            .withColumns({"n_hit": F.coalesce("n_hit", F.lit(0).cast("long")), **{c: F.coalesce(c, e) for c, e in none.items()}})
             .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "spans",
                     ((F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words"))).alias("contaminated")))
