@@ -51,7 +51,7 @@ def op7_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select(
-        "doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+        "doc_id", F.coalesce(crc_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
