@@ -14,18 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vireo import constants as C
+from vireo.functions.temporal import quarter_index
 from vireo.operators import history as H
 from vireo.operators.keys import dense_key, hash_key
 from vireo.plans import checks, expressions, reports
 from vireo.plans.oracle import DAY, FOR_PERIODS, TS, _r, _ratio, clipped, pairs_sql, q, shift_case
+from vireo.plans.refresh import ReadingMart
 from vireo.plans.star import Star
 from vireo.session import scratch_path
+from vireo.sources import storage
 from vireo.streaming.history_stream import HistorySink
 
 STATE_CUTOFF = "1998-01-01"
 FIRST_BATCH_CUTOFF = "1997-06-30"
 SINK_CUTS = ("1994-07-01", "1996-10-15")
 LATE_CUTS = ("1997-01-01", "1998-01-01")
+#: Ship year whose lines arrive wrong and are delivered again.
+CORRECTED_YEAR = 1996
 
 
 def normalize(df: DataFrame) -> DataFrame:
@@ -121,6 +126,26 @@ def _sink_before_last(s: Star) -> DataFrame:
     return sink.history(as_of=before)
 
 
+def _readings_refreshed(s: Star) -> DataFrame:
+    """Readings by quarter after a refresh: the lines of one year come with
+    twice their price, then their files are replaced by the right ones."""
+    spark, lines, price = s.spark, s.src["lineitem"], "l_extendedprice"
+    source = scratch_path(spark, "refresh-input")
+    corrected = F.coalesce(F.year("l_shipdate") == CORRECTED_YEAR, F.lit(False))
+    doubled = (F.col(price) * 2).cast(lines.schema[price].dataType)
+    s.src["orders"].write.parquet(f"{source}/orders.parquet")
+    lines.where(~corrected).write.parquet(f"{source}/lineitem.parquet/others")
+    lines.where(corrected).withColumn(price, doubled).write.parquet(f"{source}/lineitem.parquet/wrong")
+    kept = ReadingMart(spark, source, scratch_path(spark, "refresh-mart"))
+    kept.refresh()
+    lines.where(corrected).write.parquet(f"{source}/lineitem.parquet/right")
+    storage.delete(spark, f"{source}/lineitem.parquet/wrong")
+    touched = kept.refresh()
+    return (kept.readings().groupBy(quarter_index("read_at").alias("quarter_no"))
+            .agg(F.count("*").alias("n_readings"), F.sum("quantity").cast("decimal(22,2)").alias("quantity"), F.sum("price").cast("decimal(22,2)").alias("price"))
+            .withColumn("rebuilt", F.col("quarter_no").isin(touched)))
+
+
 SPARK: dict[str, Callable[[Star], DataFrame]] = {
     "dedup_lineitem": lambda s: s.lines,
     "change_log": lambda s: s.changes,
@@ -140,6 +165,7 @@ SPARK: dict[str, Callable[[Star], DataFrame]] = {
     "scd2_sink_compacted": _sink_compacted,
     "scd2_sink_late_ignored": _sink_late_ignored,
     "scd2_sink_before_last": _sink_before_last,
+    "readings_refreshed": _readings_refreshed,
     "history_summary": lambda s: H.history_summary(s.history, "asset_code"),
     "fact_readings": lambda s: s.fct_readings,
     "fact_failures": lambda s: s.fct_failures,
@@ -539,6 +565,10 @@ SQL["scd2_sink_batches"] = SQL["scd2_sink_compacted"] = SQL["scd2_history"]
 SQL["scd2_sink_late_ignored"] = _history_sql(
     f"changed_on >= DATE '{LATE_CUTS[0]}' OR asset_code NOT IN (SELECT asset_code FROM all_changes WHERE changed_on >= DATE '{LATE_CUTS[0]}')")
 SQL["scd2_sink_before_last"] = _history_sql(f"changed_on < DATE '{SINK_CUTS[1]}'")
+SQL["readings_refreshed"] = q(f"""
+SELECT CAST(year(read_at) * 4 + quarter(read_at) AS INTEGER) AS quarter_no, count(*) AS n_readings, CAST(CAST(sum(quantity) AS DECIMAL(22,2)) AS VARCHAR) AS quantity,
+       CAST(CAST(sum(price) AS DECIMAL(22,2)) AS VARCHAR) AS price, bool_or((reading_order, reading_line) IN (SELECT (l_orderkey, l_linenumber) FROM lineitem WHERE year(l_shipdate) = {CORRECTED_YEAR})) AS rebuilt
+FROM readings GROUP BY 1""")
 SQL["sorted_tables"] = q("""
 SELECT 'dim_asset by key' AS table_name, count(*) AS n, CAST(0 AS BIGINT) AS misplaced, CAST(min(asset_sk) AS VARCHAR) AS first_key, CAST(max(asset_sk) AS VARCHAR) AS last_key
 FROM dim_asset

@@ -24,6 +24,7 @@ Every function is a lazy projection over the sources; nothing is collected.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -103,10 +104,10 @@ def tax_limit(status: str):
 MODE_FLAGS = C.MODE_FLAGS
 
 
-def stg_readings(src: Sources, lines: DataFrame | None = None) -> DataFrame:
-    """One reading per deduplicated line, with its machine and failure flags."""
+def stg_readings(src: Sources, lines: DataFrame | None = None, carried: Sequence[str] = ()) -> DataFrame:
+    """One reading per deduplicated line, with its machine and failure flags (and ``carried`` columns of lines or orders)."""
     lines = lines if lines is not None else stg_lineitem(src)
-    o = src["orders"].select("o_orderkey", "o_custkey")
+    o = src["orders"].select("o_orderkey", "o_custkey", *[c for c in carried if c in src["orders"].columns])
     li = _line_flags(lines)
     any_mode = reduce(or_, [F.coalesce(F.col(c), F.lit(False)) for _, c in MODE_FLAGS])
     return (li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
@@ -122,7 +123,7 @@ def stg_readings(src: Sources, lines: DataFrame | None = None) -> DataFrame:
                       F.col("l_tax").cast("decimal(4,2)").alias("tax"),
                       "l_returnflag", "l_linestatus",
                       *[c for _, c in MODE_FLAGS],
-                      "declared_failure", any_mode.alias("any_mode")))
+                      "declared_failure", any_mode.alias("any_mode"), *carried))
 
 
 def stg_suppliers(src: Sources) -> DataFrame:

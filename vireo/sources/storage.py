@@ -46,6 +46,11 @@ def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted(found)
 
 
+def escaped_name(spark: SparkSession, path: str) -> str:
+    """The last part of a path as its URI writes it."""
+    return _at(spark, path)[1].toUri().getRawPath().rsplit("/", 1)[1]
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` has finished (Spark marks that at the very end)."""
     return exists(spark, f"{path}/_SUCCESS")
