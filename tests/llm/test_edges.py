@@ -333,6 +333,51 @@ def test_site_style_tree(spark):
     assert site_style.main_texts(frame.limit(0)).count() == 0
 
 
+def site_texts(spark, sources, **params):
+    frame = spark.createDataFrame([(i, "http://h.example/p", t) for i, t in enumerate(sources)], "page_id long, url string, html string")
+    return {r.page_id: r.text for r in site_style.main_texts(frame, **params).collect()}
+
+
+def test_style_tree_takes_furniture_out_of_plain_markup(spark):
+    """No tag, class or id tells a role: menus, notes with a changing part and imprints go, prose and single links stay."""
+    menu = "<div><a href=/a>Start</a> <a href=/b>Archive</a> <a href=/c>Contact</a></div>"
+    own = [f"<div><p>Report {i} tells of place {i * i}. Nobody had seen it before {i + 7}.</p><p>It goes on for {i} days.</p></div>" for i in range(12)]
+    sources = [f"<body>{menu}{x}<div><span>All rights reserved. Printed by hand. Sold for free.</span></div></body>" for x in own]
+    got = site_texts(spark, sources)
+    assert got == {i: f"Report {i} tells of place {i * i}. Nobody had seen it before {i + 7}.\nIt goes on for {i} days." for i in range(12)}
+    assert all("Archive" in x for x in site_texts(spark, sources[:4]).values())  # too few pages to judge
+
+
+def test_style_tree_inside_declared_articles(spark):
+    """A line that every article of a host repeats goes; passages of a few pages, repeated words in a sentence and near copies stay."""
+    note = "<p>Read our story of the year. Tell your friends.</p>"
+    page = "<article><h1>Title {0}</h1><p>Body <b>of the</b> text {0}, with more to tell than the note that stands below it.</p>{1}{2}</article>"
+    shared = "<p>A passage that three pages quote.</p>"
+    sources = [page.format(i, shared if i < 3 else "", note) for i in range(20)]
+    got = site_texts(spark, sources)
+    assert got == {i: f"Title {i}\nBody of the text {i}, with more to tell than the note that stands below it." + ("\nA passage that three pages quote." if i < 3 else "") for i in range(20)}
+    copies = [f"<article><h1>One title</h1><p>One long body of text that all of them copy.</p><p>Line {i}</p></article>" for i in range(9)]
+    assert site_texts(spark, copies)[4] == "One title\nOne long body of text that all of them copy.\nLine 4"
+
+
+def test_style_tree_importances(spark):
+    """Entropies of a small tree against a plain count."""
+    import math
+    sources = [f"<body><p>same here</p><p>only {i}</p>" + ("<p>half of them</p>" if i % 2 else "") + "</body>" for i in range(8)]
+    frame = spark.createDataFrame([(i, "http://h.example/p", "h.example", i, t) for i, t in enumerate(sources)], "page_id long, url string, host string, page long, html string")
+    nodes = site_style.page_trees(frame).select("page", F.explode("nodes").alias("at")).select("page", "at.*")
+    got = {(r.node, r.feature): r.importance for r in site_style.importances(nodes, frame.select("page", F.lit(1).alias("copies")).limit(0)).collect()}
+    clause = lambda x: site_style._hash("text", x)
+    by_clause = {f: v for (_, f), v in got.items() if f is not None}
+    assert by_clause == pytest.approx({clause("same here"): 0, clause("half of them"): 1 - math.log(4) / math.log(8)})
+    assert sorted(v for (_, f), v in got.items() if f is None) == pytest.approx([0, 1 / 3, 1 / 3])  # root; body and paragraphs of two kinds
+
+
+def test_style_tree_long_page(spark):
+    body = " ".join(f"word{i}" for i in range(200_000))
+    assert site_texts(spark, [f"<article><p>{body}</p></article>"])[0] == body
+
+
 @pytest.mark.parametrize(("source", "text"), [
     ("<nav>m</nav><article><h1>T &amp; x</h1><p>a  b<br>c<p><b>d<br><p>e</b> f<ul><li>one<li>two</ul>tail</article><footer>z</footer>", "T & x\na b c\nd\ne f\none\ntwo\ntail"),
     ("<header><h1>Site</h1></header><main><header><h2>Own</h2></header><p>x<div class='comment-list'><p>no</div><form><p>no</form></main>", "Own\nx"),
@@ -342,5 +387,4 @@ def test_site_style_tree(spark):
     ("plain text & more", "plain text & more"), ("<p>unclosed <a href='x>y'>link", "unclosed link"), ("<", "<"),
 ])
 def test_extraction(source, text):
-    declared = site_style.declared_text(source)
-    assert (site_style.pruned_text(source, "h", {}) if declared is None else declared) == text
+    assert site_style.page_text(source) == text
