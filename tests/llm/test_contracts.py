@@ -65,6 +65,20 @@ def test_op2_base_and_model(spark, docs):
             assert r.score == pytest.approx(expected[r.doc_id], rel=1e-6)
 
 
+def test_op2_whole_texts(spark, docs):
+    """The query's own scores, of whole texts learned from whole texts, against a plain trie."""
+    expected = brute.ppm_scores(docs, ppm_order())
+    for r in rows(spark, "op2_ppm_scores"):
+        assert r[6] == pytest.approx(expected[r[0]], rel=1e-6)
+
+
+def ppm_order():
+    import inspect
+
+    from vireo.llm import ppm
+    return inspect.signature(ppm.ppm_scores).parameters["order"].default
+
+
 def test_op3_matches_sql(spark):
     from tests.oracle_compare import duck, rows_of_pandas
     got = queries.QUERIES["op3_blocked_bloom_urls"](spark, SF_SMALL).toPandas()
@@ -123,6 +137,29 @@ def test_op7_held_out_accuracy(spark):
     assert right >= 0.93 and sum(caught) >= 0.6 * len(caught)
 
 
+def test_op7_is_plain_kneser_ney(spark, docs):
+    """Evidence and score of whole texts against models of dictionaries, fitted on the rows that the operator fits on."""
+    import math
+
+    import pyarrow as pa
+    import xxhash
+
+    from vireo.llm import toxicity
+    toxic: dict = {}
+    for key, label in table("labels", "doc_id", "toxic"):
+        if brute.fold(key, 4) != 2 and label is not None:
+            toxic[key] = max(toxic.get(key, 0), int(label > 0))
+    texts = {k: t for k, t in docs if t is not None}
+    seen = [(texts[k], c) for k, c in toxic.items() if k in texts and xxhash.xxh64_intdigest(str(k), 1) % 5]
+    assert {c for _, c in seen} == {0, 1}
+    expected = brute.spelling_evidence(seen, [t or "" for _, t in docs])
+    model = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(table("labels", "doc_id", "toxic"), "doc_id long, toxic int"))
+    assert model.evidence(pa.array([t or "" for _, t in docs])).tolist() == pytest.approx(expected, rel=1e-6, abs=1e-9)
+    got = {r[0]: r[2] for r in rows(spark, "op7_kneser_ney_toxicity")}
+    for (key, _), x in zip(docs, expected, strict=True):
+        assert got[key] == pytest.approx(1 / (1 + math.exp(-(model.offset + model.slope * x))), rel=1e-5)
+
+
 def test_op8_texts(spark, docs):
     """Nothing goes that edit similarity alone would keep, and almost all that it removes goes."""
     got = {r[0]: r for r in rows(spark, "op8_fuzzy_lines")}
