@@ -77,6 +77,12 @@ def stg_lineitem(src: Sources) -> DataFrame:
     return keep_first(src["lineitem"], LINE_KEY, LINE_ORDER)
 
 
+def order_lines(lineitem: DataFrame) -> DataFrame:
+    """The lines that name an order, deduplicated like ``stg_lineitem``; the lines
+    of an order lie in one partition, so the join with orders moves them no second time."""
+    return keep_first(lineitem.where(F.col(LINE_KEY[0]).isNotNull()).repartition(LINE_KEY[0]), LINE_KEY, LINE_ORDER)
+
+
 def _line_flags(li: DataFrame) -> DataFrame:
     q = F.col("l_quantity").cast("decimal(12,2)")
     t = F.col("l_tax").cast("decimal(4,2)")
@@ -106,7 +112,7 @@ MODE_FLAGS = C.MODE_FLAGS
 
 def stg_readings(src: Sources, lines: DataFrame | None = None, carried: Sequence[str] = ()) -> DataFrame:
     """One reading per deduplicated line, with its machine and failure flags (and ``carried`` columns of lines or orders)."""
-    lines = lines if lines is not None else stg_lineitem(src)
+    lines = lines if lines is not None else order_lines(src["lineitem"])
     o = src["orders"].select("o_orderkey", "o_custkey", *[c for c in carried if c in src["orders"].columns])
     li = _line_flags(lines)
     any_mode = reduce(or_, [F.coalesce(F.col(c), F.lit(False)) for _, c in MODE_FLAGS])
