@@ -145,6 +145,9 @@ def stg_suppliers(src: Sources) -> DataFrame:
 
 def stg_work_orders(src: Sources, readings: DataFrame) -> DataFrame:
     """One work order per order, costs from its lines."""
+    # price first, then the smaller line, nulls least: one number, as a struct would have the lines sorted before they are added up
+    cents = F.coalesce((F.col("price") * 100).cast("decimal(14,0)"), F.lit(-10 ** 12).cast("decimal(14,0)"))
+    dearest = cents * F.lit(2 ** 33).cast("decimal(10,0)") - F.coalesce(F.col("reading_line").cast("long"), F.lit(2 ** 32))
     per_order = readings.groupBy(F.col("reading_order").alias("order_no")).agg(
         F.max("read_at").alias("concluded_at"),
         F.sum("quantity").alias("_qty"),
@@ -152,7 +155,7 @@ def stg_work_orders(src: Sources, readings: DataFrame) -> DataFrame:
         F.sum(F.col("price") * (F.lit(1) - F.col("discount"))).alias("_parts"),
         *[F.bool_or(c).alias(c) for _, c in MODE_FLAGS],
         # the line an order names as its origin is its dearest (first among equals), failing or not
-        F.max_by("reading_line", F.struct("price", -F.col("reading_line"))).alias("_origin"))
+        F.max_by("reading_line", dearest).alias("_origin"))
     o = src["orders"].select(
         F.col("o_orderkey").alias("order_no"), F.col("o_custkey").alias("asset_code"),
         F.when(F.col("o_orderstatus") == "F", F.lit(C.ORDER_CORRECTIVE))
