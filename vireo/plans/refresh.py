@@ -26,8 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vireo.functions.temporal import quarter_index
-from vireo.operators.dedup import keep_first
-from vireo.plans.staging import LINE_KEY, LINE_ORDER, stg_readings
+from vireo.plans.staging import LINE_KEY, order_lines, stg_readings
 from vireo.session import scratch_path
 from vireo.sources import storage
 from vireo.sources.tables import Sources
@@ -74,7 +73,7 @@ class ReadingMart:
         if touched is not None:
             frames["lineitem"] = frames["lineitem"].join(touched, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(LINE_KEY, KEY, strict=True)], "left_semi")
             frames["orders"] = frames["orders"].join(touched, F.col("o_orderkey") == F.col(KEY[0]), "left_semi")
-        lines = keep_first(frames["lineitem"], LINE_KEY, LINE_ORDER)
+        lines = order_lines(frames["lineitem"])
         src = Sources(self.spark, {table: (lambda rows=rows: rows) for table, rows in frames.items()})
         readings = stg_readings(src, lines, carried=[column for _, _, column in TRACKED])
         return readings.withColumn("quarter_no", F.coalesce(quarter_index("read_at"), F.lit(0)))
@@ -108,7 +107,7 @@ class ReadingMart:
     def _write(self, rows: DataFrame) -> dict[str, str]:
         """Rows as a new part; the quarters it holds."""
         part = f"{self.root}/parts/{uuid.uuid4().hex}"
-        rows.hint("rebalance", "quarter_no").write.partitionBy("quarter_no").parquet(part)
+        rows.write.partitionBy("quarter_no").option("compression", "zstd").parquet(part)
         return {name.split("=")[1]: part for name in storage.children(self.spark, part) if name.startswith("quarter_no=")}
 
     def refresh(self) -> list[int]:
