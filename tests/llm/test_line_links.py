@@ -44,6 +44,22 @@ def test_lines_with_changed_words_are_linked(spark):
     assert far >= 20 and found >= 0.9 * near
 
 
+def test_a_link_depends_on_its_two_lines_alone(spark):
+    """The blocks are the same at any number of lines, so a pair meets among few lines if it meets among many."""
+    assert all(fuzzy_lines.block_plan(band, 10) == fuzzy_lines.block_plan(band, 10 ** 9) for band in range(fuzzy_lines.BANDS))
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(4000)]
+    pairs = []
+    for _ in range(60):
+        line = rng.sample(words, 10)
+        other = line[:]
+        other[rng.randrange(10)] = rng.choice(words)
+        pairs += [" ".join(line), " ".join(other)]
+    others = [" ".join(rng.sample(words, 10)) for _ in range(6000)]
+    few, many = (left(spark, list(enumerate(lines))) for lines in (pairs, pairs + others))
+    assert {k: v for k, v in many.items() if k < len(pairs)} == few
+
+
 def test_lines_of_few_words_count_by_characters(spark):
     """Scripts without blanks, long words and numbers; lines below MIN_CHARS stay."""
     chinese = "机器学习是人工智能的一个分支它使计算机能够从数据中学习并且不断改进其性能"

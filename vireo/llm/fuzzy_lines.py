@@ -15,10 +15,11 @@ than ``LONG_WORD`` characters counts as its pairs of characters). Its first
 ``PRINT_BITS`` bits are the print of the line; the bits behind are cut into
 blocks, and lines that agree in a block meet. By the pigeonhole principle two
 lines that differ in fewer bits than there are blocks always meet; beyond
-that, most do. A block has more bits the more lines there are, so that chance
-meetings per line stay few, and the number of blocks is such that lines that
-differ in ``DESIGN_SHARE`` of their bits, or in short lines by one word, meet
-with probability ``DESIGN_REACH`` at any size of the table. Lines meet only within bands of length, which
+that, most do. A block has ``VALUE_BITS`` bits, and the number of blocks is such
+that lines that differ in ``DESIGN_SHARE`` of their bits, or in short lines by
+one word, meet with probability ``DESIGN_REACH``. Both depend on the band of
+length alone, so whether two lines meet depends on the two and on no other line
+of the table. Lines meet only within bands of length, which
 overlap so far that lines of similar length share one. Of the lines that meet,
 those whose prints differ in at most ``MAX_BITS`` bits are verified. The
 README has the recall against edit similarity alone.
@@ -71,8 +72,8 @@ PRINT_BITS, MAX_BITS = 128, 38
 DESIGN_SHARE, DESIGN_REACH = 0.12, 0.93
 #: Characters of a usual word with its blank, and the greatest share that blocks of short lines are laid out for.
 CHARS_A_WORD, SHORT_SHARE = 6, 0.19
-#: Bits of a block: the logarithm of the lines in a band less this, and at least so many.
-SPARED_BITS, LEAST_BITS = 8, 8
+#: Bits of a block, and bands of length (the last ends beyond the longest string).
+VALUE_BITS, BANDS = 13, 29
 
 LETTERS = LOWER.copy()
 LETTERS[[*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = 0x20
@@ -173,9 +174,9 @@ def bands_of(chars: np.ndarray, least: float = MIN_SIMILARITY) -> tuple[np.ndarr
     return np.concatenate([np.arange(len(chars)), below]), np.concatenate([home, home[below] - 1])
 
 
-def block_plan(band: int, lines: int) -> tuple[int, int]:
-    """(bits, blocks) for a band of that many lines."""
-    bits = max(LEAST_BITS, int(np.ceil(np.log2(max(2, lines)))) - SPARED_BITS)
+def block_plan(band: int, lines: int = 0) -> tuple[int, int]:
+    """(bits, blocks) for a band, the same for any number of ``lines`` in it."""
+    bits = VALUE_BITS
     words = max(1.5, 1.5 * MIN_CHARS * 2.0 ** band / CHARS_A_WORD)  # in a line from the middle of the band
     share = max(DESIGN_SHARE, min(SHORT_SHARE, float(np.arccos(1 - 1 / words) / np.pi)))
     return bits, int(np.ceil(np.log(1 - DESIGN_REACH) / np.log(1 - (1 - share) ** bits)))
@@ -220,19 +221,9 @@ def _numbered(rows: pa.Table, names: list[str]) -> np.ndarray:
     return np.cumsum(new)
 
 
-def band_counts(lines: DataFrame) -> dict[int, int]:
-    """Lines in every band of length, from distinct lines with ``chars`` (one row a band reaches the driver)."""
-    home = F.greatest(F.lit(0), F.floor(F.log2(F.greatest(F.col("chars"), F.lit(1)) / MIN_CHARS)))
-    counts: dict[int, int] = {}
-    for r in lines.where("chars > 0").groupBy(home.alias("band")).agg(F.count("*").alias("n")).collect():
-        counts[r.band] = r.n
-    # the lines at the foot of the next band are in this one too: an upper bound is enough for a plan
-    return {b: counts.get(b, 0) + counts.get(b + 1, 0) for b in range(-1, max(counts, default=0) + 2)}
-
-
-def candidate_groups(lines: DataFrame, counts: dict[int, int], least: float = MIN_SIMILARITY) -> DataFrame:
+def candidate_groups(lines: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
     """(bucket, p0, p1): sets of prints to verify, each set once, from lines that may repeat."""
-    plan = {b: block_plan(b, n) for b, n in counts.items()}
+    plan = {b: block_plan(b) for b in range(BANDS)}
     words = {b: -(-bits * blocks // 64) for b, (bits, blocks) in plan.items()}
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,7 +381,7 @@ def duplicate_lines(lines: DataFrame, least: float = MIN_SIMILARITY) -> DataFram
     # lines with one print are a group as well
     same = (distinct.where("chars > 0").groupBy("p0", "p1").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
             .select(F.xxhash64("p0", "p1", F.lit(0)).alias("bucket"), "p0", "p1"))
-    groups = written(candidate_groups(lines, band_counts(distinct)).unionByName(same), "line-groups")
+    groups = written(candidate_groups(lines).unionByName(same), "line-groups")
     marked = written(groups.select("p0", "p1").distinct(), "marked-lines")
     key = F.concat_ws(" ", "p0", "p1").alias("key")
     maybe = lines.where("chars > 0").select("digest", "line", "p0", "p1", key)
