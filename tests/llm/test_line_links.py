@@ -70,3 +70,27 @@ def test_lines_of_few_words_count_by_characters(spark):
     assert got[1] == docs[0][1]
     assert got[2] == got[3] == got[5] == got[7] == ""
     assert got[4] == short and got[6] == docs[5][1] and got[8] == docs[7][1]
+
+
+def test_lines_that_differ_in_a_sixth_of_their_bits_mostly_meet():
+    """Blocks of 12 bits, each the start of one of 13, bring together what blocks of 13 bits left out, and all that those did not."""
+    rng = np.random.default_rng(6)
+    size, blocks = fuzzy_lines.block_plan(3)
+    bits = rng.integers(0, 2, (4000, 192), dtype=np.uint8)
+    other = bits ^ (rng.random(bits.shape) < 0.16)
+    words, changed = (np.packbits(x, axis=1, bitorder="little").view(np.uint64) for x in (bits, other))
+    a, b = (fuzzy_lines.block_keys(w, np.full(4000, 3), {3: (size, blocks)})[0].reshape(4000, blocks) for w in (words, changed))
+    met = (a == b).any(axis=1)
+    longer = (bits == other)[:, :169].reshape(4000, 13, 13).all(axis=2).any(axis=1)
+    assert not (longer & ~met).any() and met.mean() > 0.79 > longer.mean()
+
+
+def test_large_blocks_are_compared_and_not_handed_on_whole():
+    """A block of any number of lines falls into the sets of its close prints; lengths beyond the similarity do not connect."""
+    rng = np.random.default_rng(7)
+    p0, p1 = rng.integers(0, 1 << 63, (2, 6000), dtype=np.uint64)
+    p0[1], p1[1] = p0[0] ^ np.uint64(7), p1[0]
+    p0[5999], p1[5999] = p0[0], p1[0]
+    chars = np.sort(rng.integers(100, 200, 6000))
+    labels = fuzzy_lines.close_sets(np.zeros(6000, np.int64), p0, p1, chars)
+    assert labels[1] == 0 and labels[5999] != 0 and len(np.unique(labels)) > 5900

@@ -15,17 +15,20 @@ than ``LONG_WORD`` characters counts as its pairs of characters). Its first
 ``PRINT_BITS`` bits are the print of the line; the bits behind are cut into
 blocks, and lines that agree in a block meet. By the pigeonhole principle two
 lines that differ in fewer bits than there are blocks always meet; beyond
-that, most do. A block has ``VALUE_BITS`` bits, and the number of blocks is such
-that lines that differ in ``DESIGN_SHARE`` of their bits, or in short lines by
-one word, meet with probability ``DESIGN_REACH``. Both depend on the band of
+that, most do. A block is the first ``VALUE_BITS`` of ``BLOCK_STEP`` bits, and the
+number of blocks is such that lines that differ in ``DESIGN_SHARE`` of their bits,
+or in short lines by one word, would meet with probability ``DESIGN_REACH`` if all
+``BLOCK_STEP`` bits had to agree. Both depend on the band of
 length alone, so whether two lines meet depends on the two and on no other line
 of the table. Lines meet only within bands of length, which
-overlap so far that lines of similar length share one. Of the lines that meet,
-those whose prints differ in at most ``MAX_BITS`` bits are verified. The
+overlap so far that lines of similar length share one; from ``LAST_BAND`` on there is
+one band. Of the lines that meet, those whose lengths allow the similarity and
+whose prints differ in at most ``MAX_BITS`` bits are verified. The
 README has the recall against edit similarity alone.
 
-Blocks travel with prints, not with text. Lines connected by close prints are
-one candidate group; groups of the same lines are one. Only lines in such a
+The bits of all blocks are kept with the line table. Blocks travel with prints and
+lengths, not with text. A block of any size is compared in tiles. Lines connected by
+close prints are one candidate group; groups of the same lines are one. Only lines in such a
 group come with their text. Groups above ``CHUNK_ROWS`` are cut into chunks,
 and each pair of chunks is verified on its own, so no task holds more than two
 chunks of a group; pairs whose lines are connected already inside a group need
@@ -54,7 +57,7 @@ from pyspark.sql import functions as F
 
 from vireo.llm.common import LOWER, frugal, mixed, numbered, slices, text_bytes, word_hashes, word_spans, written
 from vireo.llm.components import components, union
-from vireo.llm.simhash import majority_bits
+from vireo.llm.simhash import majorities
 from vireo.llm.url_rules import BLOCK_BYTES, BROADCAST_BYTES, bloom_blocks, maybe_listed
 
 MIN_CHARS = 12
@@ -63,7 +66,7 @@ CHUNK_ROWS = 4096
 #: Lines that a task remembers as filed.
 SEEN_ROWS = 1 << 18
 #: Bytes of text whose features are in memory at a time.
-KEY_BYTES = 1 << 18
+KEY_BYTES = 1 << 22
 #: Words of more characters than this count as their pairs of characters.
 LONG_WORD = 16
 #: Bits of the print, and how many may differ.
@@ -72,16 +75,20 @@ PRINT_BITS, MAX_BITS = 128, 38
 DESIGN_SHARE, DESIGN_REACH = 0.12, 0.93
 #: Characters of a usual word with its blank, and the greatest share that blocks of short lines are laid out for.
 CHARS_A_WORD, SHORT_SHARE = 6, 0.19
-#: Bits of a block, and bands of length (the last ends beyond the longest string).
-VALUE_BITS, BANDS = 13, 29
+#: Bits of a block, how far blocks are apart, and bands of length; the last band that is filed has no end.
+VALUE_BITS, BLOCK_STEP, BANDS, LAST_BAND = 12, 13, 29, 3
 
 LETTERS = LOWER.copy()
 LETTERS[[*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = 0x20
 IS_LETTER = LETTERS != 0x20
 
-LINE_SCHEMA = "id long, number long, line_no int, digest binary, line string, chars int, p0 long, p1 long"
-#: Bits of a block's number in its key.
-BLOCK_BITS = 9
+LINE_SCHEMA = "id long, number long, line_no int, digest binary, line string, chars int, p0 long, p1 long, words binary"
+#: Bits of a block's number in its key, and of a line's length behind it.
+BLOCK_BITS, CHARS_BITS = 9, 31
+#: Rows of a block that are compared at a time with all that follow, and close pairs that are held before they are merged.
+TILE_ROWS, HELD_PAIRS = 64, 1 << 20
+#: Words that may be passed over at a time where two lines are laid side by side.
+PASSED_WORDS = 8
 
 
 def lines_of(texts: pa.Array, min_chars: int = MIN_CHARS) -> dict[str, object]:
@@ -126,17 +133,23 @@ def line_table(rows: DataFrame, key: str, text: str, min_chars: int = MIN_CHARS)
                 part = batch.slice(a, b - a)
                 cols = lines_of(part.column(2), min_chars)
                 at, coded = pa.array(cols["row"]), cols["line"].dictionary_encode()
-                prints = np.concatenate([np.empty((0, PRINT_BITS // 64), np.uint64),
-                                         *[simhash(coded.dictionary.slice(x, y - x), PRINT_BITS // 64) for x, y in slices(coded.dictionary, KEY_BYTES)]])
-                prints = prints[coded.indices.to_numpy()].view(np.int64)
+                parts = [line_bits(coded.dictionary.slice(x, y - x)) for x, y in slices(coded.dictionary, KEY_BYTES)]
+                prints = np.concatenate([np.empty((0, PRINT_BITS // 64), np.uint64), *[x for x, _ in parts]])[coded.indices.to_numpy()].view(np.int64)
+                words = pa.concat_arrays([pa.array([], pa.binary()), *[x for _, x in parts]]).take(coded.indices)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(at), part.column(1).take(at), pa.array(cols["line_no"], pa.int32()), pa.array(cols["digest"], pa.binary()),
-                     cols["line"], pa.compute.utf8_length(cols["line"]), pa.array(prints[:, 0]), pa.array(prints[:, 1])],
-                    names=["id", "number", "line_no", "digest", "line", "chars", "p0", "p1"])
+                     cols["line"], pa.compute.utf8_length(cols["line"]), pa.array(prints[:, 0]), pa.array(prints[:, 1]), words],
+                    names=["id", "number", "line_no", "digest", "line", "chars", "p0", "p1", "words"])
 
     return rows.select(F.col(f"doc.`{key}`").cast("long").alias("id"), "number", F.col(f"doc.`{text}`").cast("string").alias("text")).mapInArrow(frugal(run), LINE_SCHEMA)
 
 
+def sorted_within(group: np.ndarray, hashes: np.ndarray, groups: int) -> np.ndarray:
+    """An order by group, and inside a group by the first bits of a hash, so that equal hashes are neighbours."""
+    bits = int(groups).bit_length()
+    return np.argsort(group.astype(np.uint64) << np.uint64(64 - bits) | hashes >> np.uint64(bits)) if bits else np.arange(len(group))
+
+
 def features(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, first of every line): the distinct words of some lines, long ones as their pairs of characters."""
     buf, offs = text_bytes(lines)
@@ -153,7 +166,7 @@ def features(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         starts, ends = np.concatenate([starts[~long], chars[begin]]), np.concatenate([ends[~long], chars[begin + 2]])
         owner = np.concatenate([owner[~long], np.repeat(owner[long], pairs)])
     hashes = word_hashes(buf, starts, ends)
-    order = np.lexsort((hashes, owner))
+    order = sorted_within(owner, hashes, len(offs) - 1)
     hashes, owner = hashes[order], owner[order]
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
@@ -162,9 +175,34 @@ def features(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def simhash(lines: pa.Array, words: int, skipped: int = 0) -> np.ndarray:
     """``words`` numbers of 64 bits of the SimHash of some lines, without the first ``skipped``."""
-    hashes, firsts = features(lines)
+    return _majorities(*features(lines), words, skipped)
+
+
+def _majorities(hashes: np.ndarray, firsts: np.ndarray, words: int, skipped: int = 0) -> np.ndarray:
     salts = mixed(np.arange(skipped + 1, skipped + words + 1, dtype=np.uint64))
-    return np.stack([majority_bits(mixed(hashes ^ salt), firsts) for salt in salts], axis=1)
+    return majorities(lambda at: mixed(hashes[at] ^ salts[:, None]), firsts, words)
+
+
+def line_bits(lines: pa.Array, least: float = MIN_SIMILARITY) -> tuple[np.ndarray, pa.Array]:
+    """(prints, words) of some lines: ``words`` holds the numbers of simhash() behind the print that the blocks of a line need."""
+    chars, own = pa.compute.utf8_length(lines).to_numpy(), PRINT_BITS // 64
+    line, band = filed_bands(chars, least)
+    need = np.zeros(len(chars), np.int64)
+    np.maximum.at(need, line, np.array([plan_words(b) for b in range(LAST_BAND + 1)])[band])
+    need[chars == 0] = 0
+    hashes, firsts = features(lines)
+    fewest = int(need[need > 0].min(initial=need.max(initial=0)))
+    bits = np.zeros((len(chars), own + int(need.max(initial=0))), np.uint64)
+    bits[:, :own + fewest] = _majorities(hashes, firsts, own + fewest)
+    more = np.flatnonzero(need > fewest)
+    if len(more):
+        counts = np.diff(firsts)[more]
+        ends = np.cumsum(counts)
+        picked = np.repeat(firsts[more] - ends + counts, counts) + np.arange(counts.sum())
+        bits[more, own + fewest:] = _majorities(hashes[picked], np.concatenate([[0], ends]), bits.shape[1] - own - fewest, own + fewest)
+    held = np.arange(bits.shape[1] - own) < need[:, None]
+    offs = np.concatenate([[0], np.cumsum(8 * need)]).astype(np.int32)
+    return bits[:, :own], pa.Array.from_buffers(pa.binary(), len(chars), [None, pa.py_buffer(offs), pa.py_buffer(bits[:, own:][held])])
 
 
 def bands_of(chars: np.ndarray, least: float = MIN_SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
@@ -176,21 +214,35 @@ def bands_of(chars: np.ndarray, least: float = MIN_SIMILARITY) -> tuple[np.ndarr
 
 def block_plan(band: int, lines: int = 0) -> tuple[int, int]:
     """(bits, blocks) for a band, the same for any number of ``lines`` in it."""
-    bits = VALUE_BITS
     words = max(1.5, 1.5 * MIN_CHARS * 2.0 ** band / CHARS_A_WORD)  # in a line from the middle of the band
     share = max(DESIGN_SHARE, min(SHORT_SHARE, float(np.arccos(1 - 1 / words) / np.pi)))
-    return bits, int(np.ceil(np.log(1 - DESIGN_REACH) / np.log(1 - (1 - share) ** bits)))
+    return VALUE_BITS, int(np.ceil(np.log(1 - DESIGN_REACH) / np.log(1 - (1 - share) ** BLOCK_STEP)))
+
+
+def plan_words(band: int) -> int:
+    """Numbers of 64 bits that the blocks of a band are cut from."""
+    return -(-BLOCK_STEP * block_plan(band)[1] // 64)
+
+
+def filed_bands(chars: np.ndarray, least: float = MIN_SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+    """As bands_of(), with the bands from ``LAST_BAND`` on as one: their blocks are the same, and lines of a block are sorted by length."""
+    line, band = bands_of(chars, least)
+    once = (np.arange(len(line)) < len(chars)) | (band < LAST_BAND)
+    return line[once], np.minimum(band[once], LAST_BAND)
 
 
 def block_keys(words: np.ndarray, band: np.ndarray, plan: dict[int, tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
     """(key, row): the blocks of lines, each in one band; ``words`` are simhash() numbers behind the print."""
-    bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")
     value_bits = max(size for size, _ in plan.values())
+    words = np.concatenate([words, np.zeros((len(words), 1), np.uint64)], axis=1)
     keys, owner = [], []
     for b in np.unique(band).tolist():
         size, blocks = plan[b]
         rows = np.flatnonzero(band == b)
-        values = bits[rows, :size * blocks].reshape(len(rows), blocks, size) @ (1 << np.arange(size, dtype=np.int64))
+        at = BLOCK_STEP * np.arange(blocks)
+        shift = (at % 64).astype(np.uint64)
+        values = words[rows[:, None], at // 64] >> shift | words[rows[:, None], at // 64 + 1] << np.uint64(1) << (np.uint64(63) - shift)
+        values = (values & np.uint64((1 << size) - 1)).view(np.int64)
         keys.append(((b << BLOCK_BITS | np.arange(blocks)) << value_bits | values).ravel())
         owner.append(np.repeat(rows, blocks))
     return np.concatenate(keys), np.concatenate(owner)
@@ -223,64 +275,97 @@ def _numbered(rows: pa.Table, names: list[str]) -> np.ndarray:
 
 def candidate_groups(lines: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
     """(bucket, p0, p1): sets of prints to verify, each set once, from lines that may repeat."""
-    plan = {b: block_plan(b) for b in range(BANDS)}
-    words = {b: -(-bits * blocks // 64) for b, (bits, blocks) in plan.items()}
+    plan = {b: block_plan(b) for b in range(LAST_BAND + 1)}
+    needs = np.array([plan_words(b) for b in plan])
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.empty(0, np.uint64)  # a line that is everywhere is filed once a task
         for batch in batches:
-            p0, p1 = (batch.column(c).to_numpy().view(np.uint64) for c in (2, 3))
-            ids, where = np.unique(mixed(p0) ^ p1, return_index=True)
+            p0, p1 = (batch.column(c).to_numpy().view(np.uint64) for c in (1, 2))
+            ids, where = np.unique(mixed(p0) ^ p1 ^ mixed(batch.column(0).to_numpy().astype(np.uint64)), return_index=True)
             where = where[~np.isin(ids, seen)]
             seen = np.union1d(seen, ids) if len(seen) < SEEN_ROWS else ids
-            texts, chars = batch.column(0).take(pa.array(where)), batch.column(1).to_numpy()[where]
-            for a, b in slices(texts, KEY_BYTES):
-                line, band = bands_of(chars[a:b], least)
-                need = np.array([words[x] for x in band.tolist()])
-                for n in np.unique(need).tolist():
-                    own, own_band = line[need == n], band[need == n]
-                    found, owner = block_keys(simhash(texts.slice(a, b - a).take(pa.array(own)), n, PRINT_BITS // 64), own_band, plan)
-                    at = where[a:b][own[owner]]
-                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(p0[at].view(np.int64)), pa.array(p1[at].view(np.int64))], names=["bucket", "p0", "p1"])
+            chars = batch.column(0).to_numpy()[where].astype(np.int64)
+            held, firsts = text_bytes(batch.column(3).take(pa.array(where)))
+            held, firsts = np.ascontiguousarray(held).view(np.uint64), firsts // 8
+            line, band = filed_bands(chars, least)
+            for n in np.unique(needs[band]).tolist():
+                own, own_band = line[needs[band] == n], band[needs[band] == n]
+                found, owner = block_keys(held[firsts[own][:, None] + np.arange(n)], own_band, plan)
+                at = own[owner]
+                yield pa.RecordBatch.from_arrays([pa.array(found << CHARS_BITS | chars[at]), pa.array(p0[where[at]].view(np.int64)),
+                                                  pa.array(p1[where[at]].view(np.int64))], names=["key", "p0", "p1"])
+
+    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column(0).to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(key >> CHARS_BITS), pa.array(key & (1 << CHARS_BITS) - 1), *batch.columns[1:]], names=["bucket", "chars", "p0", "p1"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, rows in whole_groups(batches, ["bucket"]):
-            p0, p1 = (rows.column(c).to_numpy().view(np.uint64) for c in ("p0", "p1"))
-            order = np.lexsort((p1, p0, group))
-            group, p0, p1 = group[order], p0[order], p1[order]
+        for group, rows in whole_groups(parted(batches), ["bucket"]):
+            chars, p0, p1 = (rows.column(c).to_numpy() for c in ("chars", "p0", "p1"))
+            p0, p1 = p0.view(np.uint64), p1.view(np.uint64)
+            place = np.cumsum((np.diff(group, prepend=group[0]) != 0) | (np.diff(chars, prepend=chars[0]) != 0))
+            order = sorted_within(place, mixed(p0) ^ p1, int(place[-1]) + 1)
+            group, chars, p0, p1 = group[order], chars[order], p0[order], p1[order]
             new = np.ones(len(p0), bool)
-            new[1:] = (group[1:] != group[:-1]) | (p0[1:] != p0[:-1]) | (p1[1:] != p1[:-1])
-            group, p0, p1 = group[new], p0[new], p1[new]
-            label = close_sets(group, p0, p1)
-            order = np.argsort(label, kind="stable")
-            label, p0, p1 = label[order], p0[order], p1[order]
-            first = np.flatnonzero(np.diff(label, prepend=-1))
-            size = np.diff(np.append(first, len(label)))
-            name = np.add.reduceat(mixed(mixed(p0) ^ p1), first)  # the same for the same prints
-            shared = np.repeat(size > 1, size)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name, size)[shared].view(np.int64)), pa.array(p0[shared].view(np.int64)),
-                                              pa.array(p1[shared].view(np.int64))], names=["bucket", "p0", "p1"])
-
-    schema = "bucket long, p0 long, p1 long"
-    filed = lines.where("chars > 0").select("line", "chars", "p0", "p1").mapInArrow(frugal(keys), schema)
-    return filed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(frugal(run), schema).distinct()
-
-
-def close_sets(group: np.ndarray, p0: np.ndarray, p1: np.ndarray, most: int = MAX_BITS, chunk_rows: int = CHUNK_ROWS) -> np.ndarray:
-    """Class of every row: rows of one group connected by prints within ``most`` bits; a group above ``chunk_rows`` is one class."""
-    labels = np.arange(len(group))
-    first = np.searchsorted(group, group)
-    size = np.searchsorted(group, group, side="right") - first
-    labels = np.where(size > chunk_rows, first, labels)
-    at, lag = np.flatnonzero(size <= chunk_rows), 1
-    while len(at):
-        at = at[at + lag < len(group)]
-        at = at[group[at] == group[at + lag]]
-        close = at[np.bitwise_count(p0[at] ^ p0[at + lag]) + np.bitwise_count(p1[at] ^ p1[at + lag]) <= most]
-        if len(close):
-            labels = union(labels, close, close + lag)
-        lag += 1
-    return labels
+            new[1:] = (group[1:] != group[:-1]) | (chars[1:] != chars[:-1]) | (p0[1:] != p0[:-1]) | (p1[1:] != p1[:-1])
+            group, chars, p0, p1 = group[new], chars[new], p0[new], p1[new]
+            label = close_sets(group, p0, p1, chars, least)
+            shared = np.flatnonzero(np.bincount(label, minlength=len(label))[label] > 1)
+            shared = shared[np.lexsort((p1[shared], p0[shared], label[shared]))]
+            label, p0, p1 = label[shared], p0[shared], p1[shared]
+            new = np.ones(len(p0), bool)  # a print may come with several lengths
+            new[1:] = (label[1:] != label[:-1]) | (p0[1:] != p0[:-1]) | (p1[1:] != p1[:-1])
+            label, p0, p1 = label[new], p0[new], p1[new]
+            if len(label):
+                first = np.flatnonzero(np.diff(label, prepend=-1))
+                size = np.diff(np.append(first, len(label)))
+                name = np.add.reduceat(mixed(mixed(p0) ^ p1), first)  # the same for the same prints
+                several = np.repeat(size > 1, size)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name, size)[several].view(np.int64)), pa.array(p0[several].view(np.int64)),
+                                                  pa.array(p1[several].view(np.int64))], names=["bucket", "p0", "p1"])
+
+    filed = lines.where("chars > 0").select("chars", "p0", "p1", "words").mapInArrow(frugal(keys), "key long, p0 long, p1 long")
+    return (filed.repartition(F.shiftright("key", CHARS_BITS)).sortWithinPartitions("key")
+            .mapInArrow(frugal(run), "bucket long, p0 long, p1 long").distinct())
+
+
+def close_sets(group: np.ndarray, p0: np.ndarray, p1: np.ndarray, chars: np.ndarray, least: float = MIN_SIMILARITY, most: int = MAX_BITS) -> np.ndarray:
+    """Class of every row: rows of one group, sorted by length, connected by prints within ``most`` bits and lengths that allow ``least``."""
+    labels, held, waiting = np.arange(len(group)), [], 0
+    for i, j in near_rows(group, p0, p1, chars, least, most):
+        held.append((i, j))
+        waiting += len(i)
+        if waiting > HELD_PAIRS:
+            labels, held, waiting = union(labels, *(np.concatenate(x) for x in zip(*held, strict=True))), [], 0
+    return union(labels, *(np.concatenate(x) for x in zip(*held, strict=True))) if held else labels
+
+
+def near_rows(group: np.ndarray, p0: np.ndarray, p1: np.ndarray, chars: np.ndarray, least: float, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of rows that close_sets() connects."""
+    first, stop = np.searchsorted(group, group), np.searchsorted(group, group, side="right")
+    small = np.flatnonzero(stop - first <= TILE_ROWS)
+    small = small[np.argsort((first - stop)[small], kind="stable")]  # greatest groups first, so rows at work lie in one piece
+    size, q0, q1, own, length = (stop - first)[small], p0[small], p1[small], group[small], chars[small]
+    for lag in range(1, int(size.max(initial=0))):
+        n = int(np.searchsorted(-size, -lag))
+        at = np.flatnonzero(np.bitwise_count(q0[:n - lag] ^ q0[lag:n]) + np.bitwise_count(q1[:n - lag] ^ q1[lag:n]) <= most)
+        at = at[(own[at] == own[at + lag]) & (length[at] >= least * length[at + lag] - 1e-9)]
+        if len(at):
+            yield small[at], small[at + lag]
+    for a in np.flatnonzero((first == np.arange(len(group))) & (stop - first > TILE_ROWS)).tolist():
+        b = int(stop[a])
+        reach = a + np.searchsorted(chars[a:b], chars[a:b] / least + 1e-9, side="right")
+        for x in range(a, b - 1, TILE_ROWS):
+            y = min(x + TILE_ROWS, b)
+            z = int(reach[y - a - 1])
+            bits = np.bitwise_count(p0[x:y, None] ^ p0[None, x:z])
+            bits += np.bitwise_count(p1[x:y, None] ^ p1[None, x:z])
+            i, j = np.divmod(np.flatnonzero(bits.ravel() <= most), z - x)
+            wanted = (j > i) & (j + x < reach[x - a + i])
+            if wanted.any():
+                yield i[wanted] + x, j[wanted] + x
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
@@ -309,20 +394,45 @@ def edit_distance(a: str, b: str, most: int) -> int:
             return most + 1
         up, down = (up << 1 | 1) & full, (down << 1) & full
         plus, minus = (down | ~(flat | up)) & full, up & flat
+        if k & 31 == 31 and k < len(a):  # the diagonal: a path that passes it at a distance has to come back
+            above = (2 << k) - 1
+            if k + 1 + (plus & above).bit_count() - (minus & above).bit_count() - (len(b) - len(a)) > most:
+                return most + 1
     return min(score, most + 1)
 
 
+def distance_bound(x: list[str], y: list[str], most: int) -> int:
+    """A number of edits that turn the words x into the words y, or more than ``most`` when they are no longer followed."""
+    i = j = edits = 0
+    nx, ny = len(x), len(y)
+    while i < nx and j < ny:
+        if x[i] == y[j]:
+            i, j = i + 1, j + 1
+            continue
+        for far in range(1, PASSED_WORDS + 1):  # the nearest place where two words are equal again
+            for k in range(far + 1):
+                if i + k < nx and j + far < ny and x[i + k] == y[j + far] and x[i + k + 1:i + k + 2] == y[j + far + 1:j + far + 2]:
+                    p, q = k, far
+                    break
+                if i + far < nx and j + k < ny and x[i + far] == y[j + k] and x[i + far + 1:i + far + 2] == y[j + k + 1:j + k + 2]:
+                    p, q = far, k
+                    break
+            else:
+                continue
+            break
+        else:
+            break
+        edits += max(sum(map(len, x[i:i + p])) + p, sum(map(len, y[j:j + q])) + q)
+        if edits > most:
+            return edits
+        i, j = i + p, j + q
+    return edits + max(sum(map(len, x[i:])) + nx - i, sum(map(len, y[j:])) + ny - j)
+
+
 def similar(a: str, b: str, least: float = MIN_SIMILARITY) -> bool:
-    """Whether edit similarity reaches ``least``; words that differ place by place bound it first."""
+    """Whether edit similarity reaches ``least``; words laid side by side bound it first."""
     most = int((1 - least) * max(len(a), len(b)) + 1e-9)
-    x, y = a.split(" "), b.split(" ")
-    if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y, strict=True) if p != q) <= most:
-        return True
-    short = min(len(a), len(b))  # so does what lies between a common start and a common end
-    start = next((k for k in range(short) if a[k] != b[k]), short)
-    back = next((k for k in range(short - start) if a[-1 - k] != b[-1 - k]), short - start)
-    a, b = a[start:len(a) - back], b[start:len(b) - back]
-    return max(len(a), len(b)) <= most or edit_distance(a, b, most) <= most
+    return abs(len(a) - len(b)) <= most and (distance_bound(a.split(" "), b.split(" "), most) <= most or edit_distance(a, b, most) <= most)
 
 
 def close_pairs(group: np.ndarray, chars: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:

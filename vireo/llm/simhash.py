@@ -24,7 +24,7 @@ id. A null doc_id never names a component that has another id.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -66,6 +66,42 @@ def majority_bits(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Hashes of a row up to which rows are counted side by side.
+SIDE_BY_SIDE = 255
+
+
+def majorities(hashes_at: Callable[[np.ndarray], np.ndarray], firsts: np.ndarray, words: int) -> np.ndarray:
+    """majority_bits() for ``words`` sets of hashes at once, as columns; ``hashes_at`` gives them, a row a set, for some places.
+
+    The counters of all 64 bits of all rows are kept as planes of bits: a hash
+    is added to its row by carries from plane to plane.
+    """
+    counts = np.diff(firsts)
+    out = np.zeros((words, len(counts)), np.uint64)
+    order = np.argsort(-counts, kind="stable")
+    order = order[np.searchsorted(-counts[order], -SIDE_BY_SIDE):]
+    begin, size = firsts[:-1][order], counts[order]
+    planes = np.zeros((int(size.max(initial=0)).bit_length(), words, len(order)), np.uint64)
+    for k in range(int(size.max(initial=0))):
+        n = int(np.searchsorted(-size, -k))
+        carry = hashes_at(begin[:n] + k)
+        for plane in planes[:(k + 1).bit_length(), :, :n]:
+            kept = plane & carry
+            plane ^= carry
+            carry = kept
+    more, same = np.zeros((words, len(order)), np.uint64), np.full((words, len(order)), ~np.uint64(0))
+    for k in range(len(planes) - 1, -1, -1):
+        half = np.where(size // 2 >> k & 1, ~np.uint64(0), np.uint64(0))
+        more |= same & planes[k] & ~half
+        same &= ~(planes[k] ^ half)
+    out[:, order] = more
+    long = np.flatnonzero(counts > SIDE_BY_SIDE)
+    for row in long.tolist():
+        for word, hashes in enumerate(hashes_at(np.arange(firsts[row], firsts[row + 1]))):
+            out[word, row] = majority_bits(np.ascontiguousarray(hashes), np.array([0, len(hashes)]))[0]
+    return np.ascontiguousarray(out.T)
+
+
 def fingerprints_of(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
     """SimHash of every text (null: empty) over its lower-cased word shingles, repeats included."""
     buf, offs = text_bytes(texts)
