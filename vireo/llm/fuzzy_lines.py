@@ -47,6 +47,7 @@ gives an empty result; extra columns pass through, whatever their names.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,7 +56,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vireo.llm.common import LOWER, frugal, mixed, numbered, slices, text_bytes, word_hashes, word_spans, written
+from vireo.llm.common import LOWER, binary_array, frugal, mixed, numbered, slices, text_bytes, word_hashes, word_spans, written
 from vireo.llm.components import components, union
 from vireo.llm.simhash import majorities
 from vireo.llm.url_rules import BLOCK_BYTES, BROADCAST_BYTES, bloom_blocks, maybe_listed
@@ -83,12 +84,19 @@ LETTERS[[*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = 0x20
 IS_LETTER = LETTERS != 0x20
 
 LINE_SCHEMA = "id long, number long, line_no int, digest binary, line string, chars int, p0 long, p1 long, words binary"
-#: Bits of a block's number in its key, and of a line's length behind it.
-BLOCK_BITS, CHARS_BITS = 9, 31
+#: Bits of a block's number in its key, of a key inside a bin, and of a line's length behind it.
+BLOCK_BITS, LOW_BITS, CHARS_BITS = 9, 4, 31
+#: A line in a block, and how many of them a task lays into bins at a time.
+FILED = np.dtype([("low", "u1"), ("chars", "<u4"), ("p0", "<u8"), ("p1", "<u8")])
+FILED_ROWS = 1 << 20
 #: Rows of a block that are compared at a time with all that follow, and close pairs that are held before they are merged.
 TILE_ROWS, HELD_PAIRS = 64, 1 << 20
 #: Words that may be passed over at a time where two lines are laid side by side.
 PASSED_WORDS = 8
+#: Pairs that are verified at a time, bytes of their lines laid side by side, and rows and bytes of the groups they come from.
+PAIRS_AT_ONCE, BAND_BYTES, GROUP_ROWS, GROUP_BYTES = 1 << 14, 1 << 21, 1 << 15, 1 << 24
+#: Fewer pairs of like length than these are verified one by one.
+FEW_PAIRS = 12
 
 
 def lines_of(texts: pa.Array, min_chars: int = MIN_CHARS) -> dict[str, object]:
@@ -153,24 +161,40 @@ def sorted_within(group: np.ndarray, hashes: np.ndarray, groups: int) -> np.ndar
 def features(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, first of every line): the distinct words of some lines, long ones as their pairs of characters."""
     buf, offs = text_bytes(lines)
-    starts, ends, firsts = word_spans(buf, offs, IS_LETTER)
-    owner = np.repeat(np.arange(len(offs) - 1), np.diff(firsts))
-    upto = np.zeros(len(buf) + 1, np.int64)
-    np.cumsum((buf & 0xC0) != 0x80, out=upto[1:])
-    size = upto[ends] - upto[starts]
-    long = size > LONG_WORD
-    if long.any():
-        chars = np.append(np.flatnonzero((buf & 0xC0) != 0x80), len(buf))
-        pairs = size[long] - 1
-        begin = np.repeat(upto[starts[long]] - np.cumsum(pairs) + pairs, pairs) + np.arange(pairs.sum())
-        starts, ends = np.concatenate([starts[~long], chars[begin]]), np.concatenate([ends[~long], chars[begin + 2]])
-        owner = np.concatenate([owner[~long], np.repeat(owner[long], pairs)])
-    hashes = word_hashes(buf, starts, ends)
-    order = sorted_within(owner, hashes, len(offs) - 1)
-    hashes, owner = hashes[order], owner[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    return hashes[new], np.searchsorted(owner[new], np.arange(len(offs)))
+    if not len(buf):
+        return np.empty(0, np.uint64), np.zeros(len(offs), np.int64)
+    cut = np.append(buf == 0x20, True)
+    cut[offs] = True
+    edges = np.flatnonzero(cut)
+    coded = binary_array(np.ascontiguousarray(buf), edges).dictionary_encode()  # words, most with the blank before them
+    number, owner = coded.indices.to_numpy(), np.repeat(np.arange(len(offs) - 1), np.diff(np.searchsorted(edges, offs)))
+    buf, at = text_bytes(coded.dictionary)
+    starts, ends = at[:-1] + ~IS_LETTER[buf[at[:-1]]], at[1:]
+    known, of = np.unique(word_hashes(buf, starts, ends), return_inverse=True)
+    long = np.flatnonzero(ends - starts > LONG_WORD)
+    char = np.append(np.flatnonzero((buf & 0xC0) != 0x80), len(buf))
+    size = np.searchsorted(char, ends[long]) - np.searchsorted(char, starts[long])
+    long, size = long[size > LONG_WORD], size[size > LONG_WORD]
+    plain = np.ones(len(starts), bool)
+    plain[starts == ends] = plain[long] = False
+    used = plain[number]
+    key = owner[used] * len(known) + of[number[used]]
+    if len(long):
+        pairs = size - 1
+        begin = np.repeat(np.searchsorted(char, starts[long]) - np.cumsum(pairs) + pairs, pairs) + np.arange(pairs.sum())
+        more, of = np.unique(word_hashes(buf, char[begin], char[begin + 2]), return_inverse=True)
+        first = np.zeros(len(starts) + 1, np.int64)
+        first[long + 1] = pairs
+        np.cumsum(first, out=first)
+        spelt = np.flatnonzero(np.isin(number, long))
+        counts = first[number[spelt] + 1] - first[number[spelt]]
+        picked = np.repeat(first[number[spelt]] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        both, into = np.unique(np.concatenate([known, more]), return_inverse=True)
+        key = np.concatenate([key // len(known) * len(both) + into[key % len(known)], np.repeat(owner[spelt], counts) * len(both) + into[len(known) + of[picked]]])
+        known = both
+    key = np.sort(key)
+    key = key[np.diff(key, prepend=-1) != 0]
+    return known[key % len(known)], np.searchsorted(key, np.arange(len(offs)) * len(known))
 
 
 def simhash(lines: pa.Array, words: int, skipped: int = 0) -> np.ndarray:
@@ -278,33 +302,48 @@ def candidate_groups(lines: DataFrame, least: float = MIN_SIMILARITY) -> DataFra
     plan = {b: block_plan(b) for b in range(LAST_BAND + 1)}
     needs = np.array([plan_words(b) for b in plan])
 
+    def filed(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        parts = [np.concatenate(x) for x in zip(*held, strict=True)]
+        order = np.argsort(parts[0], kind="stable")
+        key, packed = parts[0][order], np.empty(len(order), FILED)
+        packed["low"] = key & (1 << LOW_BITS) - 1
+        for name, x in zip(("chars", "p0", "p1"), parts[1:], strict=True):
+            packed[name] = x[order]
+        first = np.flatnonzero(np.diff(key >> LOW_BITS, prepend=-1))
+        ends = FILED.itemsize * np.append(first, len(key))
+        return pa.RecordBatch.from_arrays([pa.array(key[first] >> LOW_BITS), binary_array(packed.view(np.uint8), ends)], names=["bin", "lines"])
+
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.empty(0, np.uint64)  # a line that is everywhere is filed once a task
+        seen, held, rows = np.empty(0, np.uint64), [], 0  # a line that is everywhere is filed once a task
         for batch in batches:
             p0, p1 = (batch.column(c).to_numpy().view(np.uint64) for c in (1, 2))
             ids, where = np.unique(mixed(p0) ^ p1 ^ mixed(batch.column(0).to_numpy().astype(np.uint64)), return_index=True)
             where = where[~np.isin(ids, seen)]
             seen = np.union1d(seen, ids) if len(seen) < SEEN_ROWS else ids
             chars = batch.column(0).to_numpy()[where].astype(np.int64)
-            held, firsts = text_bytes(batch.column(3).take(pa.array(where)))
-            held, firsts = np.ascontiguousarray(held).view(np.uint64), firsts // 8
+            bits, firsts = text_bytes(batch.column(3).take(pa.array(where)))
+            bits, firsts = np.ascontiguousarray(bits).view(np.uint64), firsts // 8
             line, band = filed_bands(chars, least)
             for n in np.unique(needs[band]).tolist():
                 own, own_band = line[needs[band] == n], band[needs[band] == n]
-                found, owner = block_keys(held[firsts[own][:, None] + np.arange(n)], own_band, plan)
+                found, owner = block_keys(bits[firsts[own][:, None] + np.arange(n)], own_band, plan)
                 at = own[owner]
-                yield pa.RecordBatch.from_arrays([pa.array(found << CHARS_BITS | chars[at]), pa.array(p0[where[at]].view(np.int64)),
-                                                  pa.array(p1[where[at]].view(np.int64))], names=["key", "p0", "p1"])
-
-    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key = batch.column(0).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(key >> CHARS_BITS), pa.array(key & (1 << CHARS_BITS) - 1), *batch.columns[1:]], names=["bucket", "chars", "p0", "p1"])
+                held.append((found, chars[at], p0[where[at]], p1[where[at]]))
+                rows += len(at)
+            if rows >= FILED_ROWS:
+                yield filed(held)
+                held, rows = [], 0
+        if rows:
+            yield filed(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, rows in whole_groups(parted(batches), ["bucket"]):
-            chars, p0, p1 = (rows.column(c).to_numpy() for c in ("chars", "p0", "p1"))
-            p0, p1 = p0.view(np.uint64), p1.view(np.uint64)
+        for number, rows in whole_groups(batches, ["bin"]):
+            data, offs = text_bytes(rows.column("lines"))
+            found = np.ascontiguousarray(data).view(FILED)
+            group = np.repeat(number - number[0], np.diff(offs) // FILED.itemsize) << LOW_BITS | found["low"]
+            chars, p0, p1 = found["chars"].astype(np.int64), found["p0"].copy(), found["p1"].copy()
+            order = np.argsort(group << CHARS_BITS | chars)
+            group, chars, p0, p1 = group[order], chars[order], p0[order], p1[order]
             place = np.cumsum((np.diff(group, prepend=group[0]) != 0) | (np.diff(chars, prepend=chars[0]) != 0))
             order = sorted_within(place, mixed(p0) ^ p1, int(place[-1]) + 1)
             group, chars, p0, p1 = group[order], chars[order], p0[order], p1[order]
@@ -326,9 +365,8 @@ def candidate_groups(lines: DataFrame, least: float = MIN_SIMILARITY) -> DataFra
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name, size)[several].view(np.int64)), pa.array(p0[several].view(np.int64)),
                                                   pa.array(p1[several].view(np.int64))], names=["bucket", "p0", "p1"])
 
-    filed = lines.where("chars > 0").select("chars", "p0", "p1", "words").mapInArrow(frugal(keys), "key long, p0 long, p1 long")
-    return (filed.repartition(F.shiftright("key", CHARS_BITS)).sortWithinPartitions("key")
-            .mapInArrow(frugal(run), "bucket long, p0 long, p1 long").distinct())
+    binned = lines.where("chars > 0").select("chars", "p0", "p1", "words").mapInArrow(frugal(keys), "bin long, lines binary")
+    return binned.repartition("bin").sortWithinPartitions("bin").mapInArrow(frugal(run), "bucket long, p0 long, p1 long").distinct()
 
 
 def close_sets(group: np.ndarray, p0: np.ndarray, p1: np.ndarray, chars: np.ndarray, least: float = MIN_SIMILARITY, most: int = MAX_BITS) -> np.ndarray:
@@ -447,35 +485,227 @@ def close_pairs(group: np.ndarray, chars: np.ndarray, least: float) -> Iterator[
         lag += 1
 
 
+class Words:
+    """Words of some lines, each with the blank before it, as numbers: line r has ``count[r]`` from ``begin[r]`` on, then -1 as often as a search may look ahead."""
+
+    def __init__(self, lines: pa.Array):
+        buf, offs = text_bytes(lines)
+        cut = np.append(buf == 0x20, True)
+        cut[offs] = True
+        edges = np.flatnonzero(cut)
+        firsts = np.searchsorted(edges, offs)
+        pieces = binary_array(np.ascontiguousarray(buf), edges)
+        self.count = np.diff(firsts)
+        self.begin = firsts[:-1] + np.arange(len(self.count)) * (PASSED_WORDS + 2)
+        place = np.arange(len(pieces)) + np.repeat(np.arange(len(self.count)), self.count) * (PASSED_WORDS + 2)
+        size = len(pieces) + len(self.count) * (PASSED_WORDS + 2)
+        self.word = np.full(size, -1, np.int32)
+        self.word[place] = pieces.dictionary_encode().indices.to_numpy()
+        #: Bytes before each place, no fewer than characters.
+        self.bytes = np.zeros(size + 1, np.int64)
+        self.bytes[place + 1] = np.diff(edges)
+        np.cumsum(self.bytes, out=self.bytes)
+
+    def within(self, x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Whether words laid side by side show that ``most`` edits turn line x into line y, for many pairs (as distance_bound())."""
+        out = np.zeros(len(x), bool)
+        at, i, j, left = np.arange(len(x)), self.begin[x], self.begin[y], most.astype(np.int64)
+        stop_i, stop_j = i + self.count[x], j + self.count[y]
+        while len(at):
+            run = np.arange(len(at))
+            while len(run):
+                run = run[(i[run] < stop_i[run]) & (self.word[i[run]] == self.word[j[run]])]
+                i[run] += 1
+                j[run] += 1
+            ended = (i == stop_i) | (j == stop_j)
+            rest = np.maximum(self.bytes[stop_i] - self.bytes[i], self.bytes[stop_j] - self.bytes[j])
+            out[at[ended & (rest <= left)]] = True
+            open_ = np.flatnonzero(~ended)
+            at, i, j, left, stop_i, stop_j = (v[open_] for v in (at, i, j, left, stop_i, stop_j))
+            p, q = self._passed(i, j)
+            far = np.flatnonzero(p < 0)  # nothing is equal again
+            out[at[far[rest[open_][far] <= left[far]]]] = True
+            p, q = np.minimum(i + p, stop_i), np.minimum(j + q, stop_j)
+            left -= np.maximum(self.bytes[p] - self.bytes[i], self.bytes[q] - self.bytes[j])
+            on = np.flatnonzero((left >= 0) & (p >= i))
+            at, i, j, left, stop_i, stop_j = (v[on] for v in (at, p, q, left, stop_i, stop_j))
+        return out
+
+    def _passed(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words to pass over on either side to the nearest place where two words in a row are equal (-1: none near)."""
+        p, q, word = np.full(len(i), -1), np.full(len(i), -1), self.word
+        open_ = np.arange(len(i))
+        for far in range(1, PASSED_WORDS + 1):
+            for k in range(far + 1):
+                for u, v in ((k, far), (far, k)):
+                    a, b = i[open_] + u, j[open_] + v
+                    same = (word[a] == word[b]) & (word[a + 1] == word[b + 1])
+                    p[open_[same]], q[open_[same]] = u, v
+                    open_ = open_[~same]
+                    if not len(open_):
+                        return p, q
+        return p, q
+
+
+def within_edits(lines: pa.Array, x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Whether at most ``most`` edits turn line x into line y, for many pairs: edit_distance() over numpy rows, in a band around the diagonal."""
+    used, place = np.unique(np.concatenate([x, y]), return_inverse=True)
+    buf, offs = text_bytes(lines.take(pa.array(used)).cast(pa.string()))
+    if (buf < 0x80).all():
+        codes = buf
+    else:
+        codes = np.frombuffer(buf.tobytes().decode().encode("utf-32-le"), np.uint32)
+        upto = np.zeros(len(buf) + 1, np.int64)
+        np.cumsum((buf & 0xC0) != 0x80, out=upto[1:])
+        offs = upto[offs]
+        known = np.bincount(codes) > 0
+        codes = np.cumsum(known).astype(np.uint8 if known.sum() < 256 else np.uint32)[codes]
+    size = np.diff(offs)
+    place_x, place_y = place[:len(x)], place[len(x):]
+    out, columns = np.zeros(len(x), bool), size[place_y]
+    words = most // 32 + 1
+    words = np.where(words > 4, 1 << np.ceil(np.log2(words)).astype(np.int64), words)
+    order = np.lexsort((-columns, words))
+    start = 0
+    while start < len(order):  # pairs of one width of the band, longest first
+        n = int(words[order[start]])
+        wide = int(max(size[place_x[order[start]]], columns[order[start]]) + most[order[start]]) + 128 * n
+        stop = min(int(np.searchsorted(words[order], n, side="right")), start + max(1, BAND_BYTES // (wide * codes.itemsize)))
+        at = order[start:stop]
+        if len(at) >= FEW_PAIRS:
+            out[at] = _banded(codes, offs, place_x[at], place_y[at], most[at], n)
+        else:  # too few to be worth rows of numbers
+            for k in at.tolist():
+                out[k] = edit_distance(lines[int(x[k])].as_py(), lines[int(y[k])].as_py(), int(most[k])) <= most[k]
+        start = stop
+    return out
+
+
+def _laid(codes: np.ndarray, offs: np.ndarray, rows: np.ndarray, before: int, behind: int) -> np.ndarray:
+    """Rows side by side, with zeros before and behind."""
+    size = offs[rows + 1] - offs[rows]
+    out = np.zeros((len(rows), before + int(size.max()) + behind), codes.dtype)
+    owner = np.repeat(np.arange(len(rows)), size)
+    k = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+    out[owner, before + k] = codes[np.repeat(offs[rows], size) + k]
+    return out
+
+
+def _banded(codes: np.ndarray, offs: np.ndarray, x: np.ndarray, y: np.ndarray, most: np.ndarray, words: int) -> np.ndarray:
+    """within_edits() for pairs whose band fits ``words`` numbers of 64 bits.
+
+    Bit ``middle`` of a column stands for the diagonal, so the band moves down
+    one row a column, and what lies outside costs more than ``most``. Distances
+    never fall along a diagonal, so a pair ends where that of its last cell
+    passes ``most``.
+    """
+    middle, at = 32 * words, np.arange(len(x))
+    columns, lean = offs[y + 1] - offs[y], offs[x + 1] - offs[x] - offs[y + 1] + offs[y]
+    a, b = _laid(codes, offs, x, middle, 64 * words + int(columns.max())), np.ascontiguousarray(_laid(codes, offs, y, 0, 0).T)
+    out, last, ones, one = np.zeros(len(x), bool), np.maximum(lean, 0), ~np.uint64(0), np.uint64(1)
+    near = np.abs(lean) <= most
+    place = np.where(near, middle + lean, 0)
+    held, bit = place // 64, (place % 64).astype(np.uint64)
+    plus = np.zeros((words, len(x)), np.uint64)
+    for w in range(words):
+        if 64 * (w + 1) > middle:
+            plus[w] = ones << np.uint64(max(0, middle - 64 * w))
+    minus, stop = np.zeros_like(plus), columns.copy()
+    for j in range(len(b) + 1):
+        if j % 8 == 0 or j == len(b):
+            on = near & (last <= most[at])
+            out[at[on & (stop <= j)]] = True
+            on &= stop > j
+            if not on.all():
+                at, last, held, bit, stop, near, plus, minus = at[on], last[on], held[on], bit[on], stop[on], near[on], plus[:, on], minus[:, on]
+            if not len(at):
+                break
+        equal = np.packbits(a[at, j:j + 64 * words] == b[j, at][:, None], axis=1, bitorder="little").view(np.uint64).T
+        zero = (equal & plus) + plus
+        if words > 1:
+            over, full, carry = zero < plus, zero == ones, np.zeros_like(plus)
+            for w in range(1, words):
+                carry[w] = over[w - 1] | full[w - 1] & (carry[w - 1] == one)
+            zero += carry
+        zero ^= plus  # where the distance is that of the cell up left
+        zero |= equal
+        zero |= minus
+        up, down = minus | ~(zero | plus), zero & plus
+        last = last + ((stop > j) & (zero[held, np.arange(len(at))] >> bit & one == 0))
+        over = zero[1:] << np.uint64(63)
+        zero >>= one
+        zero[:-1] |= over
+        plus, minus = down | ~(zero | up), zero & up
+    return out
+
+
 def verified_links(group: np.ndarray, rows: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
     """Links (row, row) that connect what the verified pairs of each group connect."""
     side, crossed = rows.column("side").to_numpy(), rows.column("i").to_numpy() != rows.column("j").to_numpy()
     p0, p1 = (rows.column(c).to_numpy().view(np.uint64) for c in ("p0", "p1"))
-    chars = pa.compute.utf8_length(rows.column("line")).to_numpy()
-    lines, labels, taken = rows.column("line").to_pylist(), np.arange(len(side)), [np.empty((2, 0), np.int64)]
-    for a, b in close_pairs(group, chars, least):
-        wanted = (labels[a] != labels[b]) & (~crossed[a] | (side[a] != side[b]))  # most pairs of a dense group are connected by now
-        a, b = a[wanted], b[wanted]
-        near = np.bitwise_count(p0[a] ^ p0[b]) + np.bitwise_count(p1[a] ^ p1[b]) <= MAX_BITS
-        found = [(i, j) for i, j in zip(a[near].tolist(), b[near].tolist(), strict=True) if similar(lines[i], lines[j], least)]
-        if found:
-            taken.append(np.array(found).T)
-            labels = union(labels, *taken[-1])
-    return tuple(np.concatenate(taken, axis=1))
+    lines = rows.column("line").combine_chunks()
+    chars, words, labels = pa.compute.utf8_length(lines).to_numpy(), Words(lines), np.arange(len(side))
+
+    def apart(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        wanted = labels[a] != labels[b]  # most pairs of a dense group are connected by now
+        return a[wanted], b[wanted]
+
+    def similar_pairs(a: np.ndarray, b: np.ndarray, test) -> np.ndarray:
+        nonlocal labels
+        most = ((1 - least) * np.maximum(chars[a], chars[b]) + 1e-9).astype(np.int64)
+        found = test(a, b, most)
+        labels = union(labels, a[found], b[found])
+        return found
+
+    def settled(pairs: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        for k in range(0, len(a), PAIRS_AT_ONCE):
+            similar_pairs(*apart(a[k:k + PAIRS_AT_ONCE], b[k:k + PAIRS_AT_ONCE]), lambda *x: within_edits(lines, *x))
+
+    waiting, doubtful = [], []
+    for a, b in itertools.chain(close_pairs(group, chars, least), [(None, None)]):
+        if a is not None:
+            wanted = (labels[a] != labels[b]) & (~crossed[a] | (side[a] != side[b]))
+            a, b = a[wanted], b[wanted]
+            near = np.bitwise_count(p0[a] ^ p0[b]) + np.bitwise_count(p1[a] ^ p1[b]) <= MAX_BITS
+            waiting.append((a[near], b[near]))
+        if waiting and (a is None or sum(len(x) for x, _ in waiting) >= PAIRS_AT_ONCE):
+            a_, b_ = apart(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+            found = similar_pairs(a_, b_, words.within)
+            doubtful, waiting = [*doubtful, (a_[~found], b_[~found])], []
+        if doubtful and (a is None or sum(len(x) for x, _ in doubtful) >= HELD_PAIRS):
+            settled(doubtful)
+            doubtful = []
+    child = np.flatnonzero(labels != np.arange(len(labels)))
+    return child, labels[child]
+
+
+def several_groups(groups: Iterator[tuple[np.ndarray, pa.Table]]) -> Iterator[tuple[np.ndarray, pa.Table]]:
+    """whole_groups() with as many groups at a time as ``GROUP_ROWS`` rows and ``GROUP_BYTES`` bytes need."""
+    held, rows, size = [], 0, 0
+    for group, part in groups:
+        held.append((group - group[0] + (held[-1][0][-1] + 1 if held else 0), part))
+        rows, size = rows + len(part), size + part.nbytes
+        if rows >= GROUP_ROWS or size >= GROUP_BYTES:
+            yield np.concatenate([g for g, _ in held]), pa.concat_tables([p for _, p in held])
+            held, rows, size = [], 0, 0
+    if held:
+        yield np.concatenate([g for g, _ in held]), pa.concat_tables([p for _, p in held])
 
 
 def line_links(texts: DataFrame, groups: DataFrame, least: float = MIN_SIMILARITY, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """A spanning set of links (a, b) between digests of distinct lines (digest, line, p0, p1); ``groups`` (bucket, p0, p1) are to be verified."""
-    sizes = (groups.join(texts.select("p0", "p1"), ["p0", "p1"]).groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-             .select("bucket", F.ceil(F.col("n") / chunk_rows).cast("int").alias("chunks")))
-    own = F.pmod(F.xxhash64("digest"), F.col("chunks")).cast("int")
-    paired = (groups.join(texts, ["p0", "p1"]).join(sizes, "bucket").withColumn("own", own)
+    large = (groups.join(texts.select("p0", "p1"), ["p0", "p1"]).groupBy("bucket").agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("chunks"))
+             .where("chunks > 1"))
+    chunks = F.coalesce("chunks", F.lit(1))
+    own = F.pmod(F.xxhash64("digest"), "chunks").cast("int")
+    paired = (texts.join(groups.join(large, "bucket", "left").withColumn("chunks", chunks).hint("shuffle_hash"), ["p0", "p1"]).withColumn("own", own)
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
               .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                       F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), "digest", "line", "p0", "p1"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, rows in whole_groups(batches, ["bucket", "i", "j"]):
+        for group, rows in several_groups(whole_groups(batches, ["bucket", "i", "j"])):
             a, b = verified_links(group, rows, least)
             digests = rows.column("digest").combine_chunks()
             yield pa.RecordBatch.from_arrays([digests.take(pa.array(a, pa.int64())), digests.take(pa.array(b, pa.int64()))], names=["a", "b"])
@@ -485,11 +715,10 @@ def line_links(texts: DataFrame, groups: DataFrame, least: float = MIN_SIMILARIT
 
 def duplicate_lines(lines: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
     """(number, line_no) of the lines to remove, from a written line table."""
-    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "number", "line_no")
-    distinct = written(lines.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.max("chars").alias("chars"),
-                                                   F.max("p0").alias("p0"), F.max("p1").alias("p1")), "distinct-lines")
+    distinct = written(lines.groupBy("digest").agg(F.count("*").alias("n"), F.max("chars").alias("chars"), F.max("p0").alias("p0"), F.max("p1").alias("p1")),
+                       "distinct-lines")
     # lines with one print are a group as well
-    same = (distinct.where("chars > 0").groupBy("p0", "p1").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
+    same = (distinct.where("chars > 0").groupBy("p0", "p1").agg(F.count("*").alias("lines")).where("lines > 1")
             .select(F.xxhash64("p0", "p1", F.lit(0)).alias("bucket"), "p0", "p1"))
     groups = written(candidate_groups(lines).unionByName(same), "line-groups")
     marked = written(groups.select("p0", "p1").distinct(), "marked-lines")
@@ -498,13 +727,14 @@ def duplicate_lines(lines: DataFrame, least: float = MIN_SIMILARITY) -> DataFram
     bloom, blocks = bloom_blocks(marked.select(key))
     if blocks * BLOCK_BYTES <= BROADCAST_BYTES:  # spares the unmarked lines the shuffle of the join; beyond, the join alone
         maybe = maybe_listed(maybe, bloom, blocks)
-    texts = maybe.join(marked, ["p0", "p1"]).groupBy("digest", "p0", "p1").agg(F.min("line").alias("line"))
+    texts = maybe.join(marked.hint("shuffle_hash"), ["p0", "p1"]).groupBy("digest", "p0", "p1").agg(F.min("line").alias("line"))
     roots = components(line_links(written(texts, "marked-texts"), groups, least))
-    named = distinct.join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    members = named.groupBy("root").agg(F.sum("n").alias("total"), F.min("first").alias("first")).where("total > 1")
-    members = named.join(members.select("root", F.col("first").alias("kept")), "root").select("digest", "kept")
-    return (lines.select("id", "number", "line_no", "digest").join(members, "digest")
-            .where((F.col("number") != F.col("kept.number")) | (F.col("line_no") != F.col("kept.line_no"))).select("number", "line_no"))
+    linked = roots.select(F.col("node").alias("digest"), "root").unionByName(roots.select(F.col("root").alias("digest"), "root").distinct())
+    named = distinct.where("n > 1").select("digest").join(linked, "digest", "full").select("digest", F.coalesce("root", "digest").alias("root"))
+    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "number", "line_no").alias("place")
+    members = written(lines.select("digest", place).join(named.hint("shuffle_hash"), "digest").select("root", "place"), "members")
+    firsts = members.groupBy("root").agg(F.min("place").alias("first"))
+    return members.join(firsts.hint("shuffle_hash"), "root").where(~F.col("place").eqNullSafe(F.col("first"))).select("place.number", "place.line_no")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
@@ -516,6 +746,6 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_ch
     pieces = F.split(F.col(f"doc.`{text}`").cast("string"), "\n", -1)
     kept = F.filter(pieces, lambda x, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
     added = {"n_lines": F.coalesce(F.size(pieces), F.lit(0)).cast("long"), "n_removed": F.coalesce(F.size("gone"), F.lit(0)).cast("long")} if counts else {}
-    return (rows.join(gone, "number", "left")
+    return (rows.join(gone.hint("shuffle_hash"), "number", "left")
             .select(*[F.array_join(kept, "\n").alias(c) if c == text else F.col(f"doc.`{c}`") for c in docs.columns if c not in added],
                     *[v.alias(c) for c, v in added.items()]))
