@@ -89,6 +89,8 @@ BLOCK_BITS, LOW_BITS, CHARS_BITS = 9, 4, 31
 #: A line in a block, and how many of them a task lays into bins at a time.
 FILED = np.dtype([("low", "u1"), ("chars", "<u4"), ("p0", "<u8"), ("p1", "<u8")])
 FILED_ROWS = 1 << 20
+#: Bits of a group and of a length in a sort by one number.
+SORT_BITS = 18
 #: Rows of a block that are compared at a time with all that follow, and close pairs that are held before they are merged.
 TILE_ROWS, HELD_PAIRS = 64, 1 << 20
 #: Words that may be passed over at a time where two lines are laid side by side.
@@ -107,26 +109,27 @@ def lines_of(texts: pa.Array, min_chars: int = MIN_CHARS) -> dict[str, object]:
     edge = edge[edge <= len(buf)]
     row = np.searchsorted(offs, edge[:-1], side="right") - 1
     number = np.arange(len(row)) - np.searchsorted(row, row)
+    # letters, and one blank behind each word but the last of a line
     low = LETTERS[buf]
-    starts, ends, firsts = word_spans(low, edge, IS_LETTER)
-    counts = np.diff(firsts)
-    # words, and one blank behind each but the last of a line
-    keep = IS_LETTER[low]
-    follows = np.ones(len(starts), bool)
-    follows[firsts[1:][counts > 0] - 1] = False
-    keep[ends[follows]] = True
+    keep = low != 0x20
+    after = keep[:-1].copy()
+    after[edge[1:-1] - 1] = False
+    keep[1:] |= after
     upto = np.zeros(len(buf) + 1, np.int32)
     np.cumsum(keep, out=upto[1:])
-    chars = np.zeros(len(buf) + 1, np.int32)
-    np.cumsum(keep & ((buf & 0xC0) != 0x80), out=chars[1:])
-    enough = np.diff(chars[edge]) >= min_chars
+    upto, low = upto[edge], low[keep]
+    last = upto[1:][np.diff(upto) > 0] - 1
+    last = last[low[last] == 0x20]
+    low, upto = np.delete(low, last), upto - np.searchsorted(last, upto).astype(np.int32)
+    normal = pa.Array.from_buffers(pa.string(), len(row), [None, pa.py_buffer(upto), pa.py_buffer(low)])
+    enough = pa.compute.utf8_length(normal).to_numpy() >= min_chars
     digests: dict[int, bytes] = {}
     for i in np.flatnonzero(~enough & (np.diff(edge) >= min_chars)).tolist():
         plain = b" ".join(LOWER[buf[edge[i]:edge[i + 1]]].tobytes().split())
         if len(plain.decode()) >= min_chars:
             digests[i] = xxhash.xxh3_128_digest(b"\n" + plain)  # no normalised line has a line break
-    chosen = np.flatnonzero(enough | np.isin(np.arange(len(counts)), list(digests)))
-    normal = pa.Array.from_buffers(pa.string(), len(counts), [None, pa.py_buffer(upto[edge]), pa.py_buffer(low[keep])]).take(pa.array(chosen))
+    chosen = np.flatnonzero(enough | np.isin(np.arange(len(row)), list(digests)))
+    normal = normal.take(pa.array(chosen))
     normal = pa.compute.if_else(pa.array(enough[chosen]), normal, "")
     return {"row": row[chosen], "line_no": number[chosen], "line": normal,
             "digest": [digests.get(i) or xxhash.xxh3_128_digest(x) for i, x in zip(chosen.tolist(), normal.cast(pa.binary()).to_pylist(), strict=True)]}
@@ -152,12 +155,6 @@ def line_table(rows: DataFrame, key: str, text: str, min_chars: int = MIN_CHARS)
     return rows.select(F.col(f"doc.`{key}`").cast("long").alias("id"), "number", F.col(f"doc.`{text}`").cast("string").alias("text")).mapInArrow(frugal(run), LINE_SCHEMA)
 
 
-def sorted_within(group: np.ndarray, hashes: np.ndarray, groups: int) -> np.ndarray:
-    """An order by group, and inside a group by the first bits of a hash, so that equal hashes are neighbours."""
-    bits = int(groups).bit_length()
-    return np.argsort(group.astype(np.uint64) << np.uint64(64 - bits) | hashes >> np.uint64(bits)) if bits else np.arange(len(group))
-
-
 def features(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, first of every line): the distinct words of some lines, long ones as their pairs of characters."""
     buf, offs = text_bytes(lines)
@@ -341,12 +338,12 @@ def candidate_groups(lines: DataFrame, least: float = MIN_SIMILARITY) -> DataFra
             data, offs = text_bytes(rows.column("lines"))
             found = np.ascontiguousarray(data).view(FILED)
             group = np.repeat(number - number[0], np.diff(offs) // FILED.itemsize) << LOW_BITS | found["low"]
-            chars, p0, p1 = found["chars"].astype(np.int64), found["p0"].copy(), found["p1"].copy()
-            order = np.argsort(group << CHARS_BITS | chars)
-            group, chars, p0, p1 = group[order], chars[order], p0[order], p1[order]
-            place = np.cumsum((np.diff(group, prepend=group[0]) != 0) | (np.diff(chars, prepend=chars[0]) != 0))
-            order = sorted_within(place, mixed(p0) ^ p1, int(place[-1]) + 1)
-            group, chars, p0, p1 = group[order], chars[order], p0[order], p1[order]
+            chars, near = found["chars"].astype(np.int64), mixed(found["p0"]) ^ found["p1"]
+            if max(int(group[-1]), int(chars.max())) >> SORT_BITS:
+                order = np.lexsort((near, chars, group))
+            else:  # by group and length, equal prints mostly side by side
+                order = np.argsort((group << SORT_BITS | chars).astype(np.uint64) << np.uint64(64 - 2 * SORT_BITS) | near >> np.uint64(2 * SORT_BITS))
+            group, chars, p0, p1 = group[order], chars[order], found["p0"][order], found["p1"][order]
             new = np.ones(len(p0), bool)
             new[1:] = (group[1:] != group[:-1]) | (chars[1:] != chars[:-1]) | (p0[1:] != p0[:-1]) | (p1[1:] != p1[:-1])
             group, chars, p0, p1 = group[new], chars[new], p0[new], p1[new]
@@ -746,6 +743,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_ch
     pieces = F.split(F.col(f"doc.`{text}`").cast("string"), "\n", -1)
     kept = F.filter(pieces, lambda x, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
     added = {"n_lines": F.coalesce(F.size(pieces), F.lit(0)).cast("long"), "n_removed": F.coalesce(F.size("gone"), F.lit(0)).cast("long")} if counts else {}
+    left = F.when(F.col("gone").isNull(), F.col(f"doc.`{text}`").cast("string")).otherwise(F.array_join(kept, "\n"))
     return (rows.join(gone.hint("shuffle_hash"), "number", "left")
-            .select(*[F.array_join(kept, "\n").alias(c) if c == text else F.col(f"doc.`{c}`") for c in docs.columns if c not in added],
+            .select(*[left.alias(c) if c == text else F.col(f"doc.`{c}`") for c in docs.columns if c not in added],
                     *[v.alias(c) for c, v in added.items()]))
