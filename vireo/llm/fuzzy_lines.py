@@ -27,12 +27,14 @@ whose prints differ in at most ``MAX_BITS`` bits are verified. The
 README has the recall against edit similarity alone.
 
 The bits of all blocks are kept with the line table. Blocks travel with prints and
-lengths, not with text. A block of any size is compared in tiles. Lines connected by
+lengths, not with text; the lines of one task in a bin of blocks are one row. A block of any
+size is compared in tiles. Lines connected by
 close prints are one candidate group; groups of the same lines are one. Only lines in such a
 group come with their text. Groups above ``CHUNK_ROWS`` are cut into chunks,
 and each pair of chunks is verified on its own, so no task holds more than two
 chunks of a group; pairs whose lines are connected already inside a group need
-no proof.
+no proof. Many pairs are verified at a time: their words laid side by side prove most of the
+similar ones, the others get their exact edit distance within the bound.
 
 Links make connected components; of each component the first line (least
 doc_id, null last, then place in the files, then line number) stays and the
